@@ -79,9 +79,12 @@ def web_daily(web: DataFrame, prefix: str = C.DEFAULT_HOME_PREFIX) -> DataFrame:
 
 def join_web_analytics(df: DataFrame, web: DataFrame, prefix: str = C.DEFAULT_HOME_PREFIX) -> DataFrame:
     """Left join on (event_date, calculate_date) = (Event_Date, as_of_date)."""
-    dim = bounded_broadcast(web_daily(web, prefix))
-    cond = (df["event_date"] == dim["Event_Date"]) & (df["calculate_date"] == dim["as_of_date"])
-    return df.join(dim, cond, "left").drop("Event_Date", "as_of_date")
+    # Spark resolves names case-insensitively: rename the web keys so that
+    # dropping them cannot touch the fact's ``event_date``.
+    dim = bounded_broadcast(web_daily(web, prefix).withColumnsRenamed(
+        {"Event_Date": "_web_event_date", "as_of_date": "_web_as_of_date"}))
+    cond = (df["event_date"] == dim["_web_event_date"]) & (df["calculate_date"] == dim["_web_as_of_date"])
+    return df.join(dim, cond, "left").drop("_web_event_date", "_web_as_of_date")
 
 
 def join_inner_team(a: DataFrame, b: DataFrame, on: str = "team",
