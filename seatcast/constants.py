@@ -81,3 +81,17 @@ PASSTHROUGH_FEATURES = [
 ]
 
 TARGET = "target_host_sold_today"
+
+# --- fixed values: feature lists of the Poisson model (canonical names) -------
+POISSON_NUMERIC = [
+    "st_rate", "opens", "host_sold_total", "host_sold_last_7days", "host_sold_yesterday",
+    "resale_sold_last_7days", "resale_sold_total", "resale_asp_last_7days", "resale_asp_total",
+    "number_of_postings", "median_posting_price", "posting_below_cp", "lowest_post_price",
+    "highest_post_price", "host_sold_at_current_price", "days_until_game", "opponent_rank", "van_rank",
+    "host_sold_agg_last_day", "unique_views", "price_code_ordinal", "tickets_sold_2_days_before_today",
+    "tickets_sold_3_days_before_today", "tickets_sold_4_days_before_today",
+    "tickets_sold_5_days_before_today", "tickets_sold_6_days_before_today",
+    "tickets_sold_7_days_before_today",
+]
+POISSON_CATEGORICAL = ["month", "opponent"]
+POISSON_PASSTHROUGH = ["bowl_location", "weekend_game", "inventory_normalized", "times_above_floor"]

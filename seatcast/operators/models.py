@@ -14,6 +14,7 @@ Ridge and Poisson penalties are converted to Spark's parametrisation.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -21,6 +22,7 @@ from pyspark.ml.feature import (Imputer, OneHotEncoder, PolynomialExpansion, SQL
                                 StringIndexer, VectorAssembler)
 from pyspark.ml.regression import (GBTRegressor, GeneralizedLinearRegression, LinearRegression,
                                    RandomForestRegressor)
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -144,6 +146,21 @@ def encode_stages(fs: FeatureSet, degree: int = 1, scale_poly: bool = False,
     return stages
 
 
+@contextmanager
+def persisted(df: DataFrame):
+    """Keep a training frame materialised for the several passes of a fit
+    (statistics, indexers, solver iterations), then release it.  A lost
+    executor's blocks are recomputed from lineage."""
+    if df.storageLevel != StorageLevel.NONE:
+        yield df
+        return
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield df
+    finally:
+        df.unpersist()
+
+
 def _label(df: DataFrame, label: str) -> DataFrame:
     return df.where(F.col(label).isNotNull()).withColumn(label, F.col(label).cast("double"))
 
@@ -151,7 +168,12 @@ def _label(df: DataFrame, label: str) -> DataFrame:
 def fit_model(df: DataFrame, fs: FeatureSet, estimator, label: str = C.TARGET,
               scale: bool = True, degree: int = 1, impute_numeric: str | None = "zero") -> PipelineModel:
     """Impute -> scale (population std, fitted here) -> encode -> estimator."""
-    train = _label(df, label)
+    with persisted(_label(df, label)) as train:
+        return _fit_stages(train, fs, estimator, scale, degree, impute_numeric)
+
+
+def _fit_stages(train: DataFrame, fs: FeatureSet, estimator, scale: bool, degree: int,
+                impute_numeric: str | None) -> PipelineModel:
     fs = fs.present(train)
     imp = impute_stages(fs, impute_numeric)
     stages = list(imp)
@@ -178,8 +200,9 @@ def label_stats(df: DataFrame, label: str = C.TARGET) -> tuple[int, float, float
 
 def fit_ridge(df: DataFrame, fs: FeatureSet, alpha: float = C.RIDGE_ALPHA, degree: int = 1,
               label: str = C.TARGET, impute_numeric: str = "mean") -> PipelineModel:
-    n, _, s = label_stats(df, label)
-    return fit_model(df, fs, ridge(alpha, n, s).setLabelCol(label), label, True, degree, impute_numeric)
+    with persisted(_label(df, label)) as train:
+        n, _, s = label_stats(train, label)
+        return fit_model(train, fs, ridge(alpha, n, s).setLabelCol(label), label, True, degree, impute_numeric)
 
 
 def fit_ols(df: DataFrame, fs: FeatureSet, label: str = C.TARGET) -> PipelineModel:
@@ -196,8 +219,9 @@ def poisson(alpha: float, mean_label: float, label: str = C.TARGET, max_iter: in
 
 def fit_poisson(df: DataFrame, fs: FeatureSet, alpha: float = C.POISSON_ALPHA, degree: int = 1,
                 label: str = C.TARGET) -> PipelineModel:
-    _, m, _ = label_stats(df, label)
-    return fit_model(df, fs, poisson(alpha, m, label), label, True, degree)
+    with persisted(_label(df, label)) as train:
+        _, m, _ = label_stats(train, label)
+        return fit_model(train, fs, poisson(alpha, m, label), label, True, degree)
 
 
 def fit_poisson_unpenalized(df: DataFrame, fs: FeatureSet, label: str = C.TARGET) -> PipelineModel:
