@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,3 +22,18 @@ def bounded_broadcast(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     """
     n = dim.limit(max_rows + 1).count()
     return F.broadcast(dim) if n <= max_rows else dim
+
+
+@contextmanager
+def persisted(df: DataFrame):
+    """Keep a frame materialised for the several passes of a fit or a fold
+    loop, then release it.  A lost executor's blocks are recomputed from
+    lineage, so this never replaces a checkpoint."""
+    if df.storageLevel != StorageLevel.NONE:
+        yield df
+        return
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield df
+    finally:
+        df.unpersist()

@@ -75,16 +75,23 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str,
     }).withColumn("_start", F.col("_end") - F.col("_c"))
     aggs = []
     for p, nm in zip(probs, names):
-        pos = (F.col("_n") - 1).cast("double") * F.lit(float(p))
-        lo, hi = F.floor(pos), F.ceil(pos)
+        # numpy's "linear" method, same floating-point steps: the virtual
+        # index is (n*q + (1-q)) - 1, and the lerp is taken from the upper
+        # neighbour when the fraction is >= 0.5 (bin edges depend on it).
+        q = F.lit(float(p))
+        pos = (F.col("_n").cast("double") * q + (F.lit(1.0) - q)) - F.lit(1.0)
+        lo = F.floor(pos)
+        hi = F.least(lo + 1, F.col("_n") - 1)
         aggs += [F.max(F.when(F.col("_start") <= lo, F.col(value))).alias(f"_{nm}_lo"),
                  F.max(F.when(F.col("_start") <= hi, F.col(value))).alias(f"_{nm}_hi"),
                  F.first(pos - lo).alias(f"_{nm}_frac")]
     g = h.groupBy(*keys).agg(*aggs) if keys else h.agg(*aggs)
     out = [F.col(k) for k in keys]
     for nm in names:
-        lo_v, hi_v = F.col(f"_{nm}_lo").cast("double"), F.col(f"_{nm}_hi").cast("double")
-        out.append((lo_v + (hi_v - lo_v) * F.col(f"_{nm}_frac")).alias(nm))
+        a, b = F.col(f"_{nm}_lo").cast("double"), F.col(f"_{nm}_hi").cast("double")
+        t = F.col(f"_{nm}_frac")
+        lerp = F.when(t >= 0.5, b - (b - a) * (F.lit(1.0) - t)).otherwise(a + (b - a) * t)
+        out.append(lerp.alias(nm))
     return g.select(*out)
 
 

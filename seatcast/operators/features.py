@@ -135,8 +135,8 @@ def tercile_bucket(df: DataFrame, col: str, out: str = "opponent_rank",
                    overrides: Sequence[str] = (), override_col: str = "team") -> DataFrame:
     """Label 1/2/3 by the 1/3 and 2/3 quantiles of ``col`` (linear interpolation),
     bins closed on the right; rows whose ``override_col`` is listed get 1."""
-    q = df.select(F.percentile(F.col(col).cast("double"), F.lit(1.0 / 3.0)).alias("q1"),
-                  F.percentile(F.col(col).cast("double"), F.lit(2.0 / 3.0)).alias("q2"))
+    from seatcast.operators.aggregates import exact_quantiles
+    q = exact_quantiles(df, [], col, [1.0 / 3.0, 2.0 / 3.0], ["q1", "q2"])
     q1, q2 = q.select("q1").scalar(), q.select("q2").scalar()
     label = F.when(F.col(col) <= q1, 1).when(F.col(col) <= q2, 2).otherwise(3)
     if overrides:

@@ -14,7 +14,6 @@ Ridge and Poisson penalties are converted to Spark's parametrisation.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -27,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seatcast import constants as C
+from seatcast.operators._util import persisted
 
 
 @dataclass(frozen=True)
@@ -146,21 +146,6 @@ def encode_stages(fs: FeatureSet, degree: int = 1, scale_poly: bool = False,
     return stages
 
 
-@contextmanager
-def persisted(df: DataFrame):
-    """Keep a training frame materialised for the several passes of a fit
-    (statistics, indexers, solver iterations), then release it.  A lost
-    executor's blocks are recomputed from lineage."""
-    if df.storageLevel != StorageLevel.NONE:
-        yield df
-        return
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        yield df
-    finally:
-        df.unpersist()
-
-
 def _label(df: DataFrame, label: str) -> DataFrame:
     return df.where(F.col(label).isNotNull()).withColumn(label, F.col(label).cast("double"))
 
@@ -175,6 +160,10 @@ def fit_model(df: DataFrame, fs: FeatureSet, estimator, label: str = C.TARGET,
 def _fit_stages(train: DataFrame, fs: FeatureSet, estimator, scale: bool, degree: int,
                 impute_numeric: str | None) -> PipelineModel:
     fs = fs.present(train)
+    if impute_numeric in ("mean", "median", "mode") and fs.numeric:
+        # like sklearn's imputers, drop features with no observed value
+        cnt = train.agg(*[F.count(F.col(c)).alias(c) for c in fs.numeric]).first()
+        fs = FeatureSet(tuple(c for c in fs.numeric if cnt[c]), fs.categorical, fs.passthrough)
     imp = impute_stages(fs, impute_numeric)
     stages = list(imp)
     if scale and degree == 1 and fs.numeric:

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from seatcast import constants as C
+from seatcast.operators._util import persisted
 
 
 def split_cutoff(df: DataFrame, cutoff: str, date_col: str = "calculate_date") -> tuple[DataFrame, DataFrame]:
@@ -79,16 +80,17 @@ def backtest(df: DataFrame, fit_predict: Callable[[DataFrame, DataFrame], DataFr
     Returns fold, date ranges, rmse, n -- one row per fold.
     """
     spark = df.sparkSession
-    folds = expanding_folds(df, train_dates, valid_dates, date_col).orderBy("fold").collect()
     rows = []
-    for f in folds:
-        fd = f.asDict()
-        train, valid = fold_frames(df, fd, date_col)
-        scored = fit_predict(train, valid)
-        m = scored.agg(F.sqrt(F.avg(F.pow(F.col(label) - F.col(pred), 2))).alias("rmse"),
-                       F.count(F.lit(1)).alias("n")).first()
-        rows.append((fd["fold"], fd["train_from"], fd["train_to"], fd["valid_from"], fd["valid_to"],
-                     float(m["rmse"]) if m["rmse"] is not None else None, int(m["n"])))
+    with persisted(df) as data:
+        folds = expanding_folds(data, train_dates, valid_dates, date_col).orderBy("fold").collect()
+        for f in folds:
+            fd = f.asDict()
+            train, valid = fold_frames(data, fd, date_col)
+            scored = fit_predict(train, valid)
+            m = scored.agg(F.sqrt(F.avg(F.pow(F.col(label) - F.col(pred), 2))).alias("rmse"),
+                           F.count(F.lit(1)).alias("n")).first()
+            rows.append((fd["fold"], fd["train_from"], fd["train_to"], fd["valid_from"], fd["valid_to"],
+                         float(m["rmse"]) if m["rmse"] is not None else None, int(m["n"])))
     schema = ("fold int, train_from date, train_to date, valid_from date, valid_to date, "
               "rmse double, n bigint")
     return spark.createDataFrame(rows, schema)
