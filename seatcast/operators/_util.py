@@ -37,3 +37,14 @@ def persisted(df: DataFrame):
         yield df
     finally:
         df.unpersist()
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet under the session's shared checkpoint folder and
+    read it back: the lineage is cut (a lost executor re-reads files instead
+    of recomputing the stage) and later stages get column pruning and
+    predicate pushdown on the stored table."""
+    from seatcast.sources.files import scratch_path
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from seatcast import constants as C
 from seatcast.operators import joins
+from seatcast.operators._util import materialize
 from seatcast.plans.pipelines import FeatureParams, PreprocessParams, feature_engineer, preprocess
 from seatcast.sources import testdata as td
 
@@ -23,12 +24,29 @@ FEAT = FeatureParams(web_prefix=td.HOME_PREFIX)
 SPLIT_CUTOFF = "2000-07-01"
 
 
+_stages: dict = {}
+
+
+def _stage(spark: SparkSession, d: str, name: str, build) -> DataFrame:
+    """Each pipeline stage is written once per session and source folder,
+    like the reference's stage files (combined / processed / features)."""
+    key = (spark.sparkContext.applicationId, d, name)
+    if key not in _stages:
+        _stages[key] = materialize(build(), name)
+    return _stages[key]
+
+
+def reset_stages() -> None:
+    _stages.clear()
+
+
 def snapshot(spark: SparkSession, d: str) -> DataFrame:
-    return td.snapshot(spark, d)
+    return _stage(spark, d, "combined", lambda: td.snapshot(spark, d))
 
 
 def preprocessed(spark: SparkSession, d: str, training: bool = True) -> DataFrame:
-    return preprocess(snapshot(spark, d), PRE if training else SERVE)
+    return _stage(spark, d, "processed" if training else "processed_serve",
+                  lambda: preprocess(snapshot(spark, d), PRE if training else SERVE))
 
 
 def popularity(spark: SparkSession, d: str) -> DataFrame:
@@ -43,7 +61,7 @@ def standings(spark: SparkSession, d: str) -> DataFrame:
 
 
 def ranks(spark: SparkSession, d: str) -> DataFrame:
-    return joins.team_rank_by_date(standings(spark, d), td.HOME_TEAM)
+    return _stage(spark, d, "ranks", lambda: joins.team_rank_by_date(standings(spark, d), td.HOME_TEAM))
 
 
 def web(spark: SparkSession, d: str) -> DataFrame:
@@ -51,5 +69,6 @@ def web(spark: SparkSession, d: str) -> DataFrame:
 
 
 def featured(spark: SparkSession, d: str, training: bool = True) -> DataFrame:
-    return feature_engineer(preprocessed(spark, d, training), popularity(spark, d), ranks(spark, d),
-                            web(spark, d), FEAT)
+    return _stage(spark, d, "features" if training else "features_serve",
+                  lambda: feature_engineer(preprocessed(spark, d, training), popularity(spark, d),
+                                           ranks(spark, d), web(spark, d), FEAT))
