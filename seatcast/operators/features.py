@@ -137,7 +137,8 @@ def tercile_bucket(df: DataFrame, col: str, out: str = "opponent_rank",
     bins closed on the right; rows whose ``override_col`` is listed get 1."""
     from seatcast.operators.aggregates import exact_quantiles
     q = exact_quantiles(df, [], col, [1.0 / 3.0, 2.0 / 3.0], ["q1", "q2"])
-    q1, q2 = q.select("q1").scalar(), q.select("q2").scalar()
+    r = q.first()
+    q1, q2 = r["q1"], r["q2"]
     label = F.when(F.col(col) <= q1, 1).when(F.col(col) <= q2, 2).otherwise(3)
     if overrides:
         label = F.when(F.col(override_col).isin(list(overrides)), 1).otherwise(label)

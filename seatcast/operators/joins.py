@@ -40,8 +40,8 @@ def ranks_by_fact_date(fact_dates: DataFrame, ranks: DataFrame, date_col: str =
     """
     dates = fact_dates.select(date_col).distinct()
     if mode == "fill":
-        m = dates.join(F.broadcast(ranks.select("rank_date", "van_rank")),
-                       dates[date_col] == F.col("rank_date"), "left").drop("rank_date")
+        r = bounded_broadcast(ranks.select("rank_date", "van_rank"), MAX_DATE_ROWS)
+        m = dates.join(r, dates[date_col] == F.col("rank_date"), "left").drop("rank_date")
         return ffill_bfill(m, "van_rank", date_col)
     if mode == "asof":
         r = ranks.select(F.col("rank_date").alias(date_col), F.col("van_rank"),
@@ -61,8 +61,7 @@ def join_ranking_asof(df: DataFrame, ranks: DataFrame, date_col: str = "calculat
     the result goes back to the fact through a broadcast equi-join, so the
     fact is never ordered globally.
     """
-    dim = ranks_by_fact_date(df, ranks, date_col, mode)
-    dim = F.broadcast(dim)  # one row per distinct fact date: calendar-bounded
+    dim = bounded_broadcast(ranks_by_fact_date(df, ranks, date_col, mode), MAX_DATE_ROWS)
     return df.join(dim, date_col, "left").withColumn("van_rank", F.col("van_rank").cast("int"))
 
 

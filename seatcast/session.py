@@ -22,9 +22,19 @@ LOCAL_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.parquet.aggregatePushdown": "true",
+    # AQE sizes post-shuffle partitions from the actual bytes; the static
+    # partition count only has to be large enough for the biggest stage.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.files.maxPartitionBytes": "128m",
 }
 
 
+def shuffle_partitions_for(shuffle_bytes: int, target_bytes: int = 128 << 20, minimum: int = 8) -> int:
+    """Shuffle partition count so each partition holds about ``target_bytes``
+    (e.g. 100 TB of shuffled fact -> ~800k partitions; AQE coalesces down)."""
+    return max(minimum, -(-int(shuffle_bytes) // int(target_bytes)))
+
+
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app_name: str = "seatcast") -> SparkSession:
     """Build (or reuse) a session with the library's defaults."""
