@@ -66,6 +66,19 @@ def q_scan_csv_glob(spark: SparkSession, d: str) -> DataFrame:
     return files.scan_csv_glob(spark, f"{root}/day_*/*.csv", s.schema)
 
 
+@register("scan_daily_stream", with_base("SELECT * FROM snapshot"))
+def q_scan_daily_stream(spark: SparkSession, d: str) -> DataFrame:
+    """Daily drops as CSV files, ingested incrementally with Structured Streaming."""
+    from seatcast.streaming import ingest_daily_drops
+    s = I.snapshot(spark, d)
+    root = files.scratch_path(spark, "drops")
+    early = F.col("calculate_date") < F.lit("1998-01-01").cast("date")
+    files.sink_csv(s.where(early), f"{root}/in/day_1")
+    files.sink_csv(s.where(~early), f"{root}/in/day_2")
+    ingest_daily_drops(spark, f"{root}/in/*", f"{root}/table", f"{root}/_checkpoint", s.schema)
+    return spark.read.parquet(f"{root}/table")
+
+
 @register("scan_dim_csv", with_base("SELECT team, data_name, opponent_rank FROM popularity"))
 def q_scan_dim_csv(spark: SparkSession, d: str) -> DataFrame:
     path = files.sink_csv(I.popularity(spark, d), files.scratch_path(spark, "popularity"))
