@@ -21,7 +21,6 @@ from pyspark.ml.feature import (Imputer, OneHotEncoder, PolynomialExpansion, SQL
                                 StringIndexer, VectorAssembler)
 from pyspark.ml.regression import (GBTRegressor, GeneralizedLinearRegression, LinearRegression,
                                    RandomForestRegressor)
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
