@@ -50,8 +50,11 @@ def preprocessed(spark: SparkSession, d: str, training: bool = True) -> DataFram
 
 
 def popularity(spark: SparkSession, d: str) -> DataFrame:
-    fans, social, aliases = td.team_rankings(spark, d)
-    return joins.popularity_table(fans, social, aliases, rivals=td.RIVAL_TEAMS)
+    """The opponent-popularity dimension (stored once, as the reference's CSV)."""
+    def build():
+        fans, social, aliases = td.team_rankings(spark, d)
+        return joins.popularity_table(fans, social, aliases, rivals=td.RIVAL_TEAMS)
+    return _stage(spark, d, "popularity", build)
 
 
 def standings(spark: SparkSession, d: str) -> DataFrame:
@@ -65,7 +68,7 @@ def ranks(spark: SparkSession, d: str) -> DataFrame:
 
 
 def web(spark: SparkSession, d: str) -> DataFrame:
-    return td.web_analytics(spark, d)
+    return _stage(spark, d, "web", lambda: td.web_analytics(spark, d))
 
 
 def featured(spark: SparkSession, d: str, training: bool = True) -> DataFrame:
