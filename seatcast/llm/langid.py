@@ -73,6 +73,7 @@ def softmax(z):
 def fit(rows: list[tuple[str, str]], seed: int = 7) -> Model:
     """Train on (text, language) pairs."""
     rng = np.random.default_rng(seed)
+    rows = [(t, lang) for t, lang in rows if any(map(str.isalpha, t))]
     langs = sorted({lang for _, lang in rows})
     n_buckets = 2 << BUCKET_BITS
     if len(langs) < 2:

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from seatcast.llm.common import shuffle_partitions, stage
 
-K, PIECE = 5, 16
+K, PIECE = 5, 4
 ROWS_IN_RANGE = 2_000     # about; bounds what a window buffers
 LOWEST = -(1 << 63)
 
