@@ -53,6 +53,17 @@ def held_out(doc_id: Column) -> Column:
     return id_crc(doc_id) % 5 == 0
 
 
+def least_hashes(rows: DataFrame, hash_col: str, n: int) -> DataFrame:
+    """About ``n`` of ``rows``: those whose hash lies in the lowest part of its
+    range that should hold as many (never more than ``2 * n``, whatever repeats).
+    Tasks send only these rows, so a training sample stays bounded however many
+    tasks read the corpus."""
+    total = rows.count()
+    share = min(1.0, n / total) if total else 1.0
+    part = F.pmod(F.col(hash_col), F.lit(1 << 32))
+    return rows.where(part < F.lit(int(share * (1 << 32)))).limit(2 * n)
+
+
 def filesystem(uri: str):
     """pyarrow file system and inner path of a Spark path (file, hdfs, s3, gs)."""
     from pyarrow import fs

@@ -4,8 +4,8 @@ The bytes of a text go through an embedding into overlapping chunks that cover
 it from end to end.  Learned filters slide over each chunk, and each filter's
 highest response is kept (max-pooling).  The mean and the maximum of the chunk
 vectors over the document feed one logistic output.  All weights are trained by
-Adam on the driver from at most ``SAMPLE`` labelled rows of at most
-``SAMPLE_BYTES`` bytes, of which each epoch sees up to ``TRAIN_CHUNKS`` chunks a
+Adam on the driver from about ``SAMPLE`` labelled rows (twice that at most) of
+at most ``SAMPLE_BYTES`` bytes, of which each epoch sees up to ``TRAIN_CHUNKS`` chunks a
 document.  The last fifth of the sample sets the output's scale and offset.
 
 Scoring runs on the executors over whole texts, ``BATCH`` chunks at a time.
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seatcast.llm.common import held_out
+from seatcast.llm.common import held_out, least_hashes, stage
 
 SAMPLE, SAMPLE_BYTES = 4_000, 20_000
 CHUNK, OVERLAP = 256, 16
@@ -180,13 +180,14 @@ def calibrate(m: Model, rows, labels) -> None:
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:
-    """Fit on the labelled rows of least id hash that may be learned from."""
+    """Fit on labelled rows of low id hash that may be learned from."""
     known = (labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-             .groupBy(F.col("doc_id").alias("id")).agg(F.max("quality").alias("y")))
-    texts = docs.where(F.octet_length(F.coalesce("text", F.lit(""))) <= SAMPLE_BYTES).select(
-        "doc_id", F.coalesce("text", F.lit("")).alias("t"))
-    rows = (texts.join(known, F.col("doc_id") == F.col("id")).select("t", "y", F.xxhash64("id", "t").alias("h"))
-            .orderBy("h", "t").limit(SAMPLE).select("t", "y").collect())
+             .groupBy(F.col("doc_id").alias("id")).agg(F.max("quality").alias("y"))
+             .withColumn("h", F.xxhash64(F.lit("quality"), "id")))
+    picked = stage(least_hashes(known, "h", SAMPLE), "picked")     # a few thousand ids: Spark broadcasts them
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("t")).where(F.octet_length("t") <= SAMPLE_BYTES)
+    rows = texts.join(picked, F.col("doc_id") == F.col("id")).select("t", "y", "h").limit(2 * SAMPLE).collect()
+    rows.sort(key=lambda r: (r["h"], r["t"]))
     return fit([(r["t"].encode(), int(r["y"])) for r in rows])
 
 
