@@ -34,6 +34,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from seatcast.llm.common import least_hashes
+
 SAMPLE, SAMPLE_BYTES = 300, 60_000
 ROUNDS, DEPTH, RATE, BINS, LEAST, L2 = 60, 4, 0.25, 32, 10, 1.0
 
@@ -512,8 +514,9 @@ def training_set(pages: list[str], seed: int = 5) -> tuple[np.ndarray, np.ndarra
 
 
 def train(pages: DataFrame) -> Trees | None:
-    sample = (pages.where(F.col("html").isNotNull() & (F.length("html") <= SAMPLE_BYTES))
-              .select("html", F.xxhash64("page_id", "html").alias("h")).orderBy("h", "html").limit(SAMPLE).collect())
+    usable = pages.where(F.col("html").isNotNull() & (F.length("html") <= SAMPLE_BYTES)).select(
+        "html", F.xxhash64(F.lit("pages"), "page_id").alias("h"))
+    sample = sorted(least_hashes(usable, "h", SAMPLE).collect(), key=lambda r: (r["h"], r["html"]))
     f, y, w = training_set([r["html"] for r in sample])
     return boost(f, y, w) if len(y) and 0 < y.sum() < len(y) else None
 

@@ -3,8 +3,8 @@
 A text is lower-cased, everything but letters becomes a blank, and its byte 3-
 and 4-grams (blanks mark word borders) are hashed into an embedding table.  The
 mean of their vectors goes through one linear layer.  Both are trained together
-by stochastic gradient descent in numpy on the driver from a sample of at most
-``SAMPLE`` labelled rows of at most ``SAMPLE_BYTES`` bytes; a fifth of it
+by stochastic gradient descent in numpy on the driver from a sample of about
+``SAMPLE`` labelled rows (twice that at most) of at most ``SAMPLE_BYTES`` bytes; a fifth of it
 is set aside to fit a temperature (so that a score is the chance of being right)
 and the score below which a prediction is rejected: ``KEEP`` of the set-aside
 rows lie above it, and no more than ``CEILING`` is asked for.
@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seatcast.llm.common import held_out
+from seatcast.llm.common import held_out, least_hashes
 
 SAMPLE, SAMPLE_BYTES = 4_000, 20_000
 BUCKET_BITS, DIM, EPOCHS, RATE = 16, 16, 8, 1.0
@@ -112,11 +112,11 @@ def fit(rows: list[tuple[str, str]], seed: int = 7) -> Model:
 
 
 def train(docs: DataFrame) -> Model:
-    """Fit on the sample: the rows of least id hash that may be learned from."""
+    """Fit on the sample: rows of low id hash that may be learned from."""
     known = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id"))
                        & (F.octet_length("text") <= SAMPLE_BYTES))
-    rows = (known.select(F.col("text").alias("t"), F.col("lang").alias("l"), F.xxhash64("doc_id", "text").alias("h"))
-            .orderBy("h", "t", "l").limit(SAMPLE).select("t", "l").collect())
+    known = known.select(F.col("text").alias("t"), F.col("lang").alias("l"), F.xxhash64(F.lit("lang"), "doc_id").alias("h"))
+    rows = sorted(least_hashes(known, "h", SAMPLE).collect(), key=lambda r: (r["h"], r["t"], r["l"]))
     return fit([(r["t"], r["l"]) for r in rows])
 
 
