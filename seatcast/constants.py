@@ -65,7 +65,7 @@ RESIDUAL_QUANTILES = (0.05, 0.95)
 TOP_PREDICTIONS = 20
 TOP_COEFFICIENTS = 20
 
-# --- fixed values: feature lists of the count models ---------------------------
+# --- fixed values: feature lists of the sequence model --------------------------
 NUMERIC_FEATURES = [
     "revenue_to_date", "st_rate", "opens", "holds", "pminventory",
     "ticket_sold_total", "ticket_sold_last_7days", "ticket_sold_yesterday", "host_sold_total",
@@ -95,3 +95,56 @@ POISSON_NUMERIC = [
 ]
 POISSON_CATEGORICAL = ["month", "opponent"]
 POISSON_PASSTHROUGH = ["bowl_location", "weekend_game", "inventory_normalized", "times_above_floor"]
+
+# --- fixed values: feature lists of the ridge baseline and boosted trees ----------
+BASELINE_NUMERIC = [
+    "revenue_to_date", "st_rate", "opens", "holds", "prp_currentprice", "prp_forwardtix", "prp_forwardrev",
+    "ticket_sold_total", "ticket_sold_last_7days", "ticket_sold_yesterday", "host_sold_total",
+    "host_sold_last_7days", "host_sold_yesterday", "resale_sold_2_days_ago", "resale_sold_last_7days",
+    "resale_sold_total", "resale_asp_2_days_ago", "resale_asp_last_7days", "resale_asp_total", "last_price",
+    "number_of_postings", "median_posting_price", "posting_below_cp", "lowest_post_price",
+    "highest_post_price", "host_sold_at_current_price", "days_until_game", "opponent_rank", "van_rank",
+    "tickets_sold_2_days_before_today", "tickets_sold_3_days_before_today", "tickets_sold_4_days_before_today",
+    "tickets_sold_5_days_before_today", "tickets_sold_6_days_before_today", "tickets_sold_7_days_before_today",
+    "weekend_game", "host_sold_agg_last_day", "unique_views", "tkt_qty",
+]
+BASELINE_CATEGORICAL = ["price_code", "month"]
+BASELINE_PASSTHROUGH = ["weekend_game", "bowl_location"]
+
+# --- fixed values: feature lists of the random forest (baseline plus pminventory) --
+RF_NUMERIC = [
+    "revenue_to_date", "st_rate", "opens", "holds", "pminventory", "prp_currentprice", "prp_forwardtix",
+    "prp_forwardrev", "ticket_sold_total", "ticket_sold_last_7days", "ticket_sold_yesterday", "host_sold_total",
+    "host_sold_last_7days", "host_sold_yesterday", "resale_sold_2_days_ago", "resale_sold_last_7days",
+    "resale_sold_total", "resale_asp_2_days_ago", "resale_asp_last_7days", "resale_asp_total", "last_price",
+    "number_of_postings", "median_posting_price", "posting_below_cp", "lowest_post_price",
+    "highest_post_price", "host_sold_at_current_price", "days_until_game", "opponent_rank", "van_rank",
+    "tickets_sold_2_days_before_today", "tickets_sold_3_days_before_today", "tickets_sold_4_days_before_today",
+    "tickets_sold_5_days_before_today", "tickets_sold_6_days_before_today", "tickets_sold_7_days_before_today",
+    "weekend_game", "host_sold_agg_last_day", "unique_views", "tkt_qty",
+]
+RF_CATEGORICAL = ["month", "opponent"]
+RF_PASSTHROUGH = ["weekend_game", "bowl_location", "price_code_ordinal", "times_above_floor", "inventory_normalized"]
+
+# --- fixed values: feature lists of the polynomial ridge --------------------------
+POLY_NUMERIC = [
+    "cap", "st_rate", "opens", "prp_forwardtix", "ticket_sold_total", "ticket_sold_last_7days",
+    "ticket_sold_yesterday", "host_sold_total", "host_sold_last_7days", "host_sold_yesterday",
+    "resale_sold_last_7days", "resale_sold_total", "resale_asp_last_7days", "resale_asp_total",
+    "initial_price", "last_price", "number_of_postings", "median_posting_price", "posting_below_cp",
+    "lowest_post_price", "highest_post_price", "host_sold_at_current_price", "days_until_game",
+    "opponent_rank", "van_rank", "host_sold_agg_last_day", "unique_views",
+]
+POLY_CATEGORICAL = ["month", "opponent", "price_code"]
+POLY_PASSTHROUGH = ["weekend_game"]
+
+# --- fixed values: passthrough list of the unpenalised GLM ------------------------
+GLM_PASSTHROUGH = ["weekend_game", "inventory_normalized", "times_above_floor"]
+
+# --- fixed values: random searches (settings drawn, penalty range, folds) ---------
+SEARCH_SETTINGS = 10
+POISSON_SEARCH = {"alpha": (0.0, 10000.0), "degree": [1, 2]}
+POISSON_KFOLD_SEARCH = {"alpha": (0.0, 1000.0), "degree": [1, 2]}
+POISSON_SEARCH_FOLDS = 3
+RIDGE_SEARCH = {"alpha": (0.0, 10000.0), "degree": [2]}
+RIDGE_SEARCH_FOLDS = 5

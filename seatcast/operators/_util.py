@@ -6,22 +6,6 @@ from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# Default row bound under which a dimension is broadcast.  Dimensions in this
-# library are keyed by team, price code or calendar date, so they stay far below.
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-def bounded_broadcast(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``dim`` only after checking its size.
-
-    The row count is taken on the dimension itself (never on a fact).  Above
-    the bound the plain DataFrame is returned, so the join falls back to a
-    shuffle join that AQE can still re-plan.
-    """
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
 
 
 @contextmanager
@@ -37,14 +21,3 @@ def persisted(df: DataFrame):
         yield df
     finally:
         df.unpersist()
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet under the session's shared checkpoint folder and
-    read it back: the lineage is cut (a lost executor re-reads files instead
-    of recomputing the stage) and later stages get column pruning and
-    predicate pushdown on the stored table."""
-    from seatcast.sources.files import scratch_path
-    path = scratch_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)

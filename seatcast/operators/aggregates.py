@@ -1,8 +1,7 @@
 """Report aggregates and metrics (survey 2.5).
 
-All aggregates are partial (map-side) aggregations.  Exact per-group
-quantiles go through a (group, value, count) histogram, so a group's work is
-bounded by its *distinct* values, never by its row count.
+All aggregates are partial (map-side) aggregations.  Exact quantiles split
+each group into value ranges, so no task orders a whole group.
 """
 
 from __future__ import annotations
@@ -12,8 +11,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seatcast.operators._util import bounded_broadcast
-
 
 def _cols(x: Sequence[str] | str) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
@@ -57,22 +54,43 @@ def histogram(long_df: DataFrame, name_col: str, value_col: str, width: float) -
             .withColumn("bin_end", (F.col("bin") + 1) * F.lit(float(width))))
 
 
+QUANTILE_BUCKETS = 64     # value ranges per group that share the ordered pass
+
+
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str,
                     probs: Sequence[float], names: Sequence[str]) -> DataFrame:
     """Exact quantiles with linear interpolation (numpy/pandas default) per group.
 
-    Rows are first collapsed to (group, value, count) -- a map-side combined
-    aggregate -- and the ordered pass runs per group over distinct values.
+    No group is ordered by one task.  Approximate percentiles cut each group
+    into value ranges; rows collapse to (group, range, value, count), a map-side
+    combined aggregate; the running count inside a range runs over its distinct
+    values, and the ranges' own totals (a small table) give where each begins.
+    The approximate marks only spread the work: the counts are exact.
     """
     keys = list(keys)
-    h = (df.where(F.col(value).isNotNull()).groupBy(*keys, value)
-           .agg(F.count(F.lit(1)).alias("_c")))
-    w = Window.partitionBy(*keys).orderBy(value) if keys else Window.orderBy(value)
-    wall = Window.partitionBy(*keys) if keys else Window.partitionBy()
-    h = h.withColumns({
-        "_end": F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, 0)),
-        "_n": F.sum("_c").over(wall),
-    }).withColumn("_start", F.col("_end") - F.col("_c"))
+    seen = df.where(F.col(value).isNotNull())
+    marks = F.percentile_approx(value, F.array(*[F.lit(i / QUANTILE_BUCKETS) for i in range(1, QUANTILE_BUCKETS)]),
+                                F.lit(20 * QUANTILE_BUCKETS)).alias("_marks")
+    named = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
+    marked = seen.groupBy(*named).agg(marks) if keys else seen.agg(marks)
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    if keys:
+        ranged = seen.join(marked, same)
+    else:
+        ranged = seen.withColumn("_marks", marked.select("_marks").scalar())
+    h = (ranged.select(*keys, value, F.size(F.filter("_marks", lambda m: m < F.col(value))).alias("_r"))
+         .groupBy(*keys, "_r", value).agg(F.count(F.lit(1)).alias("_c")))
+    totals = h.groupBy(*keys, "_r").agg(F.sum("_c").alias("_t"))
+    by_group = Window.partitionBy(*keys) if keys else Window.partitionBy()
+    before = by_group.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_r").alias("_tr"),
+                           F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_before"), F.sum("_t").over(by_group).alias("_n"))
+    inside = Window.partitionBy(*keys, "_r").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    h = (h.withColumn("_end", F.sum("_c").over(inside))
+         .join(totals, same & (F.col("_r") == F.col("_tr")))
+         .withColumn("_start", F.col("_before") + F.col("_end") - F.col("_c")))
     aggs = []
     for p, nm in zip(probs, names):
         # numpy's "linear" method, same floating-point steps: the virtual
@@ -84,7 +102,7 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str,
         hi = F.least(lo + 1, F.col("_n") - 1)
         aggs += [F.max(F.when(F.col("_start") <= lo, F.col(value))).alias(f"_{nm}_lo"),
                  F.max(F.when(F.col("_start") <= hi, F.col(value))).alias(f"_{nm}_hi"),
-                 F.first(pos - lo).alias(f"_{nm}_frac")]
+                 F.max(pos - lo).alias(f"_{nm}_frac")]
     g = h.groupBy(*keys).agg(*aggs) if keys else h.agg(*aggs)
     out = [F.col(k) for k in keys]
     for nm in names:
@@ -99,7 +117,7 @@ def median_by_code(df: DataFrame, key: str = "price_code", value: str = "last_pr
                    out: str = "median") -> DataFrame:
     """Group median broadcast back to each row (one row per group joins back)."""
     med = exact_quantiles(df, [key], value, [0.5], [out])
-    return df.join(bounded_broadcast(med), key, "left")
+    return df.join(med, key, "left")
 
 
 def box_stats(df: DataFrame, key: str = "price_code", value: str = "last_price") -> DataFrame:
@@ -108,7 +126,7 @@ def box_stats(df: DataFrame, key: str = "price_code", value: str = "last_price")
     q = exact_quantiles(df, [key], value, [0.25, 0.5, 0.75], ["q1", "median", "q3"])
     q = q.withColumns({"_lf": F.col("q1") - 1.5 * (F.col("q3") - F.col("q1")),
                        "_uf": F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))})
-    j = df.select(key, value).join(bounded_broadcast(q), key)
+    j = df.select(key, value).join(q, key)
     return (j.groupBy(key, "q1", "median", "q3")
              .agg(F.min(F.when(F.col(value) >= F.col("_lf"), F.col(value))).alias("lower_whisker"),
                   F.max(F.when(F.col(value) <= F.col("_uf"), F.col(value))).alias("upper_whisker"),
@@ -116,83 +134,132 @@ def box_stats(df: DataFrame, key: str = "price_code", value: str = "last_price")
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every column pair (pairwise complete rows) in one
-    aggregation pass, as a long table (feature_1, feature_2, correlation) with
-    both directions and the diagonal."""
+    """Pearson correlation of every column pair (pairwise complete rows), as a
+    long table (feature_1, feature_2, correlation) with both directions.
+
+    One pass: each Arrow batch gives, per pair, the count, sums, squares and
+    product of the rows that have both (matrix products of the masked values,
+    shifted by the column means so that nothing cancels); tasks add them up and
+    only these d*d sums are shuffled.  A constant column has no correlation
+    (NULL); the diagonal is 1."""
     cols = list(cols)
-    aggs = [F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{i}|{j}")
-            for i, a in enumerate(cols) for j, b in enumerate(cols) if i < j]
-    wide = df.agg(*aggs)
-    pairs = []
-    for i, a in enumerate(cols):
-        for j, b in enumerate(cols):
-            if i == j:
-                v = F.lit(1.0)
-            else:
-                v = F.col(f"`{min(i, j)}|{max(i, j)}`")
-            pairs.append(F.struct(F.lit(a).alias("feature_1"), F.lit(b).alias("feature_2"),
-                                  v.alias("correlation")))
-    return wide.select(F.explode(F.array(*pairs)).alias("p")).select("p.*")
+    d = len(cols)
+    means = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"c{i}") for i, c in enumerate(cols)]).first()
+    shift = [means[i] or 0.0 for i in range(d)]
+
+    def sums(batches):
+        import numpy as np
+        import pyarrow as pa
+        total = np.zeros((6, d, d))
+        for batch in batches:
+            x = np.column_stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(d)]).astype(float)
+            has = ~np.isnan(x)
+            x = np.where(has, x - shift, 0.0)
+            m = has.astype(float)
+            total += np.stack([m.T @ m, x.T @ m, m.T @ x, (x * x).T @ m, m.T @ (x * x), x.T @ x])
+        i, j = np.divmod(np.arange(d * d), d)
+        yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(j), *[pa.array(t.ravel()) for t in total]],
+                                         names=["i", "j", "n", "x", "y", "xx", "yy", "xy"])
+
+    parts = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)]).mapInArrow(
+        sums, "i bigint, j bigint, n double, x double, y double, xx double, yy double, xy double")
+    g = parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "x", "y", "xx", "yy", "xy")])
+    n, x, y = F.col("n"), F.col("x"), F.col("y")
+    var_x, var_y = F.col("xx") - x * F.try_divide(x, n), F.col("yy") - y * F.try_divide(y, n)
+    # what rounding leaves of a constant column's variance counts as none
+    flat = (var_x <= 1e-12 * F.col("xx")) | (var_y <= 1e-12 * F.col("yy"))
+    r = F.when(~flat, F.try_divide(F.col("xy") - x * F.try_divide(y, n), F.sqrt(F.greatest(var_x, F.lit(0.0)) * F.greatest(var_y, F.lit(0.0)))))
+    names = F.array(*map(F.lit, cols))
+    return g.select(names[F.col("i").cast("int")].alias("feature_1"), names[F.col("j").cast("int")].alias("feature_2"),
+                    F.when(F.col("i") == F.col("j"), 1.0).when(r.isNotNull(), F.least(F.greatest(r, F.lit(-1.0)), F.lit(1.0)))
+                    .alias("correlation"))      # (least and greatest pass over NULLs)
 
 
 def high_corr_pairs(corr_long: DataFrame, threshold: float = 0.8) -> DataFrame:
-    """Sub-matrix of the features that take part in some |r| >= threshold pair."""
-    hot = corr_long.where((F.abs("correlation") >= threshold) & (F.col("feature_1") != F.col("feature_2")))
-    feats = hot.select(F.col("feature_1").alias("f")).union(hot.select(F.col("feature_2").alias("f"))).distinct()
-    return (corr_long.join(feats.withColumnRenamed("f", "feature_1"), "feature_1", "left_semi")
-                     .join(feats.withColumnRenamed("f", "feature_2"), "feature_2", "left_semi"))
+    """Sub-matrix of the features that take part in some |r| >= threshold pair
+    (the table holds both directions, so a feature's row tells)."""
+    strong = F.max(F.when(F.col("feature_1") != F.col("feature_2"), F.abs("correlation")))
+    return (corr_long.withColumn("_a", strong.over(Window.partitionBy("feature_1")))
+            .withColumn("_b", strong.over(Window.partitionBy("feature_2")))
+            .where((F.col("_a") >= threshold) & (F.col("_b") >= threshold)).drop("_a", "_b"))
 
 
 def quantile_bounds(df: DataFrame, col: str = "residuals",
                     probs: tuple[float, float] = (0.05, 0.95), k: float = 1.5,
                     approx_accuracy: int | None = None) -> DataFrame:
-    """P_lo, P_hi and the bounds P_lo - k*(P_hi-P_lo), P_hi + k*(P_hi-P_lo).
+    """P_lo, P_hi and the bounds P_lo - k*(P_hi-P_lo), P_hi + k*(P_hi-P_lo), one row.
 
-    Exact (``percentile``, linear interpolation) by default; pass
-    ``approx_accuracy`` to use ``percentile_approx`` on very large inputs.
+    Exact (linear interpolation, see :func:`exact_quantiles`) by default; pass
+    ``approx_accuracy`` to use ``percentile_approx``.
     """
     if approx_accuracy:
-        q = F.percentile_approx(col, list(probs), approx_accuracy)
+        b = df.agg(F.percentile_approx(col, list(probs), approx_accuracy).alias("_q")).select(
+            F.col("_q")[0].alias("q_low"), F.col("_q")[1].alias("q_high"))
     else:
-        q = F.percentile(F.col(col), F.array(*[F.lit(float(p)) for p in probs]))
-    b = df.agg(q.alias("_q")).select(F.col("_q")[0].alias("q_low"), F.col("_q")[1].alias("q_high"))
+        b = exact_quantiles(df, [], col, probs, ["q_low", "q_high"])
     spread = F.col("q_high") - F.col("q_low")
     return b.withColumns({"lower_bound": F.col("q_low") - k * spread,
                           "upper_bound": F.col("q_high") + k * spread})
 
 
-def rmse_expr(label: str, pred: str) -> Column:
-    return F.sqrt(F.avg(F.pow(F.col(label) - F.col(pred), 2)))
+def residual_outliers(df: DataFrame, label: str, pred: str, event_id: str | None = None,
+                      out: str = "is_outlier", k: float = 1.5) -> DataFrame:
+    """``residuals = label - pred`` and whether they lie outside the bounds of
+    :func:`quantile_bounds` over all rows; with ``event_id`` only that event's
+    rows are marked.  The bounds are one row, read once as a scalar."""
+    r = df.withColumn("residuals", F.col(label).cast("double") - F.col(pred))
+    b = quantile_bounds(r, "residuals", k=k).select(F.struct("lower_bound", "upper_bound")).scalar()
+    mark = (F.col("residuals") < b["lower_bound"]) | (F.col("residuals") > b["upper_bound"])
+    if event_id is not None:
+        mark = mark & F.col("event_id").eqNullSafe(event_id)
+    return r.withColumn(out, mark)
 
 
-def r2_expr(label: str, pred: str, mean_label: Column) -> Column:
-    return 1 - F.sum(F.pow(F.col(label) - F.col(pred), 2)) / F.sum(F.pow(F.col(label) - mean_label, 2))
+def rmse_expr(label: str, pred: str) -> Column:
+    return F.sqrt(F.avg(F.pow(F.col(label) - F.col(pred), 2)))
 
 
 def regression_metrics(df: DataFrame, label: str, pred: str) -> DataFrame:
-    """RMSE and R^2 in one pass (R^2 via sum of squares and sums)."""
+    """RMSE and R^2 in one pass.  The total sum of squares is the count times
+    the population variance, which does not cancel; a constant label has no R^2
+    (NULL)."""
     y, p = F.col(label).cast("double"), F.col(pred).cast("double")
     n = F.count(F.lit(1))
     sse = F.sum(F.pow(y - p, 2))
-    sst = F.sum(F.pow(y, 2)) - F.pow(F.sum(y), 2) / n
     return df.where(F.col(label).isNotNull() & F.col(pred).isNotNull()).agg(
-        F.sqrt(sse / n).alias("rmse"), (1 - sse / sst).alias("r2"), n.alias("n"))
+        F.sqrt(F.try_divide(sse, n)).alias("rmse"), (1 - F.try_divide(sse, F.var_pop(y) * n)).alias("r2"), n.alias("n"))
+
+
+# --- fixed values: Lanczos approximation of the gamma function, g = 7, n = 9 ---
+LANCZOS = [0.99999999999980993, 676.5203681218851, -1259.1392167224028, 771.32342877765313, -176.61502916214059,
+           12.507343278686905, -0.13857109526572012, 9.9843695780195716e-6, 1.5056327351493116e-7]
+
+
+def log_gamma(x: Column) -> Column:
+    """Logarithm of the gamma function for x > 0 (Lanczos; about 1e-13)."""
+    z = x - 1
+    s = F.lit(LANCZOS[0])
+    for i, c in enumerate(LANCZOS[1:], 1):
+        s = s + F.lit(c) / (z + i)
+    t = z + 7.5
+    return F.lit(0.9189385332046727) + (z + 0.5) * F.log(t) - t + F.log(s)    # log(sqrt(2 pi)) first
+
 
+def nb_log_loss_expr(label: str, pred: str, alpha: float = 1.0) -> Column:
+    """Row-wise negative-binomial log likelihood with fixed dispersion ``alpha`` > 0.
 
-def nb_log_loss_expr(label: str, pred: str, alpha: int = 1) -> Column:
-    """Row-wise negative-binomial log likelihood with fixed dispersion ``alpha``
-    (integer): the gamma terms reduce to ``sum_{i<alpha} log(y+i) - log((alpha-1)!)``."""
-    if int(alpha) != alpha or alpha < 1:
-        raise ValueError("alpha must be a positive integer")
+    Zero predictions: a zero count is certain then (0); any other count is
+    impossible (minus infinity).  No row is left out."""
+    if alpha <= 0:
+        raise ValueError("alpha must be positive")
     y, mu = F.col(label).cast("double"), F.col(pred).cast("double")
     a = F.lit(float(alpha))
-    t1 = F.lit(0.0)
-    for i in range(1, int(alpha)):
-        t1 = t1 + F.log(y + i) - F.log(F.lit(float(i)))
-    return t1 + a * F.log(a / (a + mu)) + y * F.log(mu / (a + mu))
+    t1 = log_gamma(y + a) - log_gamma(a) - log_gamma(y + 1) if alpha != 1 else F.lit(0.0)
+    t3 = F.when(y == 0, 0.0).when(mu == 0, F.lit(float("-inf"))).otherwise(y * F.log(mu / (a + mu)))
+    return t1 + a * F.log(a / (a + mu)) + t3
 
 
-def nb_log_loss(df: DataFrame, label: str, pred: str, alpha: int = 1) -> DataFrame:
+def nb_log_loss(df: DataFrame, label: str, pred: str, alpha: float = 1.0) -> DataFrame:
     return df.agg((-F.avg(nb_log_loss_expr(label, pred, alpha))).alias("nb_loss"))
 
 

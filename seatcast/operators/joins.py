@@ -2,9 +2,9 @@
 
 Dimensions here are keyed by team, by calendar date or by (event date,
 as-of date): their size is bounded by the league or the calendar, not by the
-fact.  Team and web dimensions are broadcast behind a row-count check
-(``bounded_broadcast``); date dimensions are built from the fact's *distinct*
-dates, a calendar-bounded set.
+fact.  No join carries a hint: Spark broadcasts a side whose size it knows to be
+below ``autoBroadcastJoinThreshold``, adaptive execution does so once a side
+has been measured, and anything larger stays a shuffle join.
 """
 
 from __future__ import annotations
@@ -15,17 +15,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from seatcast import constants as C
-from seatcast.operators._util import bounded_broadcast
 from seatcast.operators.features import ffill_bfill
 
-# Distinct calendar dates: 100 years of days.  A date dimension above this is
-# not a date dimension, and the join falls back to a shuffle join.
-MAX_DATE_ROWS = 40_000
-
 
 def join_popularity(df: DataFrame, popularity: DataFrame, opponent: str = "opponent") -> DataFrame:
     """Left join ``opponent = data_name``; missing rank -> -1.  ``data_name`` is kept."""
-    dim = bounded_broadcast(popularity.select("data_name", "opponent_rank"))
+    dim = popularity.select("data_name", "opponent_rank")
     return (df.join(dim, df[opponent] == dim["data_name"], "left")
               .withColumn("opponent_rank", F.coalesce(F.col("opponent_rank").cast("int"), F.lit(-1))))
 
@@ -36,13 +31,15 @@ def ranks_by_fact_date(fact_dates: DataFrame, ranks: DataFrame, date_col: str =
 
     ``mode="fill"`` (reference semantics): exact match on the date, then
     forward fill and back fill along the fact dates; a rank date that is not a
-    fact date never propagates.  ``mode="asof"``: latest rank date <= fact date.
+    fact date never propagates.  ``mode="ffill"``: the same without the back fill
+    (dates before the first rank stay NULL).  ``mode="asof"``: latest rank date
+    <= fact date.
     """
     dates = fact_dates.select(date_col).distinct()
-    if mode == "fill":
-        r = bounded_broadcast(ranks.select("rank_date", "van_rank"), MAX_DATE_ROWS)
+    if mode in ("fill", "ffill"):
+        r = ranks.select("rank_date", "van_rank")
         m = dates.join(r, dates[date_col] == F.col("rank_date"), "left").drop("rank_date")
-        return ffill_bfill(m, "van_rank", date_col)
+        return ffill_bfill(m, "van_rank", date_col, backward=mode == "fill")
     if mode == "asof":
         r = ranks.select(F.col("rank_date").alias(date_col), F.col("van_rank"),
                          F.lit(0).alias("_is_fact"))
@@ -54,14 +51,15 @@ def ranks_by_fact_date(fact_dates: DataFrame, ranks: DataFrame, date_col: str =
 
 
 def join_ranking_asof(df: DataFrame, ranks: DataFrame, date_col: str = "calculate_date",
-                      mode: str = "fill") -> DataFrame:
+                      mode: str = "fill", fact_dates: DataFrame | None = None) -> DataFrame:
     """Add ``van_rank`` to every fact row (see :func:`ranks_by_fact_date`).
 
     The fill runs on the distinct fact dates only (one row per calendar day);
-    the result goes back to the fact through a broadcast equi-join, so the
-    fact is never ordered globally.
+    the result goes back to the fact through an equi-join, so the fact is never
+    ordered globally.  ``fact_dates`` gives the dates where ``df`` holds only
+    some of the fact's rows, or where a cheaper frame has them.
     """
-    dim = bounded_broadcast(ranks_by_fact_date(df, ranks, date_col, mode), MAX_DATE_ROWS)
+    dim = ranks_by_fact_date(df if fact_dates is None else fact_dates, ranks, date_col, mode)
     return df.join(dim, date_col, "left").withColumn("van_rank", F.col("van_rank").cast("int"))
 
 
@@ -80,8 +78,8 @@ def join_web_analytics(df: DataFrame, web: DataFrame, prefix: str = C.DEFAULT_HO
     """Left join on (event_date, calculate_date) = (Event_Date, as_of_date)."""
     # Spark resolves names case-insensitively: rename the web keys so that
     # dropping them cannot touch the fact's ``event_date``.
-    dim = bounded_broadcast(web_daily(web, prefix).withColumnsRenamed(
-        {"Event_Date": "_web_event_date", "as_of_date": "_web_as_of_date"}))
+    dim = web_daily(web, prefix).withColumnsRenamed(
+        {"Event_Date": "_web_event_date", "as_of_date": "_web_as_of_date"})
     cond = (df["event_date"] == dim["_web_event_date"]) & (df["calculate_date"] == dim["_web_as_of_date"])
     return df.join(dim, cond, "left").drop("_web_event_date", "_web_as_of_date")
 
@@ -115,7 +113,7 @@ def membership_join(df: DataFrame, dates: DataFrame, date_col: str = "calculate_
 
 def team_alias(df: DataFrame, aliases: DataFrame, team: str = "team", out: str = "data_name") -> DataFrame:
     """Map team -> short name through an alias table (left join; unmapped -> NULL)."""
-    dim = bounded_broadcast(aliases.select(F.col("team").alias(team), F.col("data_name").alias(out)))
+    dim = aliases.select(F.col("team").alias(team), F.col("data_name").alias(out))
     return df.join(dim, team, "left")
 
 

@@ -15,10 +15,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from math import comb
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import (Imputer, OneHotEncoder, PolynomialExpansion, SQLTransformer,
+from pyspark.ml.feature import (ElementwiseProduct, Imputer, OneHotEncoder, PolynomialExpansion, SQLTransformer,
                                 StringIndexer, VectorAssembler)
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import (GBTRegressor, GeneralizedLinearRegression, LinearRegression,
                                    RandomForestRegressor)
 from pyspark.sql import DataFrame
@@ -34,18 +36,13 @@ class FeatureSet:
     categorical: Sequence[str] = ()
     passthrough: Sequence[str] = ()
 
-    def present(self, df: DataFrame) -> "FeatureSet":
-        """Keep only columns present in ``df``, dropping duplicates in order."""
-        seen: set[str] = set()
-
-        def keep(cols):
-            out = []
-            for c in cols:
-                if c in df.columns and c not in seen:
-                    seen.add(c)
-                    out.append(c)
-            return tuple(out)
-        return FeatureSet(keep(self.numeric), keep(self.categorical), keep(self.passthrough))
+    def checked(self, df: DataFrame) -> "FeatureSet":
+        """The set without repeats inside a list; a listed feature that ``df``
+        lacks is an error, so that a renamed column cannot train another model."""
+        lacking = [c for c in (*self.numeric, *self.categorical, *self.passthrough) if c not in df.columns]
+        if lacking:
+            raise ValueError(f"features not in the frame: {', '.join(lacking)}")
+        return FeatureSet(*(tuple(dict.fromkeys(cols)) for cols in (self.numeric, self.categorical, self.passthrough)))
 
 
 def _q(c: str) -> str:
@@ -56,13 +53,6 @@ def impute_zero(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.fillna(0, subset=list(cols))
 
 
-def impute_stats(df: DataFrame, cols: Sequence[str], strategy: str = "mean") -> DataFrame:
-    """Fitted imputation values: one aggregate pass (mean / median / mode)."""
-    imp = Imputer(strategy=strategy, inputCols=list(cols), outputCols=list(cols))
-    model = imp.fit(df)
-    return model.surrogateDF
-
-
 def impute(df: DataFrame, cols: Sequence[str], strategy: str = "mean") -> DataFrame:
     imp = Imputer(strategy=strategy, inputCols=list(cols), outputCols=list(cols))
     return imp.fit(df.select(*[F.col(c).cast("double") if c in cols else F.col(c) for c in df.columns])) \
@@ -105,11 +95,15 @@ def impute_stages(fs: FeatureSet, impute_numeric: str | None = "zero") -> list:
 
 
 def encode_stages(fs: FeatureSet, degree: int = 1, scale_poly: bool = False,
-                  out: str = "features") -> list:
+                  out: str = "features", rows: int | None = None, dummies: dict | None = None) -> list:
     """(poly) -> one-hot -> passthrough -> assemble.
 
-    One-hot keeps every seen category; unknown categories map to all zeros
-    (``handleInvalid='keep'`` + ``dropLast``: only the unknown slot is dropped).
+    One-hot keeps every seen category; unknown and NULL ones map to all zeros:
+    the indexer gives them the last index, and the encoder drops the last slot.
+    ``dummies`` (column -> its categories, see :func:`categories`) instead gives
+    0/1 columns for all but the first one, as an unpenalised intercept needs.
+    Polynomial terms are scaled by the population std:
+    Spark divides by the sample std, ``rows`` gives the factor between the two.
     """
     stages, vec_inputs = [], []
     num = list(fs.numeric)
@@ -119,22 +113,33 @@ def encode_stages(fs: FeatureSet, degree: int = 1, scale_poly: bool = False,
             stages.append(PolynomialExpansion(degree=degree, inputCol="_num_raw", outputCol="_num_poly"))
             if scale_poly:
                 from pyspark.ml.feature import StandardScaler
-                stages.append(StandardScaler(inputCol="_num_poly", outputCol="_num_poly_s",
+                stages.append(StandardScaler(inputCol="_num_poly", outputCol="_num_poly_c",
                                              withMean=True, withStd=True))
+                n = rows or 0
+                terms = comb(len(num) + degree, degree) - 1
+                factor = (n / (n - 1)) ** 0.5 if n > 1 else 1.0
+                stages.append(ElementwiseProduct(scalingVec=Vectors.dense([factor] * terms),
+                                                 inputCol="_num_poly_c", outputCol="_num_poly_s"))
                 vec_inputs.append("_num_poly_s")
             else:
                 vec_inputs.append("_num_poly")
         else:
             vec_inputs += num
     cats = list(fs.categorical)
-    if cats:
+    if cats and dummies is not None:
+        made = {f"{c}_{v}": f"CAST(CAST({_q(c)} AS STRING) <=> {_sql_text(v)} AS DOUBLE)"
+                for c in cats for v in dummies[c][1:]}
+        stages.append(SQLTransformer(statement="SELECT *, " + ", ".join(
+            f"{e} AS {_q(n)}" for n, e in made.items()) + " FROM __THIS__"))
+        vec_inputs += list(made)
+    elif cats:
         idx = [f"_{c}_idx" for c in cats]
         ohe = [f"_{c}_ohe" for c in cats]
         cast = ", ".join(f"CAST({_q(c)} AS STRING) AS {_q('_' + c + '_str')}" for c in cats)
         stages.append(SQLTransformer(statement=f"SELECT *, {cast} FROM __THIS__"))
         stages.append(StringIndexer(inputCols=[f"_{c}_str" for c in cats], outputCols=idx,
                                     handleInvalid="keep", stringOrderType="alphabetAsc"))
-        stages.append(OneHotEncoder(inputCols=idx, outputCols=ohe, dropLast=True, handleInvalid="keep"))
+        stages.append(OneHotEncoder(inputCols=idx, outputCols=ohe, dropLast=True))
         vec_inputs += ohe
     pas = list(fs.passthrough)
     if pas:
@@ -145,20 +150,41 @@ def encode_stages(fs: FeatureSet, degree: int = 1, scale_poly: bool = False,
     return stages
 
 
+MAX_CATEGORIES, MAX_SEGMENTS = 1_000, 100
+
+
+def categories(df: DataFrame, cols: Sequence[str]) -> dict[str, list[str]]:
+    """Sorted distinct values (as text) of each column; more than
+    ``MAX_CATEGORIES`` of them is an error, since each one is a model column."""
+    out = {}
+    for c in cols:
+        got = [r[0] for r in df.select(F.col(c).cast("string").alias("v")).where("v is not null").distinct()
+               .orderBy("v").limit(MAX_CATEGORIES + 1).collect()]
+        if len(got) > MAX_CATEGORIES:
+            raise ValueError(f"{c} has more than {MAX_CATEGORIES} categories")
+        out[c] = got
+    return out
+
+
+def _sql_text(v: str) -> str:
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def _label(df: DataFrame, label: str) -> DataFrame:
     return df.where(F.col(label).isNotNull()).withColumn(label, F.col(label).cast("double"))
 
 
 def fit_model(df: DataFrame, fs: FeatureSet, estimator, label: str = C.TARGET,
-              scale: bool = True, degree: int = 1, impute_numeric: str | None = "zero") -> PipelineModel:
+              scale: bool = True, degree: int = 1, impute_numeric: str | None = "zero",
+              drop_first: bool = False) -> PipelineModel:
     """Impute -> scale (population std, fitted here) -> encode -> estimator."""
     with persisted(_label(df, label)) as train:
-        return _fit_stages(train, fs, estimator, scale, degree, impute_numeric)
+        return _fit_stages(train, fs, estimator, scale, degree, impute_numeric, drop_first)
 
 
 def _fit_stages(train: DataFrame, fs: FeatureSet, estimator, scale: bool, degree: int,
-                impute_numeric: str | None) -> PipelineModel:
-    fs = fs.present(train)
+                impute_numeric: str | None, drop_first: bool = False) -> PipelineModel:
+    fs = fs.checked(train)
     if impute_numeric in ("mean", "median", "mode") and fs.numeric:
         # like sklearn's imputers, drop features with no observed value
         cnt = train.agg(*[F.count(F.col(c)).alias(c) for c in fs.numeric]).first()
@@ -168,7 +194,8 @@ def _fit_stages(train: DataFrame, fs: FeatureSet, estimator, scale: bool, degree
     if scale and degree == 1 and fs.numeric:
         pre = Pipeline(stages=imp).fit(train).transform(train) if imp else train
         stages.append(population_scaler(pre, fs.numeric))
-    stages += encode_stages(fs, degree, scale_poly=scale and degree > 1)
+    stages += encode_stages(fs, degree, scale_poly=scale and degree > 1, rows=train.count() if degree > 1 else None,
+                            dummies=categories(train, fs.categorical) if drop_first else None)
     return Pipeline(stages=stages + [estimator]).fit(train)
 
 
@@ -213,9 +240,17 @@ def fit_poisson(df: DataFrame, fs: FeatureSet, alpha: float = C.POISSON_ALPHA, d
 
 
 def fit_poisson_unpenalized(df: DataFrame, fs: FeatureSet, label: str = C.TARGET) -> PipelineModel:
+    """Poisson GLM without a penalty: drop-first dummies, constant-0 imputation."""
     est = GeneralizedLinearRegression(family="poisson", link="log", labelCol=label, regParam=0.0,
-                                      maxIter=100)
-    return fit_model(df, fs, est, label, True)
+                                      maxIter=100, tol=1e-10)
+    return fit_model(df, fs, est, label, True, drop_first=True)
+
+
+def fit_group_means(df: DataFrame, keys: Sequence[str], label: str = C.TARGET) -> PipelineModel:
+    """Saturated Poisson model of one categorical key: at its optimum the
+    prediction of a row is the mean label of its category."""
+    est = GeneralizedLinearRegression(family="poisson", link="log", labelCol=label, regParam=0.0, maxIter=100, tol=1e-12)
+    return fit_model(df, FeatureSet([], list(keys), []), est, label, scale=False, drop_first=True)
 
 
 def fit_random_forest(df: DataFrame, fs: FeatureSet, label: str = C.TARGET, **kw) -> PipelineModel:
@@ -223,14 +258,15 @@ def fit_random_forest(df: DataFrame, fs: FeatureSet, label: str = C.TARGET, **kw
     est = RandomForestRegressor(labelCol=label, numTrees=p["numTrees"], maxDepth=p["maxDepth"],
                                 minInstancesPerNode=p["minInstancesPerNode"], seed=p["seed"],
                                 featureSubsetStrategy="all")
-    return fit_model(df, fs, est, label, scale=False)
+    return fit_model(df, fs, est, label, scale=True, impute_numeric="mean")
 
 
 def fit_gbt(df: DataFrame, fs: FeatureSet, label: str = C.TARGET, **kw) -> PipelineModel:
     p = {**C.GBT_PARAMS, **kw}
     est = GBTRegressor(labelCol=label, maxIter=p["maxIter"], maxDepth=p["maxDepth"],
-                       stepSize=p["stepSize"], featureSubsetStrategy=str(p["subset"]), seed=p["seed"])
-    return fit_model(df, fs, est, label, scale=False)
+                       stepSize=p["stepSize"], featureSubsetStrategy=str(p["subset"]), seed=p["seed"],
+                       cacheNodeIds=True, checkpointInterval=p.get("checkpointInterval", 50))
+    return fit_model(df, fs, est, label, scale=True, impute_numeric="mean")
 
 
 def feature_names(model: PipelineModel, scored: DataFrame, col: str = "features") -> list[str]:
@@ -260,23 +296,44 @@ def coef_table(model: PipelineModel, scored: DataFrame, prefix: str | None = Non
 
 
 def fit_segmented(df: DataFrame, segment_col: str, fit_fn) -> dict:
-    """One model per segment value (e.g. bowl 0 / 1)."""
-    values = [r[0] for r in df.select(segment_col).distinct().orderBy(segment_col).collect()]
+    """One model per segment value (e.g. bowl 0 / 1); a column with more than
+    ``MAX_SEGMENTS`` values is no segment column."""
+    values = [r[0] for r in df.select(segment_col).where(F.col(segment_col).isNotNull()).distinct()
+              .orderBy(segment_col).limit(MAX_SEGMENTS + 1).collect()]
+    if len(values) > MAX_SEGMENTS:
+        raise ValueError(f"{segment_col} has more than {MAX_SEGMENTS} values")
     return {v: fit_fn(df.where(F.col(segment_col) == v)) for v in values}
 
 
-def score_segmented(df: DataFrame, segment_col: str, models: dict, out: str = "prediction") -> DataFrame:
-    """Route each row to its segment's model: filter + union of the scored parts."""
-    parts = []
+def score_segmented(df: DataFrame, segment_col: str, models: dict, out: str = "prediction", default=None) -> DataFrame:
+    """Route each row to its segment's model: filter + union of the scored parts.
+
+    Rows of a segment without a model, NULL included, go to the ``default``
+    segment's model (the last one unless given), so no row is lost."""
+    if default is None:
+        default = list(models)[-1]
+    seg, others, parts = F.col(segment_col), [v for v in models if v != default], []
     for v, m in models.items():
-        s = m.transform(df.where(F.col(segment_col) == v))
-        parts.append(s.select(*df.columns, F.col("prediction").alias(out)))
+        own = ~F.coalesce(seg.isin(others), F.lit(False)) if v == default else seg == v
+        parts.append(m.transform(df.where(own)).select(*df.columns, F.col("prediction").alias(out)))
     out_df = parts[0]
     for p in parts[1:]:
         out_df = out_df.unionByName(p)
     return out_df
 
 
+def predict_batch(rows: DataFrame, poisson_model: PipelineModel, segment_col: str, models: dict) -> DataFrame:
+    """Both predictions of every row: by its segment's model and by the Poisson model."""
+    seg = score_segmented(rows, segment_col, models, "predicted_segmented")
+    return poisson_model.transform(seg).withColumnRenamed("prediction", "predicted_poisson").select(
+        *rows.columns, "predicted_segmented", "predicted_poisson")
+
+
+def results(scored: DataFrame, keys: Sequence[str], label: str = C.TARGET) -> DataFrame:
+    """Keys with the true and the predicted value."""
+    return scored.select(*keys, F.col(label).alias("y_true"), F.col("prediction").alias("y_pred"))
+
+
 def save_model(model: PipelineModel, path: str) -> str:
     model.write().overwrite().save(path)
     return path

@@ -57,18 +57,6 @@ def fold_frames(df: DataFrame, fold: dict, date_col: str = "calculate_date") ->
     return train, valid
 
 
-def fold_counts(df: DataFrame, folds: DataFrame, date_col: str = "calculate_date") -> DataFrame:
-    """Rows per fold in train and validation, from one scan (range joins on
-    the small fold table, broadcast: one row per fold)."""
-    d = df.groupBy(F.col(date_col).alias("_d")).agg(F.count(F.lit(1)).alias("_n"))
-    f = F.broadcast(folds)
-    tr = (d.join(f, (F.col("_d") >= F.col("train_from")) & (F.col("_d") <= F.col("train_to")))
-           .groupBy("fold").agg(F.sum("_n").alias("train_rows")))
-    va = (d.join(f, (F.col("_d") >= F.col("valid_from")) & (F.col("_d") <= F.col("valid_to")))
-           .groupBy("fold").agg(F.sum("_n").alias("valid_rows")))
-    return folds.join(tr, "fold", "left").join(va, "fold", "left")
-
-
 def backtest(df: DataFrame, fit_predict: Callable[[DataFrame, DataFrame], DataFrame],
              label: str = C.TARGET, pred: str = "prediction",
              train_dates: int = C.BACKTEST_TRAIN_DATES, valid_dates: int = C.BACKTEST_VALID_DATES,
@@ -96,9 +84,16 @@ def backtest(df: DataFrame, fit_predict: Callable[[DataFrame, DataFrame], DataFr
     return spark.createDataFrame(rows, schema)
 
 
+def hash_share(keys: Sequence[str], seed: int = 42):
+    """A number in [0, 2**32) from the md5 of the row keys: the same in every
+    engine and for every partitioning."""
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in keys])
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("bigint")
+
+
 def hash_fold(keys: Sequence[str], k: int, seed: int = 42):
     """Deterministic fold id in [0, k) from a hash of the row keys."""
-    return F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in keys]), F.lit(k)).cast("int")
+    return (hash_share(keys, seed) % k).cast("int")
 
 
 def kfold_assign(df: DataFrame, keys: Sequence[str], k: int = 5, seed: int = 42,
@@ -109,8 +104,55 @@ def kfold_assign(df: DataFrame, keys: Sequence[str], k: int = 5, seed: int = 42,
 def holdout_split(df: DataFrame, keys: Sequence[str], test_fraction: float = 0.2,
                   seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """Reproducible hash split (same rows whatever the partitioning)."""
-    u = (F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in keys]), F.lit(1_000_000)) / 1_000_000.0)
-    return df.where(u >= test_fraction), df.where(u < test_fraction)
+    cut = int(test_fraction * 2**32)
+    u = hash_share(keys, seed)
+    return df.where(u >= cut), df.where(u < cut)
+
+
+def kfold_scores(df: DataFrame, fit: Callable[[DataFrame], object], k: int = 5, label: str = C.TARGET,
+                 pred: str = "prediction", fold: str = "fold", threads: int = 4) -> DataFrame:
+    """Train and test RMSE of every fold: fold, n, rmse, train_rmse.
+
+    Fits of different folds are independent Spark jobs; a few run side by side
+    from driver threads."""
+    from multiprocessing.pool import ThreadPool
+
+    def one(i: int):
+        model = fit(data.where(F.col(fold) != i))
+        scored = model.transform(data)
+        own = F.when(F.col(fold) == i, F.pow(F.col(label) - F.col(pred), 2))
+        rest = F.when(F.col(fold) != i, F.pow(F.col(label) - F.col(pred), 2))
+        r = scored.agg(F.count(own), F.sqrt(F.avg(own)), F.sqrt(F.avg(rest))).first()
+        return (i, int(r[0]), *(None if x is None else float(x) for x in r[1:]))
+
+    with persisted(df) as data, ThreadPool(threads) as pool:
+        rows = pool.map(one, range(k))
+    return df.sparkSession.createDataFrame(rows, "fold int, n bigint, rmse double, train_rmse double")
+
+
+def random_search(df: DataFrame, fit: Callable[[DataFrame, dict], object], candidates: Sequence[dict], k: int,
+                  label: str = C.TARGET, pred: str = "prediction", fold: str = "fold", threads: int = 4):
+    """Mean squared error of every candidate over ``k`` folds, and the best one
+    refitted on all rows: (table of candidate, mean_mse, std_mse; best setting;
+    its model)."""
+    from multiprocessing.pool import ThreadPool
+    from statistics import fmean, pstdev
+
+    def one(job):
+        c, i = job
+        model = fit(data.where(F.col(fold) != i), candidates[c])
+        r = model.transform(data.where(F.col(fold) == i)).agg(F.avg(F.pow(F.col(label) - F.col(pred), 2))).first()
+        return c, float(r[0])
+
+    with persisted(df) as data, ThreadPool(threads) as pool:
+        done = pool.map(one, [(c, i) for c in range(len(candidates)) for i in range(k)], chunksize=1)
+        scores = [[s for c, s in done if c == n] for n in range(len(candidates))]
+        best = min(range(len(candidates)), key=lambda n: fmean(scores[n]))
+        model = fit(data, candidates[best])
+    rows = [(n, *[float(v) for v in candidates[n].values()], fmean(s), pstdev(s), n == best) for n, s in enumerate(scores)]
+    names = ", ".join(f"{c} double" for c in candidates[0])
+    table = df.sparkSession.createDataFrame(rows, f"candidate int, {names}, mean_mse double, std_mse double, best boolean")
+    return table, candidates[best], model
 
 
 def sample_param_maps(space: dict, n: int = 10, seed: int = 42) -> list[dict]:

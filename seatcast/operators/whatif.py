@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from seatcast import constants as C
 from seatcast.functions import columns as X
-from seatcast.operators._util import bounded_broadcast
 from seatcast.operators.aggregates import price_range_by_code
 
 Scorer = Callable[[DataFrame], DataFrame]
@@ -51,10 +50,18 @@ def with_grid(rows: DataFrame, lo, hi, n: int, value_col: str = "grid_value",
 def demand_curve_price(rows: DataFrame, scorer: Scorer, reference: DataFrame | None = None,
                        n: int = C.PRICE_GRID_POINTS, keys: Sequence[str] = ()) -> DataFrame:
     """Each selected row x ``n`` prices between its code's min and max
-    ``last_price`` (range taken on ``reference``); only ``last_price`` changes."""
-    ranges = bounded_broadcast(price_range_by_code(reference if reference is not None else rows))
-    g = with_grid(rows.join(ranges, "price_code"), F.col("min_price"), F.col("max_price"), n)
-    g = g.withColumn("last_price", F.col("grid_value")).drop("min_price", "max_price", "grid_value")
+    ``last_price`` (range taken on ``reference``); only ``last_price`` changes.
+    A code that the reference lacks, NULL included, takes its range from the
+    rows themselves, so every row keeps its curve."""
+    known = price_range_by_code(reference if reference is not None else rows).withColumnsRenamed(
+        {"price_code": "_code", "min_price": "_min", "max_price": "_max"})
+    own = price_range_by_code(rows).withColumnsRenamed({"price_code": "_own"})
+    g = (rows.join(known, F.col("price_code").eqNullSafe(F.col("_code")), "left")
+         .join(own, F.col("price_code").eqNullSafe(F.col("_own")), "left"))
+    lo, hi = F.coalesce("_min", "min_price"), F.coalesce("_max", "max_price")
+    g = with_grid(g.withColumn("_lo", lo).withColumn("_hi", hi), F.col("_lo"), F.col("_hi"), n)
+    g = g.withColumn("last_price", F.col("grid_value")).drop(
+        "_code", "_own", "_min", "_max", "min_price", "max_price", "_lo", "_hi", "grid_value")
     scored = scorer(g)
     return scored.select(*keys, "grid_idx", "last_price", "prediction") if keys else scored
 

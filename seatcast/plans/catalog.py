@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from seatcast import constants as C
 from seatcast import schemas
@@ -85,6 +86,26 @@ def q_scan_dim_csv(spark: SparkSession, d: str) -> DataFrame:
     return files.scan_dim_csv(spark, path, schemas.OPPONENT_POPULARITY)
 
 
+RAW_COLS = [f.name for f in schemas.SNAPSHOT.fields]
+
+
+@register("ingest_raw", with_base(
+    f"SELECT {', '.join(RAW_COLS)} FROM (SELECT * REPLACE (CAST(ticket_sold_total AS BIGINT) AS ticket_sold_total) FROM snapshot)"))
+def q_ingest_raw(spark: SparkSession, d: str) -> DataFrame:
+    """The snapshot exported with raw names and text dates, one file with its
+    columns in another order and a row without a key, and read back."""
+    s = I.snapshot(spark, d).select(*RAW_COLS).withColumn("calculate_date", F.date_format("calculate_date", "MM/dd/yyyy"))
+    s = schemas.to_raw_names(s.withColumn("ticket_sold_total", F.col("ticket_sold_total").cast("bigint")))
+    root = files.scratch_path(spark, "raw")
+    early = F.col("calculate_date").endswith("1996")
+    files.sink_csv(s.where(early), f"{root}/day_a")
+    files.sink_csv(s.where(~early).select(*reversed(s.columns)), f"{root}/day_b")
+    files.sink_csv(s.limit(1).withColumn("event_id", F.lit(None).cast("string")), f"{root}/day_c")
+    text = StructType([StructField(f.name, StringType()) for f in s.schema.fields])
+    good, _ = files.ingest_raw(files.scan_csv_glob(spark, f"{root}/day_*/*.csv", text))
+    return good
+
+
 @register("sink_parquet", with_base("SELECT * FROM pre"))
 def q_sink_parquet(spark: SparkSession, d: str) -> DataFrame:
     path = files.sink_parquet(I.preprocessed(spark, d), files.scratch_path(spark, "processed"))
@@ -182,7 +203,7 @@ FEAT_NUMERIC = [
     "cap", "pminventory", "opens", "holds", "revenue_to_date", "st_rate", "initial_price", "last_price",
     "ticket_sold_total", "host_sold_total", "host_sold_yesterday", "host_sold_at_current_price",
     "resale_sold_total", "number_of_postings", "lowest_post_price", "highest_post_price",
-    "target_host_sold_today"] + [f"tickets_sold_{i}_days_before_today" for i in range(2, 8)] + [
+    "target_host_sold_today"] + td.EXTRA_MEASURES + [f"tickets_sold_{i}_days_before_today" for i in range(2, 8)] + [
     "weekend_game", "month", "days_until_game", "opponent_rank", "van_rank", "bowl_location",
     "host_sold_agg_last_day", "host_sold_agg_last_day_samebowl", "unique_views", "order_qty", "tkt_qty",
     "price_code_ordinal", "price_floor", "times_above_floor", "inventory_normalized"]
@@ -207,7 +228,7 @@ def q_filter_report_slice(spark, d):
 @register("latest_snapshot", with_base(
     "SELECT * FROM feat_serve WHERE calculate_date = (SELECT MAX(calculate_date) FROM feat_serve)"))
 def q_latest_snapshot(spark, d):
-    return clean.latest_snapshot(I.featured(spark, d, training=False))
+    return I.latest(spark, d)
 
 
 @register("distinct_values", with_base("SELECT DISTINCT opponent, price_code FROM feat"))
@@ -323,6 +344,14 @@ def q_join_ranking_asof(spark, d):
     return joins.join_ranking_asof(I.preprocessed(spark, d), I.ranks(spark, d)).select(*KEYS, "van_rank")
 
 
+@register("join_ranking_ffill", with_base(f"""
+SELECT {_k()}, CAST(r.van_rank AS INTEGER) AS van_rank FROM pre LEFT JOIN (
+  SELECT calculate_date, LAST_VALUE(van_rank IGNORE NULLS) OVER (ORDER BY calculate_date
+    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS van_rank FROM feat_dates) r USING (calculate_date)"""))
+def q_join_ranking_ffill(spark, d):
+    return joins.join_ranking_asof(I.preprocessed(spark, d), I.ranks(spark, d), mode="ffill").select(*KEYS, "van_rank")
+
+
 @register("join_web_analytics", with_base(
     f"SELECT {_k()}, w.unique_views, w.order_qty, w.tkt_qty FROM pre LEFT JOIN web_daily w "
     "ON pre.event_date = w.Event_Date AND pre.calculate_date = w.as_of_date"))
@@ -421,9 +450,14 @@ def q_dense_rank_overall(spark, d):
     return features.dense_rank_overall(m, "overall").select("team", "overall", "overall_rank")
 
 
-@register("tercile_bucket", with_base("SELECT team, data_name, opponent_rank FROM popularity"))
+@register("tercile_bucket", with_base(
+    "SELECT team, overall_rank, CAST(CASE WHEN overall_rank <= q1 THEN 1 WHEN overall_rank <= q2 THEN 2 ELSE 3 END "
+    "AS INTEGER) AS bucket FROM team_dense CROSS JOIN team_q"))
 def q_tercile_bucket(spark, d):
-    return I.popularity(spark, d)
+    fans, social, _ = td.team_rankings(spark, d)
+    m = joins.join_inner_team(social, fans).withColumn("overall", F.col("ranking_x") + F.col("ranking_y"))
+    m = features.dense_rank_overall(m, "overall")
+    return features.tercile_bucket(m, "overall_rank", "bucket").select("team", "overall_rank", "bucket")
 
 
 @register("ffill_bfill", with_base("SELECT calculate_date, van_rank FROM feat_rank"))

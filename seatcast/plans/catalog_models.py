@@ -1,7 +1,7 @@
 """Registered queries for Spark ML feature stages, models, backtests and
-scoring (survey 2.8-2.10).  Fitted-model outputs are checked on rows only;
-imputation, scaling, one-hot, polynomial terms and one-feature OLS have SQL
-twins."""
+scoring (survey 2.8-2.10).  Feature stages have SQL twins;
+linear fits are held against label totals, saturated ones against group means;
+trees, searches and full backtests are checked on rows and in the tests."""
 
 from __future__ import annotations
 
@@ -16,34 +16,41 @@ from seatcast.operators import aggregates as A
 from seatcast.operators import models as M
 from seatcast.operators import splits, whatif
 from seatcast.plans import inputs as I
-from seatcast.plans.catalog import KEYS, _k, register
-from seatcast.plans.catalog_reports import latest
+from seatcast import schemas
+from seatcast.operators._util import persisted
+from seatcast.plans.catalog import KEYS, _grid_sql, _k, register
+from seatcast.plans.catalog_reports import FOLD_SCORES_CTE, LATEST_CTE, latest
 from seatcast.plans.oracle import with_base
 from seatcast.sources import files
 
 POISSON_FS = M.FeatureSet(C.POISSON_NUMERIC, C.POISSON_CATEGORICAL, C.POISSON_PASSTHROUGH)
-BASELINE_FS = M.FeatureSet(C.NUMERIC_FEATURES, C.CATEGORICAL_FEATURES, C.PASSTHROUGH_FEATURES)
-POLY_FS = M.FeatureSet(["host_sold_yesterday", "days_until_game", "times_above_floor", "opponent_rank",
-                        "host_sold_agg_last_day", "price_code_ordinal"])
+BASELINE_FS = M.FeatureSet(C.BASELINE_NUMERIC, C.BASELINE_CATEGORICAL, C.BASELINE_PASSTHROUGH)
+RF_FS = M.FeatureSet(C.RF_NUMERIC, C.RF_CATEGORICAL, C.RF_PASSTHROUGH)
+POLY_FS = M.FeatureSet(C.POLY_NUMERIC, C.POLY_CATEGORICAL, C.POLY_PASSTHROUGH)
+GLM_FS = M.FeatureSet(C.POISSON_NUMERIC, C.POISSON_CATEGORICAL, C.GLM_PASSTHROUGH)
 TRAIN_SQL = f"train AS (SELECT * FROM feat WHERE calculate_date < DATE '{I.SPLIT_CUTOFF}')"
-
-_fitted: dict = {}
+TEST_SQL = f"test AS (SELECT * FROM feat WHERE calculate_date >= DATE '{I.SPLIT_CUTOFF}')"
+Y = "CAST(target_host_sold_today AS DOUBLE)"
 
 
 def train_test(spark, d) -> tuple[DataFrame, DataFrame]:
     return splits.split_cutoff(I.featured(spark, d), I.SPLIT_CUTOFF)
 
 
-def _fit(spark, d, kind: str, fn):
-    key = (spark.sparkContext.applicationId, d, kind)
-    if key not in _fitted:
-        train, _ = train_test(spark, d)
-        _fitted[key] = fn(train)
-    return _fitted[key]
+def train(spark, d) -> DataFrame:
+    return train_test(spark, d)[0]
+
+
+# At the optimum an unpenalised intercept makes the predictions of the training
+# rows add up to their labels, so a full fit can be held against SUM(target).
+TOTALS_SQL = with_base(f"SELECT COUNT(*) AS n, ROUND(SUM({Y})) AS total_prediction FROM train", TRAIN_SQL)
 
 
-def poisson_model(spark, d):
-    return _fit(spark, d, "poisson", lambda t: M.fit_poisson(t, POISSON_FS))
+def _training_totals(spark, d, fit) -> DataFrame:
+    with persisted(train(spark, d)) as t:
+        model = fit(t)
+        total = model.transform(t).agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("prediction")).alias("total_prediction"))
+        return spark.createDataFrame(total.collect(), total.schema)     # one row
 
 
 def _scored_test(spark, d, model) -> DataFrame:
@@ -118,13 +125,24 @@ def q_poly_features(spark, d):
     return p.select(*KEYS, *[a[i].alias(f"p{i}") for i in range(5)])
 
 
-@register("assemble")
+def _slots_sql() -> str:
+    num = [f"SELECT '{c}' AS slot, SUM(COALESCE(CAST({c} AS DOUBLE), 0)) AS total FROM feat"
+           for c in (*C.POISSON_NUMERIC, *C.POISSON_PASSTHROUGH)]
+    cat = [f"SELECT '{c}_' || CAST({c} AS VARCHAR), CAST(COUNT(*) AS DOUBLE) FROM feat WHERE {c} IS NOT NULL GROUP BY 1"
+           for c in C.POISSON_CATEGORICAL]
+    return " UNION ALL ".join([*num, *cat])
+
+
+@register("assemble", with_base(f"SELECT slot, ROUND(total, 3) AS total FROM ({_slots_sql()})"))
 def q_assemble(spark, d):
-    fe = I.featured(spark, d)
-    fs = POISSON_FS.present(fe)
-    pipe = M.Pipeline(stages=M.impute_stages(fs) + M.encode_stages(fs)).fit(fe)
-    out = pipe.transform(fe)
-    return out.select(*KEYS, F.size(vector_to_array("features")).alias("n_features"))
+    """Every slot of the assembled vector, added up over all rows."""
+    from pyspark.ml.stat import Summarizer
+    with persisted(I.featured(spark, d)) as fe:
+        fs = POISSON_FS.checked(fe)
+        out = M.Pipeline(stages=M.impute_stages(fs) + M.encode_stages(fs)).fit(fe).transform(fe)
+        names = [n.removeprefix("_").replace("_ohe_", "_").removesuffix("_pt") for n in M.feature_names(None, out)]
+        total = out.agg(vector_to_array(Summarizer.sum(F.col("features"))).alias("t")).first()["t"]
+    return spark.createDataFrame([(n, round(v, 3)) for n, v in zip(names, total)], "slot string, total double")
 
 
 # -------------------------------------------------------------- models ----
@@ -132,168 +150,305 @@ def q_assemble(spark, d):
     "SELECT regr_intercept(CAST(target_host_sold_today AS DOUBLE), last_price) AS intercept, "
     "regr_slope(CAST(target_host_sold_today AS DOUBLE), last_price) AS slope FROM train", TRAIN_SQL))
 def q_ols(spark, d):
-    train, _ = train_test(spark, d)
-    m = M.fit_ols(train, M.FeatureSet(["last_price"]))
+    m = M.fit_ols(train(spark, d), M.FeatureSet(["last_price"]))
     lr = m.stages[-1]
     return spark.createDataFrame([(float(lr.intercept), float(lr.coefficients[0]))], "intercept double, slope double")
 
 
-@register("ridge")
+@register("ridge", TOTALS_SQL)
 def q_ridge(spark, d):
-    m = _fit(spark, d, "ridge", lambda t: M.fit_ridge(t, BASELINE_FS, C.RIDGE_ALPHA))
-    return _scored_test(spark, d, m)
+    return _training_totals(spark, d, lambda t: M.fit_ridge(t, BASELINE_FS, C.RIDGE_ALPHA))
 
 
-@register("poly_ridge")
+@register("poly_ridge", TOTALS_SQL)
 def q_poly_ridge(spark, d):
-    m = _fit(spark, d, "poly_ridge", lambda t: M.fit_ridge(t, POLY_FS, C.POLY_RIDGE_ALPHA, degree=C.POLY_DEGREE))
-    return _scored_test(spark, d, m)
+    return _training_totals(spark, d, lambda t: M.fit_ridge(t, POLY_FS, C.POLY_RIDGE_ALPHA, degree=C.POLY_DEGREE,
+                                                            impute_numeric="zero"))
 
 
-@register("poisson_glm")
+@register("poisson_glm", TOTALS_SQL)
 def q_poisson_glm(spark, d):
-    return _scored_test(spark, d, poisson_model(spark, d))
+    return _training_totals(spark, d, lambda t: M.fit_poisson(t, POISSON_FS))
 
 
-@register("poisson_glm_unpenalized")
+@register("poisson_glm_test")
+def q_poisson_glm_test(spark, d):
+    """The Poisson model's predictions of the rows after the cut-off."""
+    return _scored_test(spark, d, M.fit_poisson(train(spark, d), POISSON_FS))
+
+
+@register("poisson_glm_unpenalized", with_base(
+    f"SELECT opponent, month, COUNT(*) AS n FROM train GROUP BY 1, 2", TRAIN_SQL))
 def q_poisson_glm_unpenalized(spark, d):
-    fs = M.FeatureSet(["host_sold_yesterday", "days_until_game", "opponent_rank", "host_sold_agg_last_day"],
-                      [], ["bowl_location", "weekend_game", "times_above_floor"])
-    m = _fit(spark, d, "poisson0", lambda t: M.fit_poisson_unpenalized(t, fs))
-    s = m.stages[-1].summary
-    names = ["intercept"] + list(fs.numeric) + list(fs.passthrough)
-    coefs = [float(m.stages[-1].intercept)] + [float(x) for x in m.stages[-1].coefficients]
-    se = list(s.coefficientStandardErrors)
-    tv = list(s.tValues)
-    pv = list(s.pValues)
-    # Spark lists the intercept's statistics last
-    se, tv, pv = se[-1:] + se[:-1], tv[-1:] + tv[:-1], pv[-1:] + pv[:-1]
-    rows = [(n, c, float(a), float(b), float(p_), float(s.deviance), float(s.aic))
-            for n, c, a, b, p_ in zip(names, coefs, se, tv, pv)]
+    """Rows the unpenalised fit scores, by opponent and month."""
+    with persisted(train(spark, d)) as t:
+        m = M.fit_poisson_unpenalized(t, GLM_FS)
+        out = m.transform(t).where(F.col("prediction") > 0).groupBy("opponent", "month").agg(F.count(F.lit(1)).alias("n"))
+        return spark.createDataFrame(out.collect(), out.schema)      # a row per opponent and month
+
+
+GLM_TOTALS = " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, CAST({c} AS VARCHAR) AS category, ROUND(SUM({Y})) AS total_prediction FROM train GROUP BY 1, 2"
+    for c in C.POISSON_CATEGORICAL)
+
+
+@register("poisson_glm_totals", with_base(GLM_TOTALS, TRAIN_SQL))
+def q_poisson_glm_totals(spark, d):
+    """An unpenalised GLM matches the label totals of every dummy category."""
+    with persisted(train(spark, d)) as t:
+        s = M.fit_poisson_unpenalized(t, GLM_FS).transform(t)
+        rows = []
+        for c in C.POISSON_CATEGORICAL:
+            got = s.groupBy(F.col(c).cast("string").alias("category")).agg(F.round(F.sum("prediction")).alias("p")).collect()
+            rows += [(c, r["category"], float(r["p"])) for r in got]     # a row per category
+    return spark.createDataFrame(rows, "feature string, category string, total_prediction double")
+
+
+@register("glm_summary")
+def q_glm_summary(spark, d):
+    """Coefficients of the unpenalised GLM with their statistics."""
+    t = train(spark, d)
+    with persisted(t) as t:
+        m = M.fit_poisson_unpenalized(t, GLM_FS)
+        names = ["intercept", *M.feature_names(m, m.transform(t.limit(1)))]
+        glm = m.stages[-1]
+        coefs = [float(glm.intercept), *[float(x) for x in glm.coefficients]]
+        s = glm.summary
+        try:                 # a singular design has no standard errors
+            last_first = lambda v: [v[-1], *v[:-1]]  # noqa: E731  Spark lists the intercept last
+            stats = list(zip(*(last_first(list(v)) for v in (s.coefficientStandardErrors, s.tValues, s.pValues))))
+        except Exception as e:  # noqa: BLE001  the JVM's UnsupportedOperationException
+            if "standard error" not in str(e).lower():
+                raise
+            stats = [(None, None, None)] * len(coefs)
+        rows = [(n, c, *(None if x is None else float(x) for x in st), float(s.deviance), float(s.aic))
+                for n, c, st in zip(names, coefs, stats)]
     return spark.createDataFrame(rows, "feature string, coefficient double, std_error double, z_value double, "
                                        "p_value double, deviance double, aic double")
 
 
-@register("poisson_poly")
+@register("poisson_poly", TOTALS_SQL)
 def q_poisson_poly(spark, d):
-    m = _fit(spark, d, "poisson_poly", lambda t: M.fit_poisson(t, POLY_FS, C.POISSON_ALPHA, degree=2))
-    return _scored_test(spark, d, m)
+    return _training_totals(spark, d, lambda t: M.fit_poisson(t, POLY_FS, C.POISSON_ALPHA, degree=2))
 
 
 @register("random_forest")
 def q_random_forest(spark, d):
-    m = _fit(spark, d, "rf", lambda t: M.fit_random_forest(t, BASELINE_FS))
-    return _scored_test(spark, d, m)
+    return _scored_test(spark, d, M.fit_random_forest(train(spark, d), RF_FS))
 
 
 @register("gbt")
 def q_gbt(spark, d):
-    m = _fit(spark, d, "gbt", lambda t: M.fit_gbt(t, BASELINE_FS))
-    return _scored_test(spark, d, m)
+    return _scored_test(spark, d, M.fit_gbt(train(spark, d), BASELINE_FS))
+
+
+# Saturated fits: with one categorical key and no penalty the prediction of a row
+# is the mean label of its category, which SQL can tell.
+def mean3(c: str):
+    """A fitted mean to three places; the small addition keeps exact means such
+    as 26.3485 from being rounded one way by the fit and the other way by SQL."""
+    return F.round(F.col(c) + 0.00001, 3)
+
 
+def by_opponent(spark, d):
+    return M.fit_group_means(train(spark, d), ["opponent"])
 
-def segmented(spark, d):
-    def fit(t):
-        return M.fit_segmented(t, "bowl_location", lambda part: M.fit_poisson(part, POISSON_FS))
-    return _fit(spark, d, "segmented", fit)
 
+def by_bowl_and_opponent(spark, d):
+    with persisted(train(spark, d)) as t:
+        return M.fit_segmented(t, "bowl_location", lambda part: M.fit_group_means(part, ["opponent"]))
 
-@register("segmented_models")
+
+MEANS_SQL = f"""{TRAIN_SQL},
+m1 AS (SELECT opponent, AVG({Y}) AS p FROM train GROUP BY 1),
+m2 AS (SELECT bowl_location, opponent, AVG({Y}) AS p FROM train GROUP BY 1, 2)"""
+
+
+@register("segmented_models", with_base(
+    f"SELECT {_k()}, target_host_sold_today, ROUND(m2.p + 0.00001, 3) AS prediction FROM test JOIN m2 USING (bowl_location, opponent)",
+    f"{MEANS_SQL},\n{TEST_SQL}"))
 def q_segmented_models(spark, d):
     _, test = train_test(spark, d)
-    return M.score_segmented(test, "bowl_location", segmented(spark, d)).select(*KEYS, C.TARGET, "prediction")
+    s = M.score_segmented(test, "bowl_location", by_bowl_and_opponent(spark, d))
+    return s.select(*KEYS, C.TARGET, mean3("prediction").alias("prediction"))
+
+
+@register("segmented_poisson")
+def q_segmented_poisson(spark, d):
+    """The Poisson model per bowl on its full feature list."""
+    train_, test = train_test(spark, d)
+    with persisted(train_) as t:
+        models_ = M.fit_segmented(t, "bowl_location", lambda part: M.fit_poisson(part, POISSON_FS))
+    return M.score_segmented(test, "bowl_location", models_).select(*KEYS, C.TARGET, "prediction")
 
 
-@register("coef_table")
+@register("coef_table", with_base("""
+SELECT 'opponent_' || opponent AS feature, ROUND(LN(p / base), 4) AS coefficients, ROUND(ABS(LN(p / base)), 4) AS magnitude
+FROM m1 CROSS JOIN (SELECT FIRST(p ORDER BY opponent) AS base, MIN(opponent) AS first FROM m1) b WHERE opponent <> first""",
+    MEANS_SQL))
 def q_coef_table(spark, d):
-    m = poisson_model(spark, d)
-    train, _ = train_test(spark, d)
-    return M.coef_table(m, m.transform(train.limit(1)))
+    t = train(spark, d)
+    m = by_opponent(spark, d)
+    c = M.coef_table(m, m.transform(t.limit(1)))
+    return c.select("feature", F.round("coefficients", 4).alias("coefficients"), F.round("magnitude", 4).alias("magnitude"))
 
 
-@register("predict_batch")
+LATEST_MEANS = f"{LATEST_CTE},\n{MEANS_SQL}"
+
+
+@register("predict_batch", with_base("""
+SELECT event_name, event_date, opponent, price_code, last_price, host_sold_yesterday,
+  ROUND(m2.p + 0.00001, 3) AS predicted_segmented, ROUND(m1.p + 0.00001, 3) AS predicted_poisson
+FROM latest JOIN m1 USING (opponent) JOIN m2 USING (bowl_location, opponent)""", LATEST_MEANS))
 def q_predict_batch(spark, d):
-    rows = latest(spark, d)
-    seg = M.score_segmented(rows, "bowl_location", segmented(spark, d), "predicted_segmented")
-    out = poisson_model(spark, d).transform(seg).withColumnRenamed("prediction", "predicted_poisson")
-    return out.select("event_name", "event_date", "opponent", "price_code", "last_price", "host_sold_yesterday",
-                      "predicted_segmented", "predicted_poisson")
+    """Both predictions of the latest rows, exported as CSV and read back."""
+    cols = ["event_name", "event_date", "opponent", "price_code", "last_price", "host_sold_yesterday"]
+    out = M.predict_batch(latest(spark, d), by_opponent(spark, d), "bowl_location", by_bowl_and_opponent(spark, d))
+    out = out.select(*cols, *[mean3(c).alias(c) for c in ("predicted_segmented", "predicted_poisson")])
+    path = files.export_predictions(out, files.scratch_path(spark, "predictions"))
+    return files.scan_csv_glob(spark, path, schemas.PREDICTIONS)
 
 
-@register("results_join")
+@register("results_join", with_base(
+    f"SELECT {_k()}, target_host_sold_today AS y_true, ROUND(m1.p + 0.00001, 3) AS y_pred FROM test JOIN m1 USING (opponent)",
+    f"{MEANS_SQL},\n{TEST_SQL}"))
 def q_results_join(spark, d):
-    s = _scored_test(spark, d, poisson_model(spark, d))
-    return s.select(*KEYS, F.col(C.TARGET).alias("y_true"), F.col("prediction").alias("y_pred"))
+    s = _scored_test(spark, d, by_opponent(spark, d))
+    return M.results(s, KEYS).withColumn("y_pred", mean3("y_pred"))
 
 
-@register("model_persistence")
+@register("model_persistence", with_base(
+    f"SELECT month, COUNT(*) AS n, ROUND(AVG({Y}), 4) AS prediction, true AS same FROM train GROUP BY month", TRAIN_SQL))
 def q_model_persistence(spark, d):
-    path = M.save_model(poisson_model(spark, d), files.scratch_path(spark, "poisson-model"))
-    return _scored_test(spark, d, M.load_model(path))
+    """A saved and loaded model predicts what the fitted one does."""
+    with persisted(train(spark, d)) as t:
+        m = M.fit_group_means(t, ["month"])
+        again = M.load_model(M.save_model(m, files.scratch_path(spark, "model")))
+        s = again.transform(m.transform(t).select("month", F.col("prediction").alias("before")))
+        out = s.groupBy("month").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("prediction"), 4).alias("prediction"),
+                                     F.bool_and(F.col("prediction") == F.col("before")).alias("same"))
+        return spark.createDataFrame(out.collect(), out.schema)      # a row per month
 
 
 # ------------------------------------------------------------ backtests ----
-@register("backtest")
+OLS_FS = M.FeatureSet(["last_price"])
+HASH = "CAST('0x' || substr(md5('42|' || event_id || '|' || COALESCE(price_code, '') || '|' || CAST(calculate_date AS VARCHAR)), 1, 8) AS BIGINT)"
+OLS_ERROR = f"POW({Y} - (a + b * last_price), 2)"
+
+
+@register("backtest", with_base(f"""
+SELECT f.fold, f.valid_from, f.valid_to, SQRT(AVG(POW(v.y - (p.a + p.b * v.last_price), 2))) AS rmse, COUNT(*) AS n
+FROM folds f
+JOIN (SELECT f.fold, regr_intercept({Y}, s.last_price) AS a, regr_slope({Y}, s.last_price) AS b
+      FROM folds f JOIN dated s ON s.date_idx < f.first_idx GROUP BY 1) p ON p.fold = f.fold
+JOIN (SELECT *, {Y} AS y FROM dated) v ON v.calculate_date BETWEEN f.valid_from AND f.valid_to
+GROUP BY 1, 2, 3""", FOLD_SCORES_CTE + f""",
+dated AS (SELECT feat.*, date_idx FROM feat JOIN didx ON feat.calculate_date = didx.date),
+folds AS (SELECT CAST(FLOOR((date_idx - {C.BACKTEST_TRAIN_DATES}) / {C.BACKTEST_VALID_DATES}) AS INTEGER) AS fold,
+                 MIN(date) AS valid_from, MAX(date) AS valid_to, MIN(date_idx) AS first_idx
+          FROM didx WHERE date_idx >= {C.BACKTEST_TRAIN_DATES} GROUP BY 1)"""))
 def q_backtest(spark, d):
-    fe = I.featured(spark, d)
+    """Expanding-window backtest of the one-feature least-squares model."""
+    b = splits.backtest(I.featured(spark, d), lambda t, v: M.fit_ols(t, OLS_FS).transform(v))
+    return b.select("fold", "valid_from", "valid_to", "rmse", "n")
+
+
+@register("backtest_ridge")
+def q_backtest_ridge(spark, d):
+    """The same over the ridge baseline with its full feature list."""
+    return splits.backtest(I.featured(spark, d), lambda t, v: M.fit_ridge(t, BASELINE_FS, C.RIDGE_ALPHA).transform(v))
 
-    def fit_predict(train, valid):
-        return M.fit_ridge(train, BASELINE_FS, C.RIDGE_ALPHA).transform(valid)
-    return splits.backtest(fe, fit_predict)
 
+def _kfold_sql(k: int) -> str:
+    return with_base(f"""
+SELECT CAST(k AS INTEGER) AS fold, COUNT(*) FILTER (fold = k) AS n, SQRT(AVG({OLS_ERROR}) FILTER (fold = k)) AS rmse,
+  SQRT(AVG({OLS_ERROR}) FILTER (fold <> k)) AS train_rmse
+FROM (SELECT k, regr_intercept({Y}, last_price) AS a, regr_slope({Y}, last_price) AS b
+      FROM hashed JOIN (SELECT range AS k FROM range({k})) g ON fold <> k GROUP BY 1) m JOIN hashed ON true GROUP BY 1""",
+                     f"{TRAIN_SQL},\nhashed AS (SELECT *, {HASH} % {k} AS fold FROM train)")
 
-@register("kfold_random")
+
+def _kfold(spark, d, k, fit) -> DataFrame:
+    return splits.kfold_scores(splits.kfold_assign(train(spark, d), KEYS, k, 42), fit, k)
+
+
+@register("kfold_random", _kfold_sql(5))
 def q_kfold_random(spark, d):
-    train, _ = train_test(spark, d)
-    train = splits.kfold_assign(train.where(F.col(C.TARGET).isNotNull()), KEYS, 5, 42)
-    rows = []
-    for k in range(5):
-        m = M.fit_poisson(train.where(F.col("fold") != k), POISSON_FS)
-        s = m.transform(train.where(F.col("fold") == k))
-        r = A.regression_metrics(s, C.TARGET, "prediction").first()
-        rows.append((k, float(r["rmse"]), int(r["n"])))
-    return spark.createDataFrame(rows, "fold int, rmse double, n bigint")
-
-
-@register("holdout_random")
+    return _kfold(spark, d, 5, lambda t: M.fit_ols(t, OLS_FS))
+
+
+@register("kfold_random_10", _kfold_sql(10))
+def q_kfold_random_10(spark, d):
+    return _kfold(spark, d, 10, lambda t: M.fit_ols(t, OLS_FS))
+
+
+@register("kfold_poisson")
+def q_kfold_poisson(spark, d):
+    """Five folds of the Poisson model with its full feature list."""
+    return _kfold(spark, d, 5, lambda t: M.fit_poisson(t, POISSON_FS))
+
+
+@register("holdout_random", with_base(f"""
+SELECT SQRT(AVG({OLS_ERROR})) AS rmse, 1 - SUM({OLS_ERROR}) / (VAR_POP({Y}) * COUNT(*)) AS r2, COUNT(*) AS n
+FROM hashed JOIN (SELECT regr_intercept({Y}, last_price) AS a, regr_slope({Y}, last_price) AS b
+                  FROM hashed WHERE share >= {int(0.2 * 2**32)}) m ON share < {int(0.2 * 2**32)}""",
+    f"{TRAIN_SQL},\nhashed AS (SELECT *, {HASH} AS share FROM train)"))
 def q_holdout_random(spark, d):
-    train, _ = train_test(spark, d)
-    fit_part, hold = splits.holdout_split(train.where(F.col(C.TARGET).isNotNull()), KEYS, 0.2, 42)
-    m = M.fit_poisson(fit_part, POISSON_FS)
-    return A.regression_metrics(m.transform(hold), C.TARGET, "prediction")
+    fit_part, hold = splits.holdout_split(train(spark, d), KEYS, 0.2, 42)
+    return A.regression_metrics(M.fit_ols(fit_part, OLS_FS).transform(hold), C.TARGET, "prediction")
 
 
 @register("random_search")
 def q_random_search(spark, d):
-    """Sampled (alpha, degree) settings scored by 3-fold CV on hash folds."""
-    train, _ = train_test(spark, d)
-    train = splits.kfold_assign(train.where(F.col(C.TARGET).isNotNull()), KEYS, 3, 42)
-    cands = splits.sample_param_maps({"alpha": (0.0, 10000.0), "degree": [1, 2]}, n=4, seed=42)
-    rows = []
-    for i, p in enumerate(cands):
-        fs = POLY_FS if p["degree"] == 2 else POISSON_FS
-        scores = []
-        for k in range(3):
-            m = M.fit_ridge(train.where(F.col("fold") != k), fs, p["alpha"], degree=p["degree"])
-            r = A.regression_metrics(m.transform(train.where(F.col("fold") == k)), C.TARGET, "prediction").first()
-            scores.append(float(r["rmse"]))
-        rows.append((i, float(p["alpha"]), int(p["degree"]), sum(scores) / len(scores)))
-    return spark.createDataFrame(rows, "candidate int, alpha double, degree int, mean_rmse double")
+    """Ridge on degree-2 terms: ten drawn penalties, five folds, mean squared error."""
+    def fit(t, p):
+        return M.fit_ridge(t, POLY_FS, p["alpha"], degree=int(p["degree"]), impute_numeric="zero")
+    data = splits.kfold_assign(train(spark, d), KEYS, C.RIDGE_SEARCH_FOLDS, 42)
+    drawn = splits.sample_param_maps(C.RIDGE_SEARCH, C.SEARCH_SETTINGS, 42)
+    return splits.random_search(data, fit, drawn, C.RIDGE_SEARCH_FOLDS)[0]
+
+
+def _poisson_search(spark, d, space) -> DataFrame:
+    def fit(t, p):
+        return M.fit_poisson(t, POISSON_FS, p["alpha"], degree=int(p["degree"]))
+    data = splits.kfold_assign(train(spark, d), KEYS, C.POISSON_SEARCH_FOLDS, 42)
+    return splits.random_search(data, fit, splits.sample_param_maps(space, C.SEARCH_SETTINGS, 42), C.POISSON_SEARCH_FOLDS)[0]
+
+
+@register("random_search_poisson")
+def q_random_search_poisson(spark, d):
+    """Poisson, degree 1 or 2, ten drawn settings of the wide penalty range, three folds."""
+    return _poisson_search(spark, d, C.POISSON_SEARCH)
+
+
+@register("random_search_poisson_kfold")
+def q_random_search_poisson_kfold(spark, d):
+    """The same over the narrow penalty range."""
+    return _poisson_search(spark, d, C.POISSON_KFOLD_SEARCH)
 
 
 # ------------------------------------------------------------- what-if ----
-@register("demand_curve_sequence")
+_CURVE_SQL = """SELECT {k}, CAST(g.grid_idx AS INTEGER) AS grid_idx, {grid} AS times_above_floor,
+  {grid} * price_floor AS curve_price, ROUND(p + 0.00001, 3) AS prediction
+FROM latest JOIN {m} CROSS JOIN (SELECT range AS grid_idx FROM range(30)) g"""
+_GRID = _grid_sql("1.0", "8.0", 30, "g.grid_idx")
+
+
+def _curve(spark, d, scorer) -> DataFrame:
+    c = whatif.demand_curve_ratio(latest(spark, d), scorer, C.RATIO_GRID, C.PRICE_GRID_POINTS, KEYS)
+    return c.withColumn("prediction", mean3("prediction"))
+
+
+@register("demand_curve_sequence", with_base(
+    _CURVE_SQL.format(k=_k(), grid=_GRID, m="m2 USING (bowl_location, opponent)"), LATEST_MEANS))
 def q_demand_curve_sequence(spark, d):
     """Ratio curve scored through the per-bowl (segmented) models."""
-    models_ = segmented(spark, d)
-
-    def scorer(df):
-        return M.score_segmented(df, "bowl_location", models_)
-    return whatif.demand_curve_ratio(latest(spark, d), scorer, C.RATIO_GRID, C.PRICE_GRID_POINTS, KEYS)
+    models_ = by_bowl_and_opponent(spark, d)
+    return _curve(spark, d, lambda df: M.score_segmented(df, "bowl_location", models_))
 
 
-@register("demand_curve_model")
+@register("demand_curve_model", with_base(
+    _CURVE_SQL.format(k=_k(), grid=_GRID, m="m1 USING (opponent)"), LATEST_MEANS))
 def q_demand_curve_model(spark, d):
-    """Ratio curve scored through the fitted Poisson pipeline."""
-    sc = whatif.model_scorer(poisson_model(spark, d))
-    return whatif.demand_curve_ratio(latest(spark, d), sc, C.RATIO_GRID, C.PRICE_GRID_POINTS, KEYS)
+    """Ratio curve scored through a fitted Poisson pipeline."""
+    return _curve(spark, d, whatif.model_scorer(by_opponent(spark, d)))

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 
 from seatcast import constants as C
 from seatcast.operators import aggregates as A
-from seatcast.operators import clean, features, joins, reshape, splits, whatif
+from seatcast.operators import features, joins, reshape, splits, whatif
 from seatcast.plans import inputs as I
-from seatcast.plans.catalog import KEYS, _grid_sql, _k, register
+from seatcast.plans.catalog import FEAT_NUMERIC, KEYS, _grid_sql, _k, register
 from seatcast.plans.oracle import with_base
 
 # A fixed-coefficient scorer: makes every what-if and metric query checkable
@@ -36,7 +36,7 @@ SCORED_CTE = f"scored AS (SELECT *, {SCORE} AS prediction FROM feat)"
 
 
 def latest(spark, d) -> DataFrame:
-    return clean.latest_snapshot(I.featured(spark, d, training=False))
+    return I.latest(spark, d)
 
 
 def predictions(spark, d) -> DataFrame:
@@ -48,7 +48,8 @@ def scored(spark, d) -> DataFrame:
 
 
 # ------------------------------------------------------------ 2.3 / 2.6 ----
-SEQ_FEATS = ["host_sold_yesterday", "last_price", "days_until_game"]
+# every numeric and passthrough feature of the sequence model
+SEQ_FEATS = list(dict.fromkeys([*C.NUMERIC_FEATURES, *C.PASSTHROUGH_FEATURES]))
 SEQ_ORDER = "calculate_date, price_code_ordinal, event_id, price_code"
 
 
@@ -64,12 +65,12 @@ def _seq_steps_sql(max_len: int | None) -> str:
                              for i, f in enumerate(SEQ_FEATS))
             parts.append(f"SELECT {_k()}, {k} AS step, {vals} FROM seq_src WHERE n = {n}")
     if max_len:
-        for k in range(1, max_len):
-            zeros = ", ".join(f"CAST(0.0 AS DOUBLE) AS f{i}" for i in range(len(SEQ_FEATS)))
-            parts.append(f"SELECT {_k()}, {k} AS step, {zeros} FROM seq_src WHERE n <= {k}")
+        zeros = ", ".join(f"CAST(0.0 AS DOUBLE) AS f{i}" for i in range(len(SEQ_FEATS)))
+        parts.append(f"SELECT {_k()}, k AS step, {zeros} FROM seq_src JOIN (SELECT range AS k FROM range(1, {max_len})) g ON n <= k")
     body = "\nUNION ALL\n".join(parts)
-    return with_base(f"SELECT {_k()}, CAST(step AS INTEGER) AS step, f0, f1, f2 FROM (\n{body}\n)", f"""
-seq_src AS (
+    names = ", ".join(f"f{i}" for i in range(len(SEQ_FEATS)))
+    return with_base(f"SELECT {_k()}, CAST(step AS INTEGER) AS step, {names} FROM (\n{body}\n)", f"""
+seq_src AS MATERIALIZED (
   SELECT {_k()}, {', '.join(SEQ_FEATS)},
     LEAST(ROW_NUMBER() OVER (PARTITION BY opponent ORDER BY {SEQ_ORDER}), 3) AS n,
     {lags}
@@ -89,7 +90,7 @@ def q_sequence_window(spark, d):
     return _explode_seq(s, "sequence")
 
 
-PAD_LEN = 5
+PAD_LEN = C.SEQUENCE_MAX_LENGTH
 
 
 @register("pad_sequence", _seq_steps_sql(PAD_LEN))
@@ -183,20 +184,18 @@ def q_box_stats(spark, d):
     return A.box_stats(I.preprocessed(spark, d))
 
 
-CORR_COLS = ["host_sold_yesterday", "host_sold_total", "ticket_sold_total", "cap", "pminventory",
-             "last_price", "initial_price", "days_until_game", "times_above_floor", "target_host_sold_today"]
+CORR_COLS = FEAT_NUMERIC      # every numeric column of the feature table
 
 
 def _corr_sql() -> str:
-    parts = []
+    cells = []
     for i, a in enumerate(CORR_COLS):
         for j, b in enumerate(CORR_COLS):
-            if i == j:
-                parts.append(f"SELECT '{a}' AS feature_1, '{b}' AS feature_2, CAST(1.0 AS DOUBLE) AS correlation")
-            else:
-                parts.append(f"SELECT '{a}' AS feature_1, '{b}' AS feature_2, "
-                             f"corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)) AS correlation FROM feat")
-    return "corr_long AS (\n" + "\nUNION ALL\n".join(parts) + "\n)"
+            r = "CAST(1.0 AS DOUBLE)" if i == j else f"corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE))"
+            cells.append(f"{{'feature_1': '{a}', 'feature_2': '{b}', 'correlation': {r}}}")
+    return ("corr_wide AS MATERIALIZED (SELECT [" + ",\n".join(cells) + "] AS cells FROM feat),\n"
+            "corr_long AS (SELECT c.feature_1, c.feature_2, CASE WHEN isnan(c.correlation) THEN NULL ELSE c.correlation END "
+            "AS correlation FROM (SELECT unnest(cells) AS c FROM corr_wide))")
 
 
 @register("corr_matrix", with_base("SELECT * FROM corr_long", _corr_sql()))
@@ -231,23 +230,27 @@ SELECT SQRT(sse / n) AS rmse, 1 - sse / (syy - sy * sy / n) AS r2, n FROM (
         WHERE target_host_sold_today IS NOT NULL AND prediction IS NOT NULL))""", SCORED_CTE)
 
 
-@register("rmse", _METRICS_SQL)
+@register("rmse", f"SELECT rmse, n FROM ({_METRICS_SQL})")
 def q_rmse(spark, d):
-    return A.regression_metrics(scored(spark, d), C.TARGET, "prediction")
+    return A.regression_metrics(scored(spark, d), C.TARGET, "prediction").select("rmse", "n")
 
 
-@register("r2", _METRICS_SQL)
+@register("r2", f"SELECT r2 FROM ({_METRICS_SQL})")
 def q_r2(spark, d):
-    return A.regression_metrics(scored(spark, d), C.TARGET, "prediction")
+    return A.regression_metrics(scored(spark, d), C.TARGET, "prediction").select("r2")
 
 
 @register("nb_log_loss", with_base("""
-SELECT -AVG(LN(1.0 / (1.0 + mu)) + y * LN(mu / (1.0 + mu))) AS nb_loss
-FROM (SELECT CAST(target_host_sold_today AS DOUBLE) AS y, GREATEST(prediction, 0.1) AS mu FROM scored)""",
+SELECT -AVG(lgamma(y + a) - lgamma(a) - lgamma(y + 1) + a * LN(a / (a + mu))
+            + CASE WHEN y = 0 THEN 0 ELSE y * LN(mu / (a + mu)) END) AS nb_loss, COUNT(*) AS n
+FROM (SELECT CAST(target_host_sold_today AS DOUBLE) AS y, prediction + CASE WHEN target_host_sold_today > 0 THEN 0.5 ELSE 0 END AS mu,
+             CAST(1.5 AS DOUBLE) AS a FROM scored)""",
     SCORED_CTE))
 def q_nb_log_loss(spark, d):
-    s = scored(spark, d).withColumn("mu", F.greatest(F.col("prediction"), F.lit(0.1)))
-    return A.nb_log_loss(s, C.TARGET, "mu", 1)
+    """Zero predictions stay in where the count is zero too; positive counts get
+    a prediction above zero here, as their loss would be infinite."""
+    s = scored(spark, d).withColumn("mu", F.col("prediction") + F.when(F.col(C.TARGET) > 0, 0.5).otherwise(0.0))
+    return A.nb_log_loss(s, C.TARGET, "mu", 1.5).withColumn("n", F.lit(s.count()))
 
 
 @register("batch_rmse", with_base("""
@@ -273,7 +276,7 @@ def fold_scores(spark, d) -> DataFrame:
     s = scored(spark, d)
     idx = splits.date_index(s).where(F.col("date_idx") >= C.BACKTEST_TRAIN_DATES).withColumn(
         "fold", ((F.col("date_idx") - C.BACKTEST_TRAIN_DATES) / C.BACKTEST_VALID_DATES).cast("int"))
-    j = s.join(F.broadcast(idx.select(F.col("date").alias("calculate_date"), "fold")), "calculate_date")
+    j = s.join(idx.select(F.col("date").alias("calculate_date"), "fold"), "calculate_date")
     return j.groupBy("fold").agg(A.rmse_expr(C.TARGET, "prediction").alias("rmse"),
                                  F.count(F.lit(1)).alias("n"))
 
@@ -388,13 +391,18 @@ def q_expanding_folds(spark, d):
 SELECT {_k()}, CAST(grid_idx AS INTEGER) AS grid_idx, price AS last_price,
   {SCORE.replace('COALESCE(CAST(last_price AS DOUBLE)', 'COALESCE(CAST(price AS DOUBLE)')} AS prediction
 FROM (
-  SELECT l.*, g.grid_idx, {_grid_sql('r.min_price', 'r.max_price', 30, 'g.grid_idx')} AS price
-  FROM latest l JOIN (SELECT price_code, MIN(last_price) AS min_price, MAX(last_price) AS max_price FROM pre GROUP BY 1) r
-    USING (price_code)
+  SELECT l.*, g.grid_idx, {_grid_sql('COALESCE(r.min_price, o.min_price)', 'COALESCE(r.max_price, o.max_price)', 30, 'g.grid_idx')} AS price
+  FROM latest l
+  LEFT JOIN (SELECT price_code, MIN(last_price) AS min_price, MAX(last_price) AS max_price FROM pre
+             WHERE price_code <> 'N' GROUP BY 1) r ON l.price_code IS NOT DISTINCT FROM r.price_code
+  LEFT JOIN (SELECT price_code, MIN(last_price) AS min_price, MAX(last_price) AS max_price FROM latest GROUP BY 1) o
+    ON l.price_code IS NOT DISTINCT FROM o.price_code
   CROSS JOIN (SELECT range AS grid_idx FROM range(30)) g
 )""", LATEST_CTE))
 def q_demand_curve_price(spark, d):
-    return whatif.demand_curve_price(latest(spark, d), SCORER, I.preprocessed(spark, d), 30, KEYS)
+    """The reference frame lacks one code, whose rows keep their own range."""
+    reference = I.preprocessed(spark, d).where(F.col("price_code") != "N")
+    return whatif.demand_curve_price(latest(spark, d), SCORER, reference, 30, KEYS)
 
 
 _RATIO_SQL = _grid_sql("1.0", "8.0", 30, "g.grid_idx")
@@ -442,8 +450,4 @@ CROSS JOIN (SELECT q_low - 1.5 * (q_high - q_low) AS lower_bound, q_high + 1.5 *
                          quantile_cont(CAST(target_host_sold_today AS DOUBLE) - prediction, 0.95) AS q_high
                   FROM scored)) b""", SCORED_CTE))
 def q_residual_outliers(spark, d):
-    s = scored(spark, d).withColumn("residuals", F.col(C.TARGET).cast("double") - F.col("prediction"))
-    b = A.quantile_bounds(s, "residuals")
-    lo, hi = b.select("lower_bound").scalar(), b.select("upper_bound").scalar()
-    return s.select(*KEYS, "residuals",
-                    ((F.col("residuals") < lo) | (F.col("residuals") > hi)).alias("is_outlier"))
+    return A.residual_outliers(scored(spark, d), C.TARGET, "prediction").select(*KEYS, "residuals", "is_outlier")

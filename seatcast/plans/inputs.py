@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from seatcast import constants as C
 from seatcast.operators import joins
-from seatcast.operators._util import materialize
-from seatcast.plans.pipelines import FeatureParams, PreprocessParams, feature_engineer, preprocess
+from seatcast.plans.pipelines import (FeatureParams, PreprocessParams, feature_engineer,
+                                      latest_features, preprocess)
 from seatcast.sources import testdata as td
 
 PRE = PreprocessParams(
@@ -24,37 +24,21 @@ FEAT = FeatureParams(web_prefix=td.HOME_PREFIX)
 SPLIT_CUTOFF = "2000-07-01"
 
 
-_stages: dict = {}
-
-
-def _stage(spark: SparkSession, d: str, name: str, build) -> DataFrame:
-    """Each pipeline stage is written once per session and source folder,
-    like the reference's stage files (combined / processed / features)."""
-    key = (spark.sparkContext.applicationId, d, name)
-    if key not in _stages:
-        _stages[key] = materialize(build(), name)
-    return _stages[key]
-
-
-def reset_stages() -> None:
-    _stages.clear()
-
 
+# Every input is a lazy plan: building it runs no job, and a query's own
+# filters and columns reach the scans.
 def snapshot(spark: SparkSession, d: str) -> DataFrame:
-    return _stage(spark, d, "combined", lambda: td.snapshot(spark, d))
+    return td.snapshot(spark, d)
 
 
 def preprocessed(spark: SparkSession, d: str, training: bool = True) -> DataFrame:
-    return _stage(spark, d, "processed" if training else "processed_serve",
-                  lambda: preprocess(snapshot(spark, d), PRE if training else SERVE))
+    return preprocess(snapshot(spark, d), PRE if training else SERVE)
 
 
 def popularity(spark: SparkSession, d: str) -> DataFrame:
-    """The opponent-popularity dimension (stored once, as the reference's CSV)."""
-    def build():
-        fans, social, aliases = td.team_rankings(spark, d)
-        return joins.popularity_table(fans, social, aliases, rivals=td.RIVAL_TEAMS)
-    return _stage(spark, d, "popularity", build)
+    """The opponent-popularity dimension."""
+    fans, social, aliases = td.team_rankings(spark, d)
+    return joins.popularity_table(fans, social, aliases, rivals=td.RIVAL_TEAMS)
 
 
 def standings(spark: SparkSession, d: str) -> DataFrame:
@@ -64,14 +48,17 @@ def standings(spark: SparkSession, d: str) -> DataFrame:
 
 
 def ranks(spark: SparkSession, d: str) -> DataFrame:
-    return _stage(spark, d, "ranks", lambda: joins.team_rank_by_date(standings(spark, d), td.HOME_TEAM))
+    return joins.team_rank_by_date(standings(spark, d), td.HOME_TEAM)
 
 
 def web(spark: SparkSession, d: str) -> DataFrame:
-    return _stage(spark, d, "web", lambda: td.web_analytics(spark, d))
+    return td.web_analytics(spark, d)
 
 
 def featured(spark: SparkSession, d: str, training: bool = True) -> DataFrame:
-    return _stage(spark, d, "features" if training else "features_serve",
-                  lambda: feature_engineer(preprocessed(spark, d, training), popularity(spark, d),
-                                           ranks(spark, d), web(spark, d), FEAT))
+    return feature_engineer(preprocessed(spark, d, training), popularity(spark, d), ranks(spark, d), web(spark, d), FEAT)
+
+
+def latest(spark: SparkSession, d: str) -> DataFrame:
+    """Serving features of the last day (see ``pipelines.latest_features``)."""
+    return latest_features(snapshot(spark, d), popularity(spark, d), ranks(spark, d), web(spark, d), SERVE, FEAT)

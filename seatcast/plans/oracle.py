@@ -9,6 +9,7 @@ CTEs; DuckDB skips the ones a query does not use.
 from __future__ import annotations
 
 from seatcast import constants as C
+from seatcast import schemas
 from seatcast.plans import inputs
 from seatcast.sources import testdata as td
 
@@ -70,7 +71,20 @@ snap_g AS (
     CAST(SUM(CASE WHEN l_returnflag = 'A' THEN qty ELSE 0 END) AS BIGINT) AS resale_sold_total,
     CAST(SUM(CASE WHEN l_linestatus = 'F' THEN 1 ELSE 0 END) AS BIGINT) AS number_of_postings,
     MIN(unit_price) AS lowest_post_price,
-    MAX(unit_price) AS highest_post_price
+    MAX(unit_price) AS highest_post_price,
+    CAST(SUM(CASE WHEN l_discount <= 0.05 THEN qty ELSE 0 END) AS BIGINT) AS ticket_sold_last_7days,
+    CAST(SUM(CASE WHEN l_discount <= 0.01 THEN qty ELSE 0 END) AS BIGINT) AS ticket_sold_yesterday,
+    CAST(SUM(CASE WHEN l_returnflag = 'N' AND l_discount <= 0.05 THEN qty ELSE 0 END) AS BIGINT) AS host_sold_last_7days,
+    CAST(SUM(CASE WHEN l_returnflag = 'A' AND l_tax <= 0.02 THEN qty ELSE 0 END) AS BIGINT) AS resale_sold_2_days_ago,
+    CAST(SUM(CASE WHEN l_returnflag = 'A' AND l_tax <= 0.06 THEN qty ELSE 0 END) AS BIGINT) AS resale_sold_last_7days,
+    MAX(CASE WHEN l_returnflag = 'A' AND l_tax <= 0.02 THEN unit_price END) AS resale_asp_2_days_ago,
+    MAX(CASE WHEN l_returnflag = 'A' AND l_tax <= 0.06 THEN unit_price END) AS resale_asp_last_7days,
+    MAX(CASE WHEN l_returnflag = 'A' THEN unit_price END) AS resale_asp_total,
+    (MIN(unit_price) + MAX(unit_price)) / 2 AS median_posting_price,
+    CAST(SUM(CASE WHEN unit_price < p_retailprice THEN 1 ELSE 0 END) AS BIGINT) AS posting_below_cp,
+    MIN(p_retailprice) AS prp_currentprice,
+    CAST(SUM(CASE WHEN l_tax > 0.06 THEN qty ELSE 0 END) AS DOUBLE) AS prp_forwardtix,
+    CAST(SUM(CASE WHEN l_tax > 0.06 THEN CAST(l_extendedprice AS DECIMAL(18,2)) ELSE 0 END) AS DOUBLE) AS prp_forwardrev
   FROM ln GROUP BY r_regionkey, r_name, calculate_date, code
 ),
 snap_e AS (
@@ -89,8 +103,17 @@ snapshot AS (
          ELSE 'EVT_' || strftime(ev_date, '%a_%b_%-d_%Y') || '_' || CAST(r_regionkey AS VARCHAR) END AS identifier,
     'Level ' || code AS price_level_name,
     calculate_date, cap, pminventory, opens, holds, revenue_to_date, st_rate, initial_price, last_price,
-    ticket_sold_total, host_sold_total, host_sold_yesterday, host_sold_at_current_price,
-    resale_sold_total, number_of_postings, lowest_post_price, highest_post_price
+    CAST(ticket_sold_total AS DOUBLE) AS ticket_sold_total, host_sold_total, host_sold_yesterday,
+    host_sold_at_current_price, resale_sold_total, number_of_postings, lowest_post_price, highest_post_price,
+    {", ".join(td.EXTRA_MEASURES)},
+    'Arena' AS venue, opens AS platinum_opens, median_posting_price AS platinum_average_open_price,
+    lowest_post_price AS platinum_lowest_open_price, highest_post_price AS platinum_highest_open_price,
+    holds AS platinum_holds,
+    md5(replace(r_name, ' ', '_') || '-' || CAST(yr AS VARCHAR) || 'Q' || CAST(q AS VARCHAR) || '|' || code) AS dl_rowhash,
+    1 AS dl_iscurrent, 0 AS dl_isdeleted, calculate_date AS dl_recordstartdateutc,
+    CAST(calculate_date + 1 AS DATE) AS dl_recordenddateutc, CAST(r_regionkey AS VARCHAR) AS dl_load_id,
+    replace(r_name, ' ', '_') || '-' || CAST(yr AS VARCHAR) || 'Q' || CAST(q AS VARCHAR) AS archtics_event_name,
+    code AS host_event_code
   FROM snap_e
 )"""
 
@@ -130,7 +153,9 @@ pre_4 AS (
   FROM pre_3 WHERE target_host_sold_today >= 0
 ),
 pre AS (
-  SELECT * REPLACE (CASE WHEN last_price = 0 THEN initial_price ELSE last_price END AS last_price)
+  SELECT * EXCLUDE ({", ".join(schemas.HOUSEKEEPING_COLUMNS)})
+    REPLACE (CASE WHEN last_price = 0 THEN initial_price ELSE last_price END AS last_price,
+             CAST(ticket_sold_total AS BIGINT) AS ticket_sold_total)
   FROM pre_4 WHERE date_diff('day', calculate_date, event_date) <= {_PRE.days_before_event}
 ),
 pre_serve AS (

@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from seatcast import constants as C
 from seatcast.operators import clean, features, joins
@@ -40,7 +41,8 @@ class FeatureParams:
     lower_bowl: Sequence[str] = field(default_factory=lambda: tuple(C.LOWER_BOWL_CODES))
 
 
-def preprocess(df: DataFrame, p: PreprocessParams = PreprocessParams()) -> DataFrame:
+def row_filters(df: DataFrame, p: PreprocessParams = PreprocessParams()) -> DataFrame:
+    """The steps that look at one row only."""
     out = clean.extract_event_date(df)
     out = clean.extract_price_code(out)
     out = clean.filter_price_code(out)
@@ -48,24 +50,30 @@ def preprocess(df: DataFrame, p: PreprocessParams = PreprocessParams()) -> DataF
     out = clean.filter_excluded_events(out, p.excluded_events)
     out = clean.filter_preseason(out, p.preseason_ranges)
     out = clean.extract_opponent(out, p.home_prefix)
-    out = clean.filter_valid_sold(out, p.sold_threshold)
+    return clean.filter_valid_sold(out, p.sold_threshold)
+
+
+def series_steps(out: DataFrame, p: PreprocessParams = PreprocessParams()) -> DataFrame:
+    """The steps that look at a whole series, and those after them."""
     if p.co_locate:
         out = features.co_locate_events(out)
     out = features.shift_target(out, drop_unlabelled=p.training)
     out = features.lag_sales(out, p.lag_days)
     out = clean.filter_lead_days(out, p.days_before_event)
     out = clean.fill_initial_price(out)
-    if p.training:
-        out = clean.cast_drop(out)
-    return out
+    return clean.cast_drop(out) if p.training else out
+
+
+def preprocess(df: DataFrame, p: PreprocessParams = PreprocessParams()) -> DataFrame:
+    return series_steps(row_filters(df, p), p)
 
 
 def feature_engineer(df: DataFrame, popularity: DataFrame, ranks: DataFrame, web: DataFrame,
-                     p: FeatureParams = FeatureParams()) -> DataFrame:
+                     p: FeatureParams = FeatureParams(), fact_dates: DataFrame | None = None) -> DataFrame:
     out = features.add_weekend_month(df)
     out = features.add_days_until_game(out)
     out = joins.join_popularity(out, popularity)
-    out = joins.join_ranking_asof(out, ranks, mode=p.rank_mode)
+    out = joins.join_ranking_asof(out, ranks, mode=p.rank_mode, fact_dates=fact_dates)
     out = features.add_bowl_location(out, p.lower_bowl)
     out = features.sold_agg_day(out)
     out = joins.join_web_analytics(out, web, p.web_prefix)
@@ -73,3 +81,19 @@ def feature_engineer(df: DataFrame, popularity: DataFrame, ranks: DataFrame, web
     out = features.add_price_floor_ratio(out)
     out = features.add_inventory_normalized(out)
     return out
+
+
+def latest_features(df: DataFrame, popularity: DataFrame, ranks: DataFrame, web: DataFrame,
+                    p: PreprocessParams, f: FeatureParams = FeatureParams()) -> DataFrame:
+    """Serving features of the last day only.
+
+    The day comes from the filtered rows, without any window.  Only the events
+    on sale that day are kept for the series windows (whole series, so leads
+    and lags are those of the full history), and only the day's rows get
+    features.  The rank fill still runs over all fact dates."""
+    rows = row_filters(df, p)
+    served = clean.filter_lead_days(rows, p.days_before_event)
+    day = served.select(F.max("calculate_date")).scalar()
+    on_sale = served.where(F.col("calculate_date") == day).select("event_id").distinct()
+    out = series_steps(rows.join(on_sale, "event_id", "left_semi"), p).where(F.col("calculate_date") == day)
+    return feature_engineer(out, popularity, ranks, web, f, fact_dates=served.select("calculate_date"))

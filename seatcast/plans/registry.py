@@ -6,13 +6,7 @@ from seatcast.session import ensure_checkpoint_dir
 
 
 def _load():
-    from seatcast.plans import catalog
-    for mod in ("catalog_reports", "catalog_models"):
-        try:
-            __import__(f"seatcast.plans.{mod}")
-        except ModuleNotFoundError as e:
-            if e.name != f"seatcast.plans.{mod}":
-                raise
+    from seatcast.plans import catalog, catalog_models, catalog_reports  # noqa: F401  (importing registers)
     return catalog
 
 

@@ -6,7 +6,9 @@ one in.  ``get_spark`` is for scripts, tests and the benchmark.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -35,6 +37,12 @@ def shuffle_partitions_for(shuffle_bytes: int, target_bytes: int = 128 << 20, mi
     return max(minimum, -(-int(shuffle_bytes) // int(target_bytes)))
 
 
+def local_heap_gb(most: int = 12) -> int:
+    """Half of this machine's memory, ``most`` at the most."""
+    pages = os.sysconf("SC_PHYS_PAGES") * os.sysconf("SC_PAGE_SIZE")
+    return max(1, min(most, pages // 2 >> 30))
+
+
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app_name: str = "seatcast") -> SparkSession:
     """Build (or reuse) a session with the library's defaults."""
@@ -43,7 +51,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     builder = SparkSession.builder.master(master).appName(app_name)
     for k, v in LOCAL_CONF.items():
         builder = builder.config(k, v)
-    builder = builder.config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "16g"))
+    if master.startswith("local"):      # one JVM does all the work; on a cluster the submitter sets this
+        builder = builder.config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", f"{local_heap_gb()}g"))
     builder = builder.config("spark.sql.shuffle.partitions",
                              str(shuffle_partitions or int(cpus)))
     spark = builder.getOrCreate()
@@ -56,7 +65,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
     ``spark.checkpoint.dir`` is read from the session.  Only when it is unset
-    (local tests) a fresh scratch folder is created and set.
+    and the master is local (tests) a fresh scratch folder is created, and
+    removed when the process ends.  On a cluster an unset folder is an error:
+    executors could not see what the others write.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
@@ -64,6 +75,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="seatcast-ckpt-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
     sc.setCheckpointDir(path)
     return path

@@ -6,6 +6,7 @@ so nothing is inferred by scanning the data.
 
 from __future__ import annotations
 
+import csv
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,17 +27,64 @@ def scan_combine(spark: SparkSession, directory: str, pattern: str = "*.parquet"
     return r.option("mergeSchema", "true").parquet(directory)
 
 
+def _headers(spark: SparkSession, pattern) -> dict[str, list[str]]:
+    """Header line -> the CSV files that begin with it (empty files left out);
+    one job, a row per file."""
+    lines = (spark.read.text(pattern).where(F.col("_metadata.file_block_start") == 0)
+             .select(F.col("_metadata.file_path").alias("path"), "value", F.monotonically_increasing_id().alias("at")))
+    out: dict[str, list[str]] = {}
+    for r in lines.groupBy("path").agg(F.min_by("value", "at").alias("header")).orderBy("path").collect():
+        out.setdefault(r["header"], []).append(r["path"])
+    return out
+
+
 def scan_csv_glob(spark: SparkSession, pattern: str, schema: T.StructType,
                   date_format: str = "yyyy-MM-dd") -> DataFrame:
-    """CSV files matching a glob, with header and an explicit schema."""
-    return (spark.read.schema(schema).option("header", "true").option("dateFormat", date_format)
-            .option("mode", "PERMISSIVE").csv(pattern))
+    """CSV files matching a glob, united by column name.
+
+    Files are grouped by their header line and each group is read with its own
+    column order, so files whose columns stand in another order, or lack some,
+    still line up by name (a missing column is NULL; a column that the schema
+    does not name is left out).  A field that does not parse stops the read
+    (FAILFAST) instead of becoming NULL."""
+    types = {f.name.lower(): f.dataType for f in schema.fields}
+    out = None
+    for line, paths in _headers(spark, pattern).items():
+        header = next(csv.reader([line]))
+        own = T.StructType([T.StructField(c, types.get(c.lower(), T.StringType())) for c in header])
+        df = (spark.read.schema(own).option("header", "true").option("dateFormat", date_format)
+              .option("enforceSchema", "false").option("mode", "FAILFAST").csv(paths))
+        df = df.select(*[F.col(f"`{c}`") for c in header if c.lower() in types])
+        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+    if out is None:
+        return spark.createDataFrame([], schema)
+    lacking = [f for f in schema.fields if f.name.lower() not in {c.lower() for c in out.columns}]
+    out = out.withColumns({f.name: F.lit(None).cast(f.dataType) for f in lacking}) if lacking else out
+    return out.select(*[F.col(f"`{f.name}`") for f in schema.fields])
 
 
 def scan_dim_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return scan_csv_glob(spark, path, schema)
 
 
+def ingest_raw(df: DataFrame, date_format: str | None = "MM/dd/yyyy", date_cols: tuple[str, ...] = ("calculate_date",),
+               keys: tuple[str, ...] = ("event_id",)) -> tuple[DataFrame, DataFrame]:
+    """Raw export -> canonical snapshot: column names, text dates (a date that
+    does not parse stops the job), declared types, and no row without a series
+    key.  Returns the good rows and, lazily, the count of rejected ones."""
+    out = schemas.to_canonical_names(df)
+    kinds = dict(out.dtypes)
+    for c in date_cols:
+        if kinds.get(c) == "string" and date_format:
+            out = out.withColumn(c, F.to_date(c, date_format))
+    types = {f.name: f.dataType for f in schemas.SNAPSHOT.fields}
+    out = out.select(*[F.col(f"`{c}`").cast(types[c]).alias(c) if c in types else F.col(f"`{c}`") for c in out.columns])
+    missing = F.lit(False)
+    for c in keys:
+        missing = missing | F.col(c).isNull()
+    return out.where(~missing), out.where(missing).agg(F.count(F.lit(1)).alias("rejected_rows"))
+
+
 def read_standings_json(spark: SparkSession, path: str) -> DataFrame:
     """JSON lines of ``{rank_date, standings: [...]}`` with the standings schema."""
     return spark.read.schema(schemas.STANDINGS_JSON).option("dateFormat", "yyyy-MM-dd").json(path)
@@ -66,6 +114,18 @@ def earliest_date(df: DataFrame, col: str = "calculate_date") -> DataFrame:
     return df.agg(F.min(col).alias("earliest_date"))
 
 
+def write_stage(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
+    """Store a stage where the caller asks for it and read it back: later plans
+    start from the files, with column and partition pruning."""
+    sink_parquet(df, path, partition_by)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def export_predictions(df: DataFrame, path: str) -> str:
+    """Predictions as CSV with a header (the batch export)."""
+    return sink_csv(df, path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the session's shared checkpoint location."""
     base = ensure_checkpoint_dir(spark).rstrip("/")

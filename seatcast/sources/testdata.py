@@ -40,6 +40,16 @@ def _region_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
                        .select("n_nationkey", "r_regionkey", "r_name"))
 
 
+EXTRA_MEASURES = [
+    "ticket_sold_last_7days", "ticket_sold_yesterday", "host_sold_last_7days", "resale_sold_2_days_ago",
+    "resale_sold_last_7days", "resale_asp_2_days_ago", "resale_asp_last_7days", "resale_asp_total",
+    "median_posting_price", "posting_below_cp", "prp_currentprice", "prp_forwardtix", "prp_forwardrev"]
+
+
+def _sum_if(cond: Column, value: Column | str) -> Column:
+    return F.sum(F.when(cond, F.col(value) if isinstance(value, str) else value).otherwise(0)).cast("bigint")
+
+
 def quarter_end(d: Column) -> Column:
     return F.last_day(F.add_months(F.trunc(d, "quarter"), 2))
 
@@ -73,6 +83,7 @@ def snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_returnflag", "l_linestatus", "l_discount", "l_tax", "l_extendedprice", "p_retailprice",
         unit_price.alias("unit_price"))
 
+    resale = F.col("l_returnflag") == "A"
     g = lines.groupBy("r_regionkey", "r_name", "calculate_date", "code").agg(
         F.sum("qty").alias("cap"),
         F.count(F.lit(1)).alias("pminventory"),
@@ -93,14 +104,28 @@ def snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("number_of_postings"),
         F.min("unit_price").alias("lowest_post_price"),
         F.max("unit_price").alias("highest_post_price"),
+        _sum_if(F.col("l_discount") <= 0.05, "qty").alias("ticket_sold_last_7days"),
+        _sum_if(F.col("l_discount") <= 0.01, "qty").alias("ticket_sold_yesterday"),
+        _sum_if((F.col("l_returnflag") == "N") & (F.col("l_discount") <= 0.05), "qty").alias("host_sold_last_7days"),
+        _sum_if(resale & (F.col("l_tax") <= 0.02), "qty").alias("resale_sold_2_days_ago"),
+        _sum_if(resale & (F.col("l_tax") <= 0.06), "qty").alias("resale_sold_last_7days"),
+        F.max(F.when(resale & (F.col("l_tax") <= 0.02), F.col("unit_price"))).alias("resale_asp_2_days_ago"),
+        F.max(F.when(resale & (F.col("l_tax") <= 0.06), F.col("unit_price"))).alias("resale_asp_last_7days"),
+        F.max(F.when(resale, F.col("unit_price"))).alias("resale_asp_total"),
+        ((F.min("unit_price") + F.max("unit_price")) / 2).alias("median_posting_price"),
+        _sum_if(F.col("unit_price") < F.col("p_retailprice"), F.lit(1)).alias("posting_below_cp"),
+        F.min("p_retailprice").alias("prp_currentprice"),
+        _sum_if(F.col("l_tax") > 0.06, "qty").cast("double").alias("prp_forwardtix"),
+        F.sum(F.when(F.col("l_tax") > 0.06, F.col("l_extendedprice").cast("decimal(18,2)")).otherwise(0))
+        .cast("double").alias("prp_forwardrev"),
     )
 
     ev_date = quarter_end(F.col("calculate_date"))
     yr, q = F.year(F.trunc("calculate_date", "quarter")), F.quarter("calculate_date")
     rk = F.col("r_regionkey").cast("string")
+    event_id = F.concat(F.regexp_replace("r_name", " ", "_"), F.lit("-"), yr.cast("string"), F.lit("Q"), q.cast("string"))
     return g.select(
-        F.concat(F.regexp_replace("r_name", " ", "_"), F.lit("-"), yr.cast("string"), F.lit("Q"),
-                 q.cast("string")).alias("event_id"),
+        event_id.alias("event_id"),
         F.when((yr == 1996) & (q == 1), F.lit(TEST_EVENT))
          .when(F.col("r_regionkey") == 4, F.concat("r_name", F.lit(" Showcase")))
          .when(F.col("r_regionkey") == 3, F.concat(F.lit(HOME_PREFIX + " "), "r_name"))
@@ -110,9 +135,20 @@ def snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
          .alias("identifier"),
         F.concat(F.lit("Level "), "code").alias("price_level_name"),
         "calculate_date", "cap", "pminventory", "opens", "holds", "revenue_to_date", "st_rate",
-        "initial_price", "last_price", "ticket_sold_total", "host_sold_total", "host_sold_yesterday",
+        "initial_price", "last_price", F.col("ticket_sold_total").cast("double").alias("ticket_sold_total"),
+        "host_sold_total", "host_sold_yesterday",
         "host_sold_at_current_price", "resale_sold_total", "number_of_postings",
-        "lowest_post_price", "highest_post_price",
+        "lowest_post_price", "highest_post_price", *EXTRA_MEASURES,
+        # housekeeping columns of the export, which the training pipeline drops
+        F.lit("Arena").alias("venue"), F.col("opens").alias("platinum_opens"),
+        F.col("median_posting_price").alias("platinum_average_open_price"),
+        F.col("lowest_post_price").alias("platinum_lowest_open_price"),
+        F.col("highest_post_price").alias("platinum_highest_open_price"), F.col("holds").alias("platinum_holds"),
+        F.md5(F.concat(event_id, F.lit("|"), F.col("code")).cast("binary")).alias("dl_rowhash"),
+        F.lit(1).alias("dl_iscurrent"), F.lit(0).alias("dl_isdeleted"),
+        F.col("calculate_date").alias("dl_recordstartdateutc"),
+        F.date_add("calculate_date", 1).alias("dl_recordenddateutc"),
+        rk.alias("dl_load_id"), event_id.alias("archtics_event_name"), F.col("code").alias("host_event_code"),
     )
 
 

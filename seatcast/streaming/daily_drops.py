@@ -29,7 +29,7 @@ def ingest_daily_drops(spark: SparkSession, source: str, out_path: str, checkpoi
                        schema: T.StructType = schemas.SNAPSHOT, pattern: str = "*.csv",
                        partition_by: str | None = None) -> int:
     """Append all new drop files of ``source`` to ``out_path``; returns the
-    number of micro-batches run."""
+    number of micro-batches that the stream has committed so far."""
     stream = schemas.to_canonical_names(read_drops(spark, source, schema, pattern))
     w = (stream.writeStream.format("parquet").option("path", out_path)
          .option("checkpointLocation", checkpoint).outputMode("append")
@@ -38,4 +38,5 @@ def ingest_daily_drops(spark: SparkSession, source: str, out_path: str, checkpoi
         w = w.partitionBy(partition_by)
     q = w.start()
     q.awaitTermination()
-    return len(q.recentProgress)
+    last = q.lastProgress
+    return last["batchId"] + 1 if last else 0
