@@ -31,7 +31,7 @@ SAMPLE, SAMPLE_BYTES = 4_000, 20_000
 CHUNK, OVERLAP = 256, 16
 WIDTH, STRIDE, EMB, FILTERS = 12, 2, 8, 32
 POSITIONS = (CHUNK - WIDTH) // STRIDE + 1
-TRAIN_CHUNKS, EPOCHS, BATCH_DOCS, RATE = 6, 8, 32, 0.004
+TRAIN_CHUNKS, EPOCHS, LEAST_STEPS, BATCH_DOCS, RATE = 6, 8, 500, 32, 0.004
 BATCH = 128                    # chunks a forward pass holds at a time
 ACCEPT = 0.3
 
@@ -121,8 +121,10 @@ def fit(rows: list[tuple[bytes, int]], seed: int = 11) -> Model:
     params = [m.emb, m.conv, m.conv_bias, m.out, bias]
     state = [(np.zeros_like(p), np.zeros_like(p)) for p in params]
     step, train = 0, np.arange(n_check, len(rows))
-    total = EPOCHS * -(-len(train) // BATCH_DOCS)
-    for _ in range(EPOCHS):
+    per_epoch = -(-len(train) // BATCH_DOCS)
+    epochs = max(EPOCHS, -(-LEAST_STEPS // per_epoch))      # small samples are gone through more often
+    total = epochs * per_epoch
+    for _ in range(epochs):
         order = rng.permutation(train)
         for lo in range(0, len(order), BATCH_DOCS):
             pick = order[lo:lo + BATCH_DOCS]
