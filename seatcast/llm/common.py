@@ -64,6 +64,14 @@ def least_hashes(rows: DataFrame, hash_col: str, n: int) -> DataFrame:
     return rows.where(part < F.lit(int(share * (1 << 32)))).limit(2 * n)
 
 
+def texts_of(column, rows: int = 128):
+    """The values of an Arrow string column as bytes (empty for null), a few
+    rows at a time, so that a batch is never held twice."""
+    for at in range(0, len(column), rows):
+        for value in column.slice(at, rows).cast("binary").to_pylist():
+            yield value or b""
+
+
 def filesystem(uri: str):
     """pyarrow file system and inner path of a Spark path (file, hdfs, s3, gs)."""
     from pyarrow import fs

@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seatcast.llm.common import held_out, least_hashes
+from seatcast.llm.common import held_out, least_hashes, texts_of
 
 SAMPLE, SAMPLE_BYTES = 4_000, 20_000
 BUCKET_BITS, DIM, EPOCHS, RATE = 16, 16, 8, 1.0
@@ -128,13 +128,12 @@ def predict(docs: DataFrame, model: Model, text: Column | str = "text") -> Colum
     def of(texts: pa.Array) -> pa.Array:
         m = shared.value
         langs, scores = [], []
-        lower = pc.utf8_lower(texts).to_pylist()
-        for t in lower:
-            if not t or not m.langs or not any(map(str.isalpha, t)):
+        for t in texts_of(pc.utf8_lower(texts)):
+            if not m.langs or not any(map(str.isalpha, t.decode())):
                 langs.append(UNKNOWN)
                 scores.append(0.0)
                 continue
-            p = m.scores(t.encode())
+            p = m.scores(t)
             langs.append(m.langs[int(p.argmax())])
             scores.append(float(p.max()))
         accepted = [lang != UNKNOWN and s >= m.threshold for lang, s in zip(langs, scores)]

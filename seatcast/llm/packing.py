@@ -57,7 +57,7 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, length: int = LENGTH,
                         c.append(v)
                     held += len(piece)
                 doc_no += 1
-                if held > 16 << 20:
+                if held > 4 << 20:
                     yield batch_of(cols)
                     cols, held = [[] for _ in range(7)], 0
             yield batch_of(cols)

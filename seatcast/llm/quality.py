@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seatcast.llm.common import held_out, least_hashes, stage
+from seatcast.llm.common import held_out, least_hashes, stage, texts_of
 
 SAMPLE, SAMPLE_BYTES = 4_000, 20_000
 CHUNK, OVERLAP = 256, 16
@@ -72,13 +72,14 @@ class Model:
     def logit(self, pooled_sum, pooled_max, n) -> float:
         return float(np.concatenate([pooled_sum / n, pooled_max]) @ self.out + self.bias)
 
-    def scores(self, texts: list[bytes]) -> list[float]:
+    def scores(self, texts, n_texts: int | None = None) -> list[float]:
         """Chunks of all texts run through the filters in full batches."""
+        n_texts = len(texts) if n_texts is None else n_texts
         if self.constant is not None:
-            return [self.constant] * len(texts)
-        sums = np.zeros((len(texts), FILTERS), np.float64)
-        tops = np.zeros((len(texts), FILTERS), np.float32)
-        counts = np.zeros(len(texts), np.int64)
+            return [self.constant] * n_texts
+        sums = np.zeros((n_texts, FILTERS), np.float64)
+        tops = np.zeros((n_texts, FILTERS), np.float32)
+        counts = np.zeros(n_texts, np.int64)
         held, owner, n = [], [], 0
 
         def flush():
@@ -198,7 +199,7 @@ def score(docs: DataFrame, model: Model, text: Column | str = "text") -> Column:
 
     @F.arrow_udf("double")
     def of(texts: pa.Array) -> pa.Array:
-        return pa.array(shared.value.scores([t or b"" for t in texts.cast(pa.binary()).to_pylist()]), pa.float64())
+        return pa.array(shared.value.scores(texts_of(texts), len(texts)), pa.float64())
 
     return of(text)
 

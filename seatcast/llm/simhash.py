@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from seatcast.llm.common import fresh, stage
+from seatcast.llm.common import fresh, stage, texts_of
 
 SHINGLE, SEED, MAX_BITS = 3, 42, 2
 HOT = 32
@@ -60,8 +60,7 @@ def text_fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 
 @F.arrow_udf(T.LongType())
 def _fingerprints(text: pa.Array) -> pa.Array:
-    found = [text_fingerprint(t or b"") for t in text.cast(pa.binary()).to_pylist()]
-    return pa.array(np.array(found, np.uint64).view(np.int64))
+    return pa.array(np.fromiter(map(text_fingerprint, texts_of(text)), np.uint64, len(text)).view(np.int64))
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -178,7 +177,13 @@ def one_of_each(docs: DataFrame) -> DataFrame:
         F.min("doc_id").alias("id"), F.min("fp").alias("print"))
     names = {c: fresh(docs, c) for c in ("id", "print", "root", "own")}
     keep = stage(keep, "keep").select(*[F.col(c).alias(names[c]) for c in ("id", "print", "root")])
-    tagged = docs.withColumn(names["own"], _fingerprints("text"))
-    kept = tagged.join(keep, docs["doc_id"].cast("bigint").eqNullSafe(F.col(names["id"]))
-                       & (F.col(names["own"]) == F.col(names["print"])))
-    return kept.dropDuplicates([names["root"]]).select(*docs.columns)
+    key = docs["doc_id"].cast("bigint")
+    # an id that one row has needs no more than its name; only rows that share one are told apart by fingerprint
+    times = got.groupBy("doc_id").agg(F.count(F.lit(1)).alias("times")).where("times > 1 or doc_id is null")
+    often = stage(times.select("doc_id"), "often").select(F.col("doc_id").alias("shared"))
+    one_row = keep.join(often, F.col(names["id"]).eqNullSafe(F.col("shared")), "left_anti")
+    several = keep.join(often, F.col(names["id"]).eqNullSafe(F.col("shared")), "left_semi")
+    plain = docs.join(one_row, key == F.col(names["id"]), "left_semi")
+    told = docs.join(several, key.eqNullSafe(F.col(names["id"]))).withColumn(names["own"], _fingerprints("text"))
+    told = told.where(F.col(names["own"]) == F.col(names["print"])).dropDuplicates([names["root"]])
+    return plain.unionByName(told.select(*docs.columns))

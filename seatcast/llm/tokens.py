@@ -17,8 +17,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CACHE_WORDS = 600_000        # entries kept by a worker before it starts afresh
-SLICE_BYTES = 8 << 20        # text handled at a time (one longer text alone)
+CACHE_WORDS = 250_000        # entries kept by a worker before it starts afresh
+SLICE_BYTES = 2 << 20        # text handled at a time (one longer text alone)
 LETTERS, MARKS = "a-zß-öø-ÿ", r"!-&(-/:;=>?@\[-`{}~"   # without ', < and |, which the pattern or special tokens use
 PLAIN = re.compile(f"[{LETTERS}]+|[{MARKS}]+")      # a run that the tokenizer never cuts
 BORDER = f"([{LETTERS}])([{MARKS}])"                 # where it always cuts
