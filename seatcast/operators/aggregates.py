@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from seatcast.operators._util import persisted
+
 
 def _cols(x: Sequence[str] | str) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
@@ -54,6 +56,20 @@ def histogram(long_df: DataFrame, name_col: str, value_col: str, width: float) -
             .withColumn("bin_end", (F.col("bin") + 1) * F.lit(float(width))))
 
 
+def linear_quantile(values: Column, p: float) -> Column:
+    """Quantile of a sorted array column, numpy's "linear" method with the same
+    floating-point steps (bin edges depend on them): the virtual index is
+    (n*p + (1-p)) - 1, and the lerp is taken from the upper neighbour when the
+    fraction is >= 0.5."""
+    n, q = F.size(values), F.lit(float(p))
+    pos = (n.cast("double") * q + (F.lit(1.0) - q)) - F.lit(1.0)
+    lo = F.floor(pos).cast("int")
+    a = F.get(values, lo).cast("double")
+    b = F.get(values, F.least(lo + 1, n - 1)).cast("double")
+    t = pos - lo
+    return F.when(t >= 0.5, b - (b - a) * (F.lit(1.0) - t)).otherwise(a + (b - a) * t)
+
+
 QUANTILE_BUCKETS = 64     # value ranges per group that share the ordered pass
 
 
@@ -206,10 +222,12 @@ def residual_outliers(df: DataFrame, label: str, pred: str, event_id: str | None
                       out: str = "is_outlier", k: float = 1.5) -> DataFrame:
     """``residuals = label - pred`` and whether they lie outside the bounds of
     :func:`quantile_bounds` over all rows; with ``event_id`` only that event's
-    rows are marked.  The bounds are one row, read once as a scalar."""
+    rows are marked.  The residuals alone are kept for the passes of the exact
+    quantiles; their two bounds, one row, then stand in the plan as numbers."""
     r = df.withColumn("residuals", F.col(label).cast("double") - F.col(pred))
-    b = quantile_bounds(r, "residuals", k=k).select(F.struct("lower_bound", "upper_bound")).scalar()
-    mark = (F.col("residuals") < b["lower_bound"]) | (F.col("residuals") > b["upper_bound"])
+    with persisted(r.select("residuals")) as slim:
+        b = quantile_bounds(slim, "residuals", k=k).first()
+    mark = (F.col("residuals") < F.lit(b["lower_bound"])) | (F.col("residuals") > F.lit(b["upper_bound"]))
     if event_id is not None:
         mark = mark & F.col("event_id").eqNullSafe(event_id)
     return r.withColumn(out, mark)

@@ -134,10 +134,13 @@ def dense_rank_overall(df: DataFrame, col: str, out: str = "overall_rank") -> Da
 def tercile_bucket(df: DataFrame, col: str, out: str = "opponent_rank",
                    overrides: Sequence[str] = (), override_col: str = "team") -> DataFrame:
     """Label 1/2/3 by the 1/3 and 2/3 quantiles of ``col`` (linear interpolation),
-    bins closed on the right; rows whose ``override_col`` is listed get 1."""
-    from seatcast.operators.aggregates import exact_quantiles
-    q = exact_quantiles(df, [], col, [1.0 / 3.0, 2.0 / 3.0], ["q1", "q2"])
-    q1, q2 = q.select("q1").scalar(), q.select("q2").scalar()
+    bins closed on the right; rows whose ``override_col`` is listed get 1.
+
+    For bounded frames (teams): the sorted values are one array in a window, so
+    the frame is worked out once."""
+    from seatcast.operators.aggregates import linear_quantile
+    values = F.sort_array(F.collect_list(col).over(Window.partitionBy()))
+    q1, q2 = linear_quantile(values, 1.0 / 3.0), linear_quantile(values, 2.0 / 3.0)
     label = F.when(F.col(col) <= q1, 1).when(F.col(col) <= q2, 2).otherwise(3)
     if overrides:
         label = F.when(F.col(override_col).isin(list(overrides)), 1).otherwise(label)
