@@ -259,6 +259,16 @@ def by_bowl_and_opponent(spark, d):
         return M.fit_segmented(t, "bowl_location", lambda part: M.fit_group_means(part, ["opponent"]))
 
 
+# The same on the full feature list of the Poisson model; no SQL tells these.
+def full_poisson(spark, d):
+    return M.fit_poisson(train(spark, d), POISSON_FS)
+
+
+def full_poisson_by_bowl(spark, d):
+    with persisted(train(spark, d)) as t:
+        return M.fit_segmented(t, "bowl_location", lambda part: M.fit_poisson(part, POISSON_FS))
+
+
 MEANS_SQL = f"""{TRAIN_SQL},
 m1 AS (SELECT opponent, AVG({Y}) AS p FROM train GROUP BY 1),
 m2 AS (SELECT bowl_location, opponent, AVG({Y}) AS p FROM train GROUP BY 1, 2)"""
@@ -276,10 +286,8 @@ def q_segmented_models(spark, d):
 @register("segmented_poisson")
 def q_segmented_poisson(spark, d):
     """The Poisson model per bowl on its full feature list."""
-    train_, test = train_test(spark, d)
-    with persisted(train_) as t:
-        models_ = M.fit_segmented(t, "bowl_location", lambda part: M.fit_poisson(part, POISSON_FS))
-    return M.score_segmented(test, "bowl_location", models_).select(*KEYS, C.TARGET, "prediction")
+    _, test = train_test(spark, d)
+    return M.score_segmented(test, "bowl_location", full_poisson_by_bowl(spark, d)).select(*KEYS, C.TARGET, "prediction")
 
 
 @register("coef_table", with_base("""
@@ -293,6 +301,14 @@ def q_coef_table(spark, d):
     return c.select("feature", F.round("coefficients", 4).alias("coefficients"), F.round("magnitude", 4).alias("magnitude"))
 
 
+@register("coef_table_full")
+def q_coef_table_full(spark, d):
+    """Coefficients of the Poisson model on its full feature list."""
+    t = train(spark, d)
+    m = full_poisson(spark, d)
+    return M.coef_table(m, m.transform(t.limit(1)))
+
+
 LATEST_MEANS = f"{LATEST_CTE},\n{MEANS_SQL}"
 
 
@@ -302,13 +318,24 @@ SELECT event_name, event_date, opponent, price_code, last_price, host_sold_yeste
 FROM latest JOIN m1 USING (opponent) JOIN m2 USING (bowl_location, opponent)""", LATEST_MEANS))
 def q_predict_batch(spark, d):
     """Both predictions of the latest rows, exported as CSV and read back."""
-    cols = ["event_name", "event_date", "opponent", "price_code", "last_price", "host_sold_yesterday"]
     out = M.predict_batch(latest(spark, d), by_opponent(spark, d), "bowl_location", by_bowl_and_opponent(spark, d))
-    out = out.select(*cols, *[mean3(c).alias(c) for c in ("predicted_segmented", "predicted_poisson")])
+    return _exported(spark, out.withColumns({c: mean3(c) for c in ("predicted_segmented", "predicted_poisson")}))
+
+
+def _exported(spark, predictions) -> DataFrame:
+    cols = ["event_name", "event_date", "opponent", "price_code", "last_price", "host_sold_yesterday"]
+    out = predictions.select(*cols, "predicted_segmented", "predicted_poisson")
     path = files.export_predictions(out, files.scratch_path(spark, "predictions"))
     return files.scan_csv_glob(spark, path, schemas.PREDICTIONS)
 
 
+@register("predict_batch_full")
+def q_predict_batch_full(spark, d):
+    """The same by the Poisson models on their full feature list."""
+    return _exported(spark, M.predict_batch(latest(spark, d), full_poisson(spark, d), "bowl_location",
+                                            full_poisson_by_bowl(spark, d)))
+
+
 @register("results_join", with_base(
     f"SELECT {_k()}, target_host_sold_today AS y_true, ROUND(m1.p + 0.00001, 3) AS y_pred FROM test JOIN m1 USING (opponent)",
     f"{MEANS_SQL},\n{TEST_SQL}"))
@@ -317,6 +344,12 @@ def q_results_join(spark, d):
     return M.results(s, KEYS).withColumn("y_pred", mean3("y_pred"))
 
 
+@register("results_join_full")
+def q_results_join_full(spark, d):
+    """True values beside the predictions of the full Poisson model."""
+    return M.results(_scored_test(spark, d, full_poisson(spark, d)), KEYS)
+
+
 @register("model_persistence", with_base(
     f"SELECT month, COUNT(*) AS n, ROUND(AVG({Y}), 4) AS prediction, true AS same FROM train GROUP BY month", TRAIN_SQL))
 def q_model_persistence(spark, d):
@@ -330,6 +363,16 @@ def q_model_persistence(spark, d):
         return spark.createDataFrame(out.collect(), out.schema)      # a row per month
 
 
+@register("model_persistence_full")
+def q_model_persistence_full(spark, d):
+    """The same for the full Poisson pipeline (imputer, scaler, one-hots), row by row on the test part."""
+    m = full_poisson(spark, d)
+    again = M.load_model(M.save_model(m, files.scratch_path(spark, "model")))
+    _, test = train_test(spark, d)
+    s = again.transform(m.transform(test).select(*test.columns, F.col("prediction").alias("before")))
+    return s.select(*KEYS, C.TARGET, "prediction", (F.col("prediction") == F.col("before")).alias("same"))
+
+
 # ------------------------------------------------------------ backtests ----
 OLS_FS = M.FeatureSet(["last_price"])
 HASH = "CAST('0x' || substr(md5('42|' || event_id || '|' || COALESCE(price_code, '') || '|' || CAST(calculate_date AS VARCHAR)), 1, 8) AS BIGINT)"
@@ -435,8 +478,7 @@ _GRID = _grid_sql("1.0", "8.0", 30, "g.grid_idx")
 
 
 def _curve(spark, d, scorer) -> DataFrame:
-    c = whatif.demand_curve_ratio(latest(spark, d), scorer, C.RATIO_GRID, C.PRICE_GRID_POINTS, KEYS)
-    return c.withColumn("prediction", mean3("prediction"))
+    return _full_curve(spark, d, scorer).withColumn("prediction", mean3("prediction"))
 
 
 @register("demand_curve_sequence", with_base(
@@ -452,3 +494,20 @@ def q_demand_curve_sequence(spark, d):
 def q_demand_curve_model(spark, d):
     """Ratio curve scored through a fitted Poisson pipeline."""
     return _curve(spark, d, whatif.model_scorer(by_opponent(spark, d)))
+
+
+def _full_curve(spark, d, scorer) -> DataFrame:
+    return whatif.demand_curve_ratio(latest(spark, d), scorer, C.RATIO_GRID, C.PRICE_GRID_POINTS, KEYS)
+
+
+@register("demand_curve_sequence_full")
+def q_demand_curve_sequence_full(spark, d):
+    """Ratio curve scored through the per-bowl Poisson models on their full feature list."""
+    models_ = full_poisson_by_bowl(spark, d)
+    return _full_curve(spark, d, lambda df: M.score_segmented(df, "bowl_location", models_))
+
+
+@register("demand_curve_model_full")
+def q_demand_curve_model_full(spark, d):
+    """Ratio curve scored through the Poisson pipeline on its full feature list."""
+    return _full_curve(spark, d, whatif.model_scorer(full_poisson(spark, d)))
