@@ -175,15 +175,20 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     got = classes(docs).select("doc_id", "fp", "root", "component_id")
     keep = got.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root").agg(
         F.min("doc_id").alias("id"), F.min("fp").alias("print"))
-    names = {c: fresh(docs, c) for c in ("id", "print", "root", "own")}
-    keep = stage(keep, "keep").select(*[F.col(c).alias(names[c]) for c in ("id", "print", "root")])
+    names = {c: fresh(docs, c) for c in ("id", "print", "own", "key", "shared")}
+    keep = stage(keep, "keep").select(*[F.col(c).alias(names[c]) for c in ("id", "print")])
     key = docs["doc_id"].cast("bigint")
     # an id that one row has needs no more than its name; only rows that share one are told apart by fingerprint
     times = got.groupBy("doc_id").agg(F.count(F.lit(1)).alias("times")).where("times > 1 or doc_id is null")
-    often = stage(times.select("doc_id"), "often").select(F.col("doc_id").alias("shared"))
-    one_row = keep.join(often, F.col(names["id"]).eqNullSafe(F.col("shared")), "left_anti")
-    several = keep.join(often, F.col(names["id"]).eqNullSafe(F.col("shared")), "left_semi")
+    often = stage(times.select("doc_id"), "often").select(F.col("doc_id").alias(names["shared"]))
+    one_row = keep.join(often, F.col(names["id"]).eqNullSafe(F.col(names["shared"])), "left_anti")
+    several = keep.join(often, F.col(names["id"]).eqNullSafe(F.col(names["shared"])), "left_semi")
+    several = several.withColumnsRenamed({names["id"]: names["key"], names["print"]: names["own"]})
     plain = docs.join(one_row, key == F.col(names["id"]), "left_semi")
-    told = docs.join(several, key.eqNullSafe(F.col(names["id"]))).withColumn(names["own"], _fingerprints("text"))
-    told = told.where(F.col(names["own"]) == F.col(names["print"])).dropDuplicates([names["root"]])
+    # a row for each id and fingerprint before they meet: an id with many different texts is spread by these
+    told = (docs.join(often, key.eqNullSafe(F.col(names["shared"])), "left_semi")
+            .withColumns({names["key"]: F.col("doc_id").cast("bigint"), names["own"]: _fingerprints("text")})
+            .dropDuplicates([names["key"], names["own"]]))
+    told = told.alias("told").join(several.alias("several"), F.col(f"told.{names['key']}").eqNullSafe(F.col(f"several.{names['key']}"))
+                                   & (F.col(f"told.{names['own']}") == F.col(f"several.{names['own']}")), "left_semi")
     return plain.unionByName(told.select(*docs.columns))

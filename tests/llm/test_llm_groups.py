@@ -100,6 +100,31 @@ def test_one_of_each_keeps_one_row_a_component(docs, doc_rows):
     assert 15 in ids and not ids & {3 * i for i in range(240, 280) if i % 4}     # the exact copies
 
 
+def joined_rows(plan):
+    """The most rows that a join of the executed plan made."""
+    name = plan.getClass().getSimpleName()
+    if name == "AdaptiveSparkPlanExec":
+        return joined_rows(plan.executedPlan())
+    if name.endswith("QueryStageExec"):
+        return joined_rows(plan.plan())
+    below = max((joined_rows(plan.children().apply(k)) for k in range(plan.children().size())), default=0)
+    made = plan.metrics().get("numOutputRows") if "Join" in name else None
+    return max(below, made.get().value() if made and made.isDefined() else 0)
+
+
+def test_rows_of_a_hot_id_do_not_meet_all_its_components(spark):
+    n, word = 300, lambda *k: hashlib.md5(repr(k).encode()).hexdigest()
+    rows = [(key, " ".join(word(key, i, w) for w in range(12))) for key in (None, 7) for i in range(n)]
+    rows += rows[:20] + [(100 + i, " ".join(word(i, w) for w in range(12))) for i in range(n)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = simhash.one_of_each(docs)
+    got = kept.collect()
+    components = set(brute_components({i: brute_fingerprint(t) for i, t in enumerate(dict.fromkeys(t for _, t in rows))}).values())
+    assert len(got) == len(components) and {tuple(r) for r in got} <= set(rows)
+    made = joined_rows(kept._jdf.queryExecution().executedPlan())
+    assert 0 < made <= len(rows)
+
+
 def brute_next(rows):
     order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))
     return [(r, order[(k + 1) % len(order)]) for k, r in enumerate(order)]
