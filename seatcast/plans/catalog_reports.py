@@ -405,6 +405,23 @@ def q_demand_curve_price(spark, d):
     return whatif.demand_curve_price(latest(spark, d), SCORER, reference, 30, KEYS)
 
 
+@register("demand_curve_price_whole", with_base(f"""
+SELECT {_k()}, CAST(grid_idx AS INTEGER) AS grid_idx, price AS last_price,
+  {SCORE.replace('COALESCE(CAST(last_price AS DOUBLE)', 'COALESCE(CAST(price AS DOUBLE)')} AS prediction
+FROM (
+  SELECT l.*, g.grid_idx, {_grid_sql('COALESCE(r.min_price, o.min_price)', 'COALESCE(r.max_price, o.max_price)', 30, 'g.grid_idx')} AS price
+  FROM latest l
+  LEFT JOIN (SELECT price_code, MIN(last_price) AS min_price, MAX(last_price) AS max_price FROM pre GROUP BY 1) r
+    ON l.price_code IS NOT DISTINCT FROM r.price_code
+  LEFT JOIN (SELECT price_code, MIN(last_price) AS min_price, MAX(last_price) AS max_price FROM latest GROUP BY 1) o
+    ON l.price_code IS NOT DISTINCT FROM o.price_code
+  CROSS JOIN (SELECT range AS grid_idx FROM range(30)) g
+)""", LATEST_CTE))
+def q_demand_curve_price_whole(spark, d):
+    """Every code's range over the whole history."""
+    return whatif.demand_curve_price(latest(spark, d), SCORER, I.preprocessed(spark, d), 30, KEYS)
+
+
 _RATIO_SQL = _grid_sql("1.0", "8.0", 30, "g.grid_idx")
 
 

@@ -1,0 +1,15 @@
+"""The price curve spans a code's range over the whole history."""
+
+from pyspark.sql import functions as F
+
+from __spark_entry__ import SMOKE_DIR, queries
+from seatcast.plans import inputs as I
+
+RANGE = (F.min("last_price").alias("low"), F.max("last_price").alias("high"))
+
+
+def test_curves_span_the_range_of_their_code(spark):
+    want = {r["price_code"]: (r["low"], r["high"]) for r in I.preprocessed(spark, SMOKE_DIR).groupBy("price_code").agg(*RANGE).collect()}
+    got = queries()["demand_curve_price_whole"](spark, SMOKE_DIR).groupBy("price_code").agg(*RANGE).collect()
+    assert "N" in {r["price_code"] for r in got}
+    assert all((r["low"], r["high"]) == want[r["price_code"]] for r in got)
