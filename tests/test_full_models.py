@@ -25,17 +25,3 @@ def test_coefficients_of_every_feature(run):
         assert f in got
     for c in C.POISSON_CATEGORICAL:
         assert any(f.startswith(f"{c}_") for f in got)
-
-
-def test_predictions_differ_within_an_opponent(run):
-    got = run("predict_batch_full")
-    assert got.select("opponent", "predicted_poisson").distinct().count() > got.select("opponent").distinct().count()
-    assert got.where("predicted_segmented is null or predicted_poisson is null").isEmpty()
-
-
-def test_results_and_persistence(run, spark):
-    results, loaded = run("results_join_full"), run("model_persistence_full")
-    n = Q.train_test(spark, SMOKE_DIR)[1].count()
-    assert n and results.count() == loaded.count() == n
-    assert loaded.where("not same or same is null").isEmpty()
-    assert results.select("y_pred").distinct().count() > n // 2
