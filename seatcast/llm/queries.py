@@ -7,7 +7,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seatcast.llm import html, langid, mixing, packing, quality, records, sharding, simhash, syncmers, topk
+from seatcast.llm import (exact_dedup, html, langid, mixing, packing, prefix_trie, quality, records, sharding, simhash, syncmers, topk,
+                          turn_repair)
 from seatcast.llm.common import table
 
 
@@ -64,6 +65,22 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Group of equal texts of every document and the one that stays."""
+    return exact_dedup.groups(table(spark, sf_dir, "documents"))
+
+
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every damaged conversation."""
+    rows = table(spark, sf_dir, "conversations")
+    return turn_repair.audit(turn_repair.damaged(rows), rows)
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of rebuilt conversations."""
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five stages of corpus_pipeline over all documents."""
     import corpus_pipeline
@@ -71,7 +88,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_packing, op2_quality, op3_topk, op4_html, op5_simhash, op6_syncmers,
-                                   op7_mixing, op8_sharding, op9_records, op10_langid, pipeline)}
+                                   op7_mixing, op8_sharding, op9_records, op10_langid, op11_exact_dedup, op12_turn_repair,
+                                   op13_prefix_trie, pipeline)}
 
 OP3_SQL = """
 WITH usable AS (
@@ -122,4 +140,120 @@ FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source
 JOIN k ON d.source IS NOT DISTINCT FROM k.source AND d.hash = k.hash
 """
 
-ORACLES = {"op3_topk": OP3_SQL, "op7_mixing": OP7_SQL}
+OP11_SQL = """
+WITH d AS (
+  SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)
+SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+  row_number() OVER (PARTITION BY t ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(t) AS text_sha256
+FROM d
+"""
+
+
+def _crc32(text: str) -> str:
+    """DuckDB SQL of the unsigned CRC-32 of an ASCII text: each byte, then eight shifts (marked -1)."""
+    steps = f"flatten(list_transform(range(1, length({text}) + 1), lambda i: [CAST(ascii(substr({text}, i, 1)) AS BIGINT), {', '.join(['-1'] * 8)}]))"
+    return (f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {steps}), lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) "
+            f"ELSE xor(c >> 1, (c & 1) * 3988292384) END), 4294967295)")
+
+
+def _paid(way: str, cost, letter: str) -> str:
+    """A way (ten digits of cost, then the letters) after one more edit."""
+    return f"lpad(CAST(CAST(left({way}, 10) AS BIGINT) + {cost} AS VARCHAR), 10, '0') || substr({way}, 11) || '{letter}'"
+
+
+def _with_inserts(ways: str) -> str:
+    """e, s, u, a (empty, after system, user, assistant) of ``ways`` after any inserts."""
+    u = f"least(u, {_paid('e', 2, 'I')}, {_paid('s', 2, 'I')}, {_paid('a', 2, 'I')})"
+    return f"SELECT * REPLACE (least(a, {_paid('u', 2, 'I')}) AS a) FROM (SELECT * REPLACE ({u} AS u) FROM ({ways}))"
+
+
+_ANY = ("e", "s", "a")      # before a user turn
+_KEEP_U = ", ".join(f"CASE WHEN i = 'u' AND NOT gone THEN {_paid(w, 'cut', 'K')} END" for w in _ANY)
+_REROLE_U = ", ".join(f"CASE WHEN NOT gone THEN {_paid(w, '2 + cut', 'R')} END" for w in _ANY)
+_ROW = f"""SELECT conv_id, p, {_paid('e', 3, 'D')} AS e,
+    least({_paid('s', 3, 'D')}, CASE WHEN i = 's' AND NOT gone THEN {_paid('e', 'cut', 'K')} END) AS s,
+    least({_paid('u', 3, 'D')}, {_KEEP_U}, {_REROLE_U}) AS u,
+    least({_paid('a', 3, 'D')}, CASE WHEN i = 'a' AND NOT gone THEN {_paid('u', 'cut', 'K')} END,
+          CASE WHEN NOT gone THEN {_paid('u', '2 + cut', 'R')} END) AS a
+  FROM (SELECT f.*, w.e, w.s, w.u, w.a FROM ways w JOIN f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.p = w.p + 1)"""
+
+OP12_SQL = rf"""
+WITH RECURSIVE k AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key FROM conversations),
+h AS (SELECT *, {_crc32('key')} % 20 AS how FROM k),
+d AS (
+  SELECT conv_id, turn, CASE how WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE how WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE how WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM h),
+o AS (
+  SELECT conv_id, turn, role, text, left(role, 1) AS i,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS p FROM d),
+b AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY p) AS seen FROM o),
+t AS (
+  SELECT *, lag(i) OVER (PARTITION BY conv_id ORDER BY p) AS before,
+    CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN seen > 1 THEN 'duplicate'
+      WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE 'none' END AS fault FROM b),
+f AS (SELECT *, fault IN ('blank', 'duplicate') AS gone, CAST(fault = 'truncated' AS BIGINT) AS cut FROM t),
+ids AS (SELECT DISTINCT conv_id FROM conversations),
+ways AS (
+  {_with_inserts("SELECT conv_id, CAST(0 AS BIGINT) AS p, '0000000000' AS e, CAST(NULL AS VARCHAR) AS s, CAST(NULL AS VARCHAR) AS u, CAST(NULL AS VARCHAR) AS a FROM ids")}
+  UNION ALL
+  {_with_inserts(_ROW)}),
+r AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+    count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (before IS NOT NULL AND before || i NOT IN ('su', 'ua', 'au')) AS illegal, max(p) AS p FROM f GROUP BY conv_id),
+best AS (
+  SELECT w.conv_id, r.* EXCLUDE (conv_id, p), least(w.e, w.a) AS way FROM ways w
+  LEFT JOIN r ON r.conv_id IS NOT DISTINCT FROM w.conv_id AND r.p = w.p WHERE r.p = w.p OR (w.p = 0 AND NOT EXISTS (
+    SELECT 1 FROM r q WHERE q.conv_id IS NOT DISTINCT FROM w.conv_id))),
+l AS (
+  SELECT conv_id, unnest(string_split(substr(way, 11), '')) AS edit, generate_subscripts(string_split(substr(way, 11), ''), 1) AS j
+  FROM best WHERE length(way) > 10),
+q AS (
+  SELECT *, count(*) FILTER (edit <> 'I') OVER (PARTITION BY conv_id ORDER BY j) AS p,
+    count(*) FILTER (edit <> 'D') OVER (PARTITION BY conv_id ORDER BY j) AS n FROM l),
+m AS (
+  SELECT q.*, f.role, f.text, max(CASE WHEN q.edit = 'K' AND q.n = 1 AND f.i = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY q.conv_id) AS shift
+  FROM q LEFT JOIN f ON f.conv_id IS NOT DISTINCT FROM q.conv_id AND f.p = q.p),
+s AS (
+  SELECT conv_id, sha256(string_agg(CASE edit WHEN 'K' THEN role ELSE CASE WHEN (n - shift) % 2 = 1 THEN 'user' ELSE 'assistant' END END
+    || ':' || CASE edit WHEN 'I' THEN '' ELSE text END, chr(10) ORDER BY j)) AS sha FROM m WHERE edit <> 'D' GROUP BY conv_id)
+SELECT best.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(left(way, 10) AS BIGINT) AS cost,
+  substr(way, 11) AS audit, coalesce(sha, sha256('')) AS repaired_sha256
+FROM best LEFT JOIN s ON s.conv_id IS NOT DISTINCT FROM best.conv_id
+"""
+
+OP13_SQL = f"""
+WITH o AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), sha256(coalesce(text, ''))) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+ids AS (SELECT DISTINCT conv_id, CAST(conv_id AS VARCHAR) AS name FROM o),
+c AS (SELECT conv_id AS c, conv_id - conv_id % 100 AS b, {_crc32('name')} % 6 AS h FROM ids),
+k AS (SELECT c, h, b, (SELECT count(*) FROM o WHERE o.conv_id = c.b AND o.pos <= c.h) AS hb FROM c),
+r AS (
+  SELECT c, o.pos AS d, sha256(sha256(text) || role) AS turn, length(text) AS chars FROM k JOIN o ON o.conv_id = k.b AND o.pos <= k.h
+  UNION ALL
+  SELECT c, o.pos - h + hb, sha256(sha256(text) || role), length(text) FROM k JOIN o ON o.conv_id = k.c AND o.pos > k.h),
+p AS (
+  SELECT c, 0 AS d, CAST([] AS VARCHAR[]) AS path, 0 AS chars FROM k
+  UNION ALL SELECT c, d, list(turn) OVER (PARTITION BY c ORDER BY d), chars FROM r),
+z AS (SELECT *, d = max(d) OVER (PARTITION BY c) AS ends FROM p),
+n AS (
+  SELECT path, d, min(c) AS conv_id, count(*) AS n_convs, min(chars) AS chars,
+    sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (ends), '')) AS ends_sha256 FROM z GROUP BY path, d),
+kids AS (SELECT path[:d - 1] AS path, count(*) AS n FROM n WHERE d > 0 GROUP BY 1),
+x AS (SELECT n.*, coalesce(kids.n, 0) AS n_children FROM n LEFT JOIN kids ON kids.path = n.path),
+below AS (
+  SELECT p.path, CAST(sum((x.n_convs - 1) * x.chars) AS BIGINT) AS saved_tokens, count(*) FILTER (x.n_children = 0) AS n_leaves
+  FROM x JOIN p ON p.c = x.conv_id AND p.d <= x.d GROUP BY p.path)
+SELECT x.conv_id, CAST(x.d AS BIGINT) AS depth, up.conv_id AS parent_conv_id, x.n_convs, x.n_children, below.n_leaves, below.saved_tokens,
+  x.ends_sha256
+FROM x JOIN below ON below.path = x.path LEFT JOIN n up ON x.d > 0 AND up.path = x.path[:x.d - 1]
+"""
+
+ORACLES = {"op3_topk": OP3_SQL, "op7_mixing": OP7_SQL, "op11_exact_dedup": OP11_SQL, "op12_turn_repair": OP12_SQL,
+           "op13_prefix_trie": OP13_SQL}
