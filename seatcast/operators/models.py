@@ -5,6 +5,9 @@ encoding and assembly are stages, so a fitted ``PipelineModel`` carries its
 preprocessing and is saved/loaded as one artefact.  Fitting is distributed
 (treeAggregate of gradients / sufficient statistics); nothing is collected.
 
+A fitted model works on its own copies of the features, so a scored frame keeps
+every input column as it came (:func:`scored`), and can be scored again.
+
 Parity notes (see survey): sklearn's ``StandardScaler`` uses the population
 std, Spark's the sample std, so ``population_scaler`` computes the population
 statistics with one SQL aggregate and applies them in a ``SQLTransformer``.
@@ -81,17 +84,26 @@ def population_scaler(df: DataFrame, cols: Sequence[str], suffix: str = "") -> S
     return SQLTransformer(statement=f"SELECT * {keep}, {exprs} FROM __THIS__")
 
 
+def worked(c: str) -> str:
+    """The pipeline's own copy of a numeric feature: it is imputed and scaled,
+    the input column stays as it came."""
+    return f"_f_{c}"
+
+
 def impute_stages(fs: FeatureSet, impute_numeric: str | None = "zero") -> list:
+    """Double copies of the numeric features (see :func:`worked`), imputed."""
     num = list(fs.numeric)
-    if not num or impute_numeric is None:
+    if not num:
         return []
+    made = [f"CAST({_q(c)} AS DOUBLE)" for c in num]
     if impute_numeric == "zero":
-        cast = ", ".join(f"COALESCE(CAST({_q(c)} AS DOUBLE), 0.0) AS {_q(c)}" for c in num)
-        return [SQLTransformer(
-            statement=f"SELECT * EXCEPT ({', '.join(_q(c) for c in num)}), {cast} FROM __THIS__")]
-    cast = ", ".join(f"CAST({_q(c)} AS DOUBLE) AS {_q(c)}" for c in num)
-    return [SQLTransformer(statement=f"SELECT * EXCEPT ({', '.join(_q(c) for c in num)}), {cast} FROM __THIS__"),
-            Imputer(strategy=impute_numeric, inputCols=num, outputCols=num)]
+        made = [f"COALESCE({e}, 0.0)" for e in made]
+    copies = ", ".join(f"{e} AS {_q(worked(c))}" for c, e in zip(num, made))
+    stages = [SQLTransformer(statement=f"SELECT *, {copies} FROM __THIS__")]
+    if impute_numeric not in (None, "zero"):
+        own = [worked(c) for c in num]
+        stages.append(Imputer(strategy=impute_numeric, inputCols=own, outputCols=own))
+    return stages
 
 
 def encode_stages(fs: FeatureSet, degree: int = 1, scale_poly: bool = False,
@@ -106,7 +118,7 @@ def encode_stages(fs: FeatureSet, degree: int = 1, scale_poly: bool = False,
     Spark divides by the sample std, ``rows`` gives the factor between the two.
     """
     stages, vec_inputs = [], []
-    num = list(fs.numeric)
+    num = [worked(c) for c in fs.numeric]
     if num:
         if degree > 1:
             stages.append(VectorAssembler(inputCols=num, outputCol="_num_raw", handleInvalid="keep"))
@@ -192,8 +204,8 @@ def _fit_stages(train: DataFrame, fs: FeatureSet, estimator, scale: bool, degree
     imp = impute_stages(fs, impute_numeric)
     stages = list(imp)
     if scale and degree == 1 and fs.numeric:
-        pre = Pipeline(stages=imp).fit(train).transform(train) if imp else train
-        stages.append(population_scaler(pre, fs.numeric))
+        pre = Pipeline(stages=imp).fit(train).transform(train)
+        stages.append(population_scaler(pre, [worked(c) for c in fs.numeric]))
     stages += encode_stages(fs, degree, scale_poly=scale and degree > 1, rows=train.count() if degree > 1 else None,
                             dummies=categories(train, fs.categorical) if drop_first else None)
     return Pipeline(stages=stages + [estimator]).fit(train)
@@ -269,9 +281,9 @@ def fit_gbt(df: DataFrame, fs: FeatureSet, label: str = C.TARGET, **kw) -> Pipel
     return fit_model(df, fs, est, label, scale=True, impute_numeric="mean")
 
 
-def feature_names(model: PipelineModel, scored: DataFrame, col: str = "features") -> list[str]:
+def feature_names(model: PipelineModel, transformed: DataFrame, col: str = "features") -> list[str]:
     """Names of the assembled vector slots, from the column's ML attributes."""
-    meta = scored.schema[col].metadata.get("ml_attr", {})
+    meta = transformed.schema[col].metadata.get("ml_attr", {})
     attrs = meta.get("attrs", {})
     slots = []
     for kind in attrs.values():
@@ -282,13 +294,24 @@ def feature_names(model: PipelineModel, scored: DataFrame, col: str = "features"
     return [names.get(i, f"f{i}") for i in range(n)]
 
 
-def coef_table(model: PipelineModel, scored: DataFrame, prefix: str | None = None) -> DataFrame:
-    """feature, coefficients, magnitude (= |coef|), sorted by magnitude desc."""
-    spark = scored.sparkSession
+def plain_name(slot: str) -> str:
+    """The feature (or feature_category) that a vector slot stands for."""
+    return slot.removeprefix("_f_").removesuffix("_pt").replace("_ohe_", "_").lstrip("_")
+
+
+def scored(model: PipelineModel, df: DataFrame, out: str = "prediction") -> DataFrame:
+    """The rows of ``df``, every column as it came, with the model's prediction."""
+    return model.transform(df).select(*df.columns, F.col("prediction").alias(out))
+
+
+def coef_table(model: PipelineModel, transformed: DataFrame, prefix: str | None = None) -> DataFrame:
+    """feature, coefficients, magnitude (= |coef|), sorted by magnitude desc;
+    ``transformed`` is any output of the model, which names the slots."""
+    spark = transformed.sparkSession
     est = model.stages[-1]
     coefs = [float(x) for x in est.coefficients.toArray()]
-    names = feature_names(model, scored)
-    rows = [(n.replace("_pt", "").lstrip("_"), c, abs(c)) for n, c in zip(names, coefs)]
+    names = feature_names(model, transformed)
+    rows = [(plain_name(n), c, abs(c)) for n, c in zip(names, coefs)]
     df = spark.createDataFrame(rows, "feature string, coefficients double, magnitude double")
     if prefix:
         df = df.where(F.col("feature").startswith(prefix))
@@ -315,7 +338,7 @@ def score_segmented(df: DataFrame, segment_col: str, models: dict, out: str = "p
     seg, others, parts = F.col(segment_col), [v for v in models if v != default], []
     for v, m in models.items():
         own = ~F.coalesce(seg.isin(others), F.lit(False)) if v == default else seg == v
-        parts.append(m.transform(df.where(own)).select(*df.columns, F.col("prediction").alias(out)))
+        parts.append(scored(m, df.where(own), out))
     out_df = parts[0]
     for p in parts[1:]:
         out_df = out_df.unionByName(p)
@@ -325,8 +348,7 @@ def score_segmented(df: DataFrame, segment_col: str, models: dict, out: str = "p
 def predict_batch(rows: DataFrame, poisson_model: PipelineModel, segment_col: str, models: dict) -> DataFrame:
     """Both predictions of every row: by its segment's model and by the Poisson model."""
     seg = score_segmented(rows, segment_col, models, "predicted_segmented")
-    return poisson_model.transform(seg).withColumnRenamed("prediction", "predicted_poisson").select(
-        *rows.columns, "predicted_segmented", "predicted_poisson")
+    return scored(poisson_model, seg, "predicted_poisson")
 
 
 def results(scored: DataFrame, keys: Sequence[str], label: str = C.TARGET) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from seatcast import constants as C
 from seatcast.functions import columns as X
 from seatcast.operators.aggregates import price_range_by_code
+from seatcast.operators.models import scored
 
 Scorer = Callable[[DataFrame], DataFrame]
 
@@ -35,10 +36,8 @@ def linear_scorer(weights: Mapping[str, float], intercept: float = 0.0,
 
 
 def model_scorer(model, out: str = "prediction") -> Scorer:
-    def score(df: DataFrame) -> DataFrame:
-        s = model.transform(df)
-        return s.select(*df.columns, F.col("prediction").alias(out))
-    return score
+    """Scorer of a fitted model; the grid column keeps its values."""
+    return lambda df: scored(model, df, out)
 
 
 def with_grid(rows: DataFrame, lo, hi, n: int, value_col: str = "grid_value",
@@ -62,8 +61,8 @@ def demand_curve_price(rows: DataFrame, scorer: Scorer, reference: DataFrame | N
     g = with_grid(g.withColumn("_lo", lo).withColumn("_hi", hi), F.col("_lo"), F.col("_hi"), n)
     g = g.withColumn("last_price", F.col("grid_value")).drop(
         "_code", "_own", "_min", "_max", "min_price", "max_price", "_lo", "_hi", "grid_value")
-    scored = scorer(g)
-    return scored.select(*keys, "grid_idx", "last_price", "prediction") if keys else scored
+    curve = scorer(g)
+    return curve.select(*keys, "grid_idx", "last_price", "prediction") if keys else curve
 
 
 def demand_curve_ratio(rows: DataFrame, scorer: Scorer, grid: tuple[float, float] = C.RATIO_GRID,
@@ -72,8 +71,8 @@ def demand_curve_ratio(rows: DataFrame, scorer: Scorer, grid: tuple[float, float
     One curve per row key (sorted by price at the sink)."""
     g = with_grid(rows, grid[0], grid[1], n).withColumn("times_above_floor", F.col("grid_value"))
     g = g.withColumn("curve_price", F.col("grid_value") * F.col("price_floor")).drop("grid_value")
-    scored = scorer(g)
-    return scored.select(*keys, "grid_idx", "times_above_floor", "curve_price", "prediction") if keys else scored
+    curve = scorer(g)
+    return curve.select(*keys, "grid_idx", "times_above_floor", "curve_price", "prediction") if keys else curve
 
 
 def aggregate_sales_curve(rows: DataFrame, scorer: Scorer, group: str = "opponent",

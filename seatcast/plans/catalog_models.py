@@ -1,7 +1,9 @@
 """Registered queries for Spark ML feature stages, models, backtests and
-scoring (survey 2.8-2.10).  Feature stages have SQL twins;
-linear fits are held against label totals, saturated ones against group means;
-trees, searches and full backtests are checked on rows and in the tests."""
+scoring (survey 2.8-2.10).  Feature stages have SQL twins.  Full linear fits are
+held against their score equations (``..._scores``): at the optimum the weighted
+totals of every feature are those of the label, plus the penalty's share, and no
+other coefficients give them.  Saturated fits (``..._means``) are held against
+group means.  Trees, searches and full backtests are checked in the tests."""
 
 from __future__ import annotations
 
@@ -13,6 +15,8 @@ from pyspark.sql import functions as F
 
 from seatcast import constants as C
 from seatcast.operators import aggregates as A
+from seatcast.operators import gram
+from seatcast.operators import linear as L
 from seatcast.operators import models as M
 from seatcast.operators import splits, whatif
 from seatcast.plans import inputs as I
@@ -140,7 +144,7 @@ def q_assemble(spark, d):
     with persisted(I.featured(spark, d)) as fe:
         fs = POISSON_FS.checked(fe)
         out = M.Pipeline(stages=M.impute_stages(fs) + M.encode_stages(fs)).fit(fe).transform(fe)
-        names = [n.removeprefix("_").replace("_ohe_", "_").removesuffix("_pt") for n in M.feature_names(None, out)]
+        names = [M.plain_name(n) for n in M.feature_names(None, out)]
         total = out.agg(vector_to_array(Summarizer.sum(F.col("features"))).alias("t")).first()["t"]
     return spark.createDataFrame([(n, round(v, 3)) for n, v in zip(names, total)], "slot string, total double")
 
@@ -155,15 +159,86 @@ def q_ols(spark, d):
     return spark.createDataFrame([(float(lr.intercept), float(lr.coefficients[0]))], "intercept double, slope double")
 
 
+def _ridge(t) -> L.LinearFit:
+    return L.fit_ridge(t, gram.Design.of(t, BASELINE_FS, "mean"), C.RIDGE_ALPHA)
+
+
+def _poly_ridge(t) -> L.LinearFit:
+    return L.fit_ridge(t, gram.Design.of(t, POLY_FS, degree=C.POLY_DEGREE), C.POLY_RIDGE_ALPHA)
+
+
+def _poisson(t, fs=POISSON_FS, alpha=C.POISSON_ALPHA, **design) -> L.LinearFit:
+    return L.fit_poisson(t, gram.Design.of(t, fs, **design), alpha)[0]
+
+
+def _linear_totals(spark, d, fit) -> DataFrame:
+    with persisted(train(spark, d)) as t:
+        total = fit(t).predict(t).agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("prediction")).alias("total_prediction"))
+        return spark.createDataFrame(total.collect(), total.schema)     # one row
+
+
 @register("ridge", TOTALS_SQL)
 def q_ridge(spark, d):
-    return _training_totals(spark, d, lambda t: M.fit_ridge(t, BASELINE_FS, C.RIDGE_ALPHA))
+    return _linear_totals(spark, d, _ridge)
 
 
 @register("poly_ridge", TOTALS_SQL)
 def q_poly_ridge(spark, d):
-    return _training_totals(spark, d, lambda t: M.fit_ridge(t, POLY_FS, C.POLY_RIDGE_ALPHA, degree=C.POLY_DEGREE,
-                                                            impute_numeric="zero"))
+    return _linear_totals(spark, d, _poly_ridge)
+
+
+def _scores_sql(fs: M.FeatureSet, fill: str = "zero", degree: int = 1, by: str | None = None) -> str:
+    """Sum of x * y over the norm of x, for every design column x (of every ``by``)."""
+    num = list(dict.fromkeys(fs.numeric))
+    term = {c: f"COALESCE(CAST({c} AS DOUBLE), {f'a.mean_{c}' if fill == 'mean' else 0})" for c in num}
+    terms = [(c, term[c]) for c in num]
+    if degree == 2:
+        terms += [(f"{a} {b}", f"{term[a]} * {term[b]}") for i, a in enumerate(num) for b in num[i:]]
+    terms += [(c, f"COALESCE(CAST({c} AS DOUBLE), 0)") for c in dict.fromkeys(fs.passthrough)]
+    each = ", ".join(f"{{'feature': '{n}', 'score': ROUND(SUM(({x}) * y) / SQRT(NULLIF(SUM(POW({x}, 2)) * COUNT(*), 0)), 4)}}" for n, x in terms)
+    means = ", ".join(f"AVG(CAST({c} AS DOUBLE)) AS mean_{c}" for c in num) if fill == "mean" else "0 AS none"
+    key, group = (f"{by}, ", f" GROUP BY {by}") if by else ("", "")
+    cats = " ".join(f"UNION ALL SELECT {key}'{c}_' || CAST({c} AS VARCHAR), ROUND(SUM(y) / SQRT(COUNT(*) * MAX(n)), 4) FROM ys "
+                    f"WHERE {c} IS NOT NULL GROUP BY {key}{c}" for c in dict.fromkeys(fs.categorical))
+    over = f"OVER (PARTITION BY {by})" if by else "OVER ()"
+    return with_base(f"""SELECT {key}u.feature AS feature, u.score AS score
+FROM (SELECT {key}UNNEST(list) AS u FROM (SELECT {key.replace(by or '', f'ys.{by}') if by else ''}[{each}] AS list FROM ys CROSS JOIN a{f' GROUP BY ys.{by}' if by else ''})) {cats}""",
+                     f"{TRAIN_SQL},\nys AS (SELECT *, {Y} AS y, COUNT(*) {over} AS n FROM train), a AS (SELECT {means} FROM train)")
+
+
+def _scores(t: DataFrame, fit: L.LinearFit) -> list[tuple[str, float | None]]:
+    """Sum of x * prediction plus the penalty's share, over the norm of x, for every design column."""
+    design, p = fit.design, "_fitted"
+    raw = gram.moments(gram.prepared(fit.predict(t, p), design, p), design)[0]
+    m = raw.mapped(design.imputing(raw)[0])
+    weight = fit.alpha * (m.n if fit.log_link else 1.0)
+    out = []
+    for i, name in enumerate(design.names):
+        xy = m.m2[i, -1] + m.n * m.mean[i] * m.mean[-1] + weight * fit.scaled_coef[i] * fit.scale[i]
+        xx = m.m2[i, i] + m.n * m.mean[i] ** 2
+        out.append((name, round(float(xy / (xx * m.n) ** 0.5), 4) if xx > 0 else None))
+    return out
+
+
+def _score_table(spark, d, fit) -> DataFrame:
+    with persisted(train(spark, d)) as t:
+        return spark.createDataFrame(_scores(t, fit(t)), "feature string, score double")      # a row a feature
+
+
+@register("ridge_scores", _scores_sql(BASELINE_FS, "mean"))
+def q_ridge_scores(spark, d):
+    """The score equations of the ridge fit on its full feature list."""
+    return _score_table(spark, d, _ridge)
+
+
+@register("poly_ridge_scores", _scores_sql(POLY_FS, degree=2))
+def q_poly_ridge_scores(spark, d):
+    """The same for all terms of degree 2."""
+    return _score_table(spark, d, _poly_ridge)
+
+
+GRAM_FS = M.FeatureSet(C.BASELINE_NUMERIC)
+GRAM_COLS = list(dict.fromkeys(C.BASELINE_NUMERIC))
 
 
 @register("poisson_glm", TOTALS_SQL)
@@ -177,9 +252,36 @@ def q_poisson_glm_test(spark, d):
     return _scored_test(spark, d, M.fit_poisson(train(spark, d), POISSON_FS))
 
 
-@register("poisson_glm_unpenalized", with_base(
-    f"SELECT opponent, month, COUNT(*) AS n FROM train GROUP BY 1, 2", TRAIN_SQL))
+@register("poisson_glm_scores", _scores_sql(POISSON_FS))
+def q_poisson_glm_scores(spark, d):
+    """The score equations of the penalised Poisson fit on its full feature list."""
+    return _score_table(spark, d, _poisson)
+
+
+def _unpenalised(t: DataFrame) -> L.LinearFit:
+    """Constant, drop-first dummies, numeric columns scaled by their sample std."""
+    return L.fit_poisson(t, gram.Design.of(t, GLM_FS, drop_first=True), 0.0, ddof=1)[0]
+
+
+SUMMARY = "feature string, coefficient double, std_error double, z_value double, p_value double, deviance double, aic double"
+
+
+@register("poisson_glm_unpenalized")
 def q_poisson_glm_unpenalized(spark, d):
+    """Coefficients of the maximum-likelihood fit with their statistics."""
+    with persisted(train(spark, d)) as t:
+        return spark.createDataFrame(L.summary_rows(_unpenalised(t)), SUMMARY)
+
+
+@register("glm_scores", _scores_sql(GLM_FS))
+def q_glm_scores(spark, d):
+    """The score equations of the maximum-likelihood fit with all dummies."""
+    return _score_table(spark, d, _glm)
+
+
+@register("poisson_glm_rows", with_base(
+    f"SELECT opponent, month, COUNT(*) AS n FROM train GROUP BY 1, 2", TRAIN_SQL))
+def q_poisson_glm_rows(spark, d):
     """Rows the unpenalised fit scores, by opponent and month."""
     with persisted(train(spark, d)) as t:
         m = M.fit_poisson_unpenalized(t, GLM_FS)
@@ -204,27 +306,16 @@ def q_poisson_glm_totals(spark, d):
     return spark.createDataFrame(rows, "feature string, category string, total_prediction double")
 
 
+def _glm(t: DataFrame) -> L.LinearFit:
+    return _poisson(t, GLM_FS, 0.0)
+
+
 @register("glm_summary")
 def q_glm_summary(spark, d):
-    """Coefficients of the unpenalised GLM with their statistics."""
-    t = train(spark, d)
-    with persisted(t) as t:
-        m = M.fit_poisson_unpenalized(t, GLM_FS)
-        names = ["intercept", *M.feature_names(m, m.transform(t.limit(1)))]
-        glm = m.stages[-1]
-        coefs = [float(glm.intercept), *[float(x) for x in glm.coefficients]]
-        s = glm.summary
-        try:                 # a singular design has no standard errors
-            last_first = lambda v: [v[-1], *v[:-1]]  # noqa: E731  Spark lists the intercept last
-            stats = list(zip(*(last_first(list(v)) for v in (s.coefficientStandardErrors, s.tValues, s.pValues))))
-        except Exception as e:  # noqa: BLE001  the JVM's UnsupportedOperationException
-            if "standard error" not in str(e).lower():
-                raise
-            stats = [(None, None, None)] * len(coefs)
-        rows = [(n, c, *(None if x is None else float(x) for x in st), float(s.deviance), float(s.aic))
-                for n, c, st in zip(names, coefs, stats)]
-    return spark.createDataFrame(rows, "feature string, coefficient double, std_error double, z_value double, "
-                                       "p_value double, deviance double, aic double")
+    """Coefficients and statistics of the fit with a constant and all dummies:
+    a singular design, whose least-norm solution has standard errors too."""
+    with persisted(train(spark, d)) as t:
+        return spark.createDataFrame(L.summary_rows(_glm(t)), SUMMARY)
 
 
 @register("poisson_poly", TOTALS_SQL)
@@ -259,14 +350,23 @@ def by_bowl_and_opponent(spark, d):
         return M.fit_segmented(t, "bowl_location", lambda part: M.fit_group_means(part, ["opponent"]))
 
 
-# The same on the full feature list of the Poisson model; no SQL tells these.
-def full_poisson(spark, d):
-    return M.fit_poisson(train(spark, d), POISSON_FS)
+# The same on the full feature list of the Poisson model.
+def full_poisson(spark, d) -> L.LinearFit:
+    with persisted(train(spark, d)) as t:
+        return _poisson(t)
 
 
-def full_poisson_by_bowl(spark, d):
-    with persisted(train(spark, d)) as t:
-        return M.fit_segmented(t, "bowl_location", lambda part: M.fit_poisson(part, POISSON_FS))
+BOWL = F.col("bowl_location")
+
+
+def full_poisson_by_bowl(spark, d, t=None) -> dict[int, L.LinearFit]:
+    """A Poisson model for each bowl, fitted together."""
+    with persisted(train(spark, d) if t is None else t) as t:
+        return L.fit_poisson(t, gram.Design.of(t, POISSON_FS), C.POISSON_ALPHA, segment=BOWL)
+
+
+def by_bowl(fits):
+    return lambda df: L.score_segments(df, fits, BOWL)
 
 
 MEANS_SQL = f"""{TRAIN_SQL},
@@ -274,50 +374,59 @@ m1 AS (SELECT opponent, AVG({Y}) AS p FROM train GROUP BY 1),
 m2 AS (SELECT bowl_location, opponent, AVG({Y}) AS p FROM train GROUP BY 1, 2)"""
 
 
-@register("segmented_models", with_base(
+@register("segmented_means", with_base(
     f"SELECT {_k()}, target_host_sold_today, ROUND(m2.p + 0.00001, 3) AS prediction FROM test JOIN m2 USING (bowl_location, opponent)",
     f"{MEANS_SQL},\n{TEST_SQL}"))
-def q_segmented_models(spark, d):
+def q_segmented_means(spark, d):
     _, test = train_test(spark, d)
     s = M.score_segmented(test, "bowl_location", by_bowl_and_opponent(spark, d))
     return s.select(*KEYS, C.TARGET, mean3("prediction").alias("prediction"))
 
 
-@register("segmented_poisson")
-def q_segmented_poisson(spark, d):
-    """The Poisson model per bowl on its full feature list."""
+@register("segmented_models")
+def q_segmented_models(spark, d):
+    """The Poisson model per bowl on its full feature list, every row scored by its bowl's coefficients."""
     _, test = train_test(spark, d)
-    return M.score_segmented(test, "bowl_location", full_poisson_by_bowl(spark, d)).select(*KEYS, C.TARGET, "prediction")
+    return by_bowl(full_poisson_by_bowl(spark, d))(test).select(*KEYS, C.TARGET, "prediction")
+
+
+@register("segmented_scores", _scores_sql(POISSON_FS, by="bowl_location"))
+def q_segmented_scores(spark, d):
+    """The score equations of each bowl's model."""
+    with persisted(train(spark, d)) as t:
+        rows = [(k, *r) for k, fit in full_poisson_by_bowl(spark, d, t).items() for r in _scores(t.where(BOWL == k), fit)
+                if r[1] is not None or r[0] in (*C.POISSON_NUMERIC, *C.POISSON_PASSTHROUGH)]      # a bowl lacks some categories
+    return spark.createDataFrame(rows, "bowl_location int, feature string, score double")
 
 
-@register("coef_table", with_base("""
+@register("coef_table_means", with_base("""
 SELECT 'opponent_' || opponent AS feature, ROUND(LN(p / base), 4) AS coefficients, ROUND(ABS(LN(p / base)), 4) AS magnitude
 FROM m1 CROSS JOIN (SELECT FIRST(p ORDER BY opponent) AS base, MIN(opponent) AS first FROM m1) b WHERE opponent <> first""",
     MEANS_SQL))
-def q_coef_table(spark, d):
+def q_coef_table_means(spark, d):
     t = train(spark, d)
     m = by_opponent(spark, d)
     c = M.coef_table(m, m.transform(t.limit(1)))
     return c.select("feature", F.round("coefficients", 4).alias("coefficients"), F.round("magnitude", 4).alias("magnitude"))
 
 
-@register("coef_table_full")
-def q_coef_table_full(spark, d):
-    """Coefficients of the Poisson model on its full feature list."""
-    t = train(spark, d)
-    m = full_poisson(spark, d)
-    return M.coef_table(m, m.transform(t.limit(1)))
+@register("coef_table")
+def q_coef_table(spark, d):
+    """Coefficients of the Poisson model on its full feature list, exported as CSV and read back."""
+    table = spark.createDataFrame(L.coef_rows(full_poisson(spark, d)), "feature string, coefficients double, magnitude double")
+    path = files.sink_csv(table, files.scratch_path(spark, "coefficients"))
+    return files.scan_csv_glob(spark, path, table.schema)
 
 
 LATEST_MEANS = f"{LATEST_CTE},\n{MEANS_SQL}"
 
 
-@register("predict_batch", with_base("""
+@register("predict_batch_means", with_base("""
 SELECT event_name, event_date, opponent, price_code, last_price, host_sold_yesterday,
   ROUND(m2.p + 0.00001, 3) AS predicted_segmented, ROUND(m1.p + 0.00001, 3) AS predicted_poisson
 FROM latest JOIN m1 USING (opponent) JOIN m2 USING (bowl_location, opponent)""", LATEST_MEANS))
-def q_predict_batch(spark, d):
-    """Both predictions of the latest rows, exported as CSV and read back."""
+def q_predict_batch_means(spark, d):
+    """Both saturated predictions of the latest rows, exported as CSV and read back."""
     out = M.predict_batch(latest(spark, d), by_opponent(spark, d), "bowl_location", by_bowl_and_opponent(spark, d))
     return _exported(spark, out.withColumns({c: mean3(c) for c in ("predicted_segmented", "predicted_poisson")}))
 
@@ -329,30 +438,32 @@ def _exported(spark, predictions) -> DataFrame:
     return files.scan_csv_glob(spark, path, schemas.PREDICTIONS)
 
 
-@register("predict_batch_full")
-def q_predict_batch_full(spark, d):
-    """The same by the Poisson models on their full feature list."""
-    return _exported(spark, M.predict_batch(latest(spark, d), full_poisson(spark, d), "bowl_location",
-                                            full_poisson_by_bowl(spark, d)))
+@register("predict_batch")
+def q_predict_batch(spark, d):
+    """Both predictions of the latest rows by the Poisson models on their full feature list, exported as CSV and read back."""
+    with persisted(train(spark, d)) as t:
+        whole, fits = _poisson(t), full_poisson_by_bowl(spark, d, t)
+    segmented = L.score_segments(latest(spark, d), fits, BOWL, out="predicted_segmented")
+    return _exported(spark, whole.predict(segmented, "predicted_poisson"))
 
 
-@register("results_join", with_base(
+@register("results_join_means", with_base(
     f"SELECT {_k()}, target_host_sold_today AS y_true, ROUND(m1.p + 0.00001, 3) AS y_pred FROM test JOIN m1 USING (opponent)",
     f"{MEANS_SQL},\n{TEST_SQL}"))
-def q_results_join(spark, d):
+def q_results_join_means(spark, d):
     s = _scored_test(spark, d, by_opponent(spark, d))
     return M.results(s, KEYS).withColumn("y_pred", mean3("y_pred"))
 
 
-@register("results_join_full")
-def q_results_join_full(spark, d):
+@register("results_join")
+def q_results_join(spark, d):
     """True values beside the predictions of the full Poisson model."""
-    return M.results(_scored_test(spark, d, full_poisson(spark, d)), KEYS)
+    return M.results(full_poisson(spark, d).predict(train_test(spark, d)[1]), KEYS)
 
 
-@register("model_persistence", with_base(
+@register("model_persistence_means", with_base(
     f"SELECT month, COUNT(*) AS n, ROUND(AVG({Y}), 4) AS prediction, true AS same FROM train GROUP BY month", TRAIN_SQL))
-def q_model_persistence(spark, d):
+def q_model_persistence_means(spark, d):
     """A saved and loaded model predicts what the fitted one does."""
     with persisted(train(spark, d)) as t:
         m = M.fit_group_means(t, ["month"])
@@ -363,18 +474,18 @@ def q_model_persistence(spark, d):
         return spark.createDataFrame(out.collect(), out.schema)      # a row per month
 
 
-@register("model_persistence_full")
-def q_model_persistence_full(spark, d):
+@register("model_persistence")
+def q_model_persistence(spark, d):
     """The same for the full Poisson pipeline (imputer, scaler, one-hots), row by row on the test part."""
-    m = full_poisson(spark, d)
+    m = M.fit_poisson(train(spark, d), POISSON_FS)
     again = M.load_model(M.save_model(m, files.scratch_path(spark, "model")))
     _, test = train_test(spark, d)
-    s = again.transform(m.transform(test).select(*test.columns, F.col("prediction").alias("before")))
+    s = M.scored(again, M.scored(m, test, "before"))
     return s.select(*KEYS, C.TARGET, "prediction", (F.col("prediction") == F.col("before")).alias("same"))
 
 
 # ------------------------------------------------------------ backtests ----
-OLS_FS = M.FeatureSet(["last_price"])
+OLS_DESIGN = gram.Design(("last_price",))
 HASH = "CAST('0x' || substr(md5('42|' || event_id || '|' || COALESCE(price_code, '') || '|' || CAST(calculate_date AS VARCHAR)), 1, 8) AS BIGINT)"
 OLS_ERROR = f"POW({Y} - (a + b * last_price), 2)"
 
@@ -392,14 +503,15 @@ folds AS (SELECT CAST(FLOOR((date_idx - {C.BACKTEST_TRAIN_DATES}) / {C.BACKTEST_
           FROM didx WHERE date_idx >= {C.BACKTEST_TRAIN_DATES} GROUP BY 1)"""))
 def q_backtest(spark, d):
     """Expanding-window backtest of the one-feature least-squares model."""
-    b = splits.backtest(I.featured(spark, d), lambda t, v: M.fit_ols(t, OLS_FS).transform(v))
+    b = L.backtest(I.featured(spark, d), OLS_DESIGN, 0.0, scale=False)
     return b.select("fold", "valid_from", "valid_to", "rmse", "n")
 
 
 @register("backtest_ridge")
 def q_backtest_ridge(spark, d):
     """The same over the ridge baseline with its full feature list."""
-    return splits.backtest(I.featured(spark, d), lambda t, v: M.fit_ridge(t, BASELINE_FS, C.RIDGE_ALPHA).transform(v))
+    with persisted(I.featured(spark, d)) as fe:
+        return L.backtest(fe, gram.Design.of(fe, BASELINE_FS, "mean"), C.RIDGE_ALPHA)
 
 
 def _kfold_sql(k: int) -> str:
@@ -411,24 +523,55 @@ FROM (SELECT k, regr_intercept({Y}, last_price) AS a, regr_slope({Y}, last_price
                      f"{TRAIN_SQL},\nhashed AS (SELECT *, {HASH} % {k} AS fold FROM train)")
 
 
-def _kfold(spark, d, k, fit) -> DataFrame:
-    return splits.kfold_scores(splits.kfold_assign(train(spark, d), KEYS, k, 42), fit, k)
+def _kfold_ols(spark, d, k) -> DataFrame:
+    return L.kfold(train(spark, d), OLS_DESIGN, 0.0, splits.hash_fold(KEYS, k, 42), k, scale=False)
 
 
 @register("kfold_random", _kfold_sql(5))
 def q_kfold_random(spark, d):
-    return _kfold(spark, d, 5, lambda t: M.fit_ols(t, OLS_FS))
+    return _kfold_ols(spark, d, 5)
 
 
 @register("kfold_random_10", _kfold_sql(10))
 def q_kfold_random_10(spark, d):
-    return _kfold(spark, d, 10, lambda t: M.fit_ols(t, OLS_FS))
+    return _kfold_ols(spark, d, 10)
+
+
+@register("kfold_ridge")
+def q_kfold_ridge(spark, d):
+    """Five folds of the ridge baseline with its full feature list, one pass."""
+    with persisted(train(spark, d)) as t:
+        return L.kfold(t, gram.Design.of(t, BASELINE_FS, "mean"), C.RIDGE_ALPHA, splits.hash_fold(KEYS, 5, 42), 5)
+
+
+@register("gram_cells", with_base("""
+SELECT CAST(fold AS BIGINT) AS fold, feature_1, feature_2, COUNT(*) AS n, ROUND(AVG(v1), 4) AS mean_1, ROUND(AVG(v2), 4) AS mean_2,
+  ROUND(COVAR_POP(v1, v2) / (1 + STDDEV_POP(v1) * STDDEV_POP(v2)), 6) AS comoment
+FROM (SELECT a.fold, a.id, a.feature AS feature_1, a.v AS v1, b.feature AS feature_2, b.v AS v2 FROM long a JOIN long b ON a.id = b.id)
+GROUP BY 1, 2, 3""", f"""{TRAIN_SQL},
+wide AS (SELECT row_number() OVER () AS id, {HASH} % 5 AS fold, {Y} AS label, {", ".join(f"COALESCE(CAST({c} AS DOUBLE), 0) AS {c}" for c in GRAM_COLS)}
+         FROM train),
+long AS MATERIALIZED (SELECT id, fold, feature, v FROM wide UNPIVOT (v FOR feature IN (label, {", ".join(GRAM_COLS)})))"""))
+def q_gram_cells(spark, d):
+    """The statistics that ridge, its search and its folds are solved from: per
+    fold, every pair of numeric features and the label (co-moments as shares of
+    one plus the product of both deviations)."""
+    with persisted(train(spark, d)) as t:
+        design = gram.Design.of(t, GRAM_FS)
+        found = gram.moments(gram.prepared(t, design, C.TARGET, splits.hash_fold(KEYS, 5, 42)), design)
+    sd = {k: (m.m2.diagonal() / m.n) ** 0.5 for k, m in found.items()}
+    names = [*design.names, "label"]
+    at = {n: i for i, n in enumerate(names)}
+    rows = [(k, a, b, n, round(m1, 4), round(m2, 4), round(c / n / (1 + float(sd[k][at[a]] * sd[k][at[b]])), 6))
+            for k, a, b, n, m1, m2, c in gram.cells(found, names)]
+    return spark.createDataFrame(rows, "fold bigint, feature_1 string, feature_2 string, n bigint, mean_1 double, mean_2 double, comoment double")
 
 
 @register("kfold_poisson")
 def q_kfold_poisson(spark, d):
     """Five folds of the Poisson model with its full feature list."""
-    return _kfold(spark, d, 5, lambda t: M.fit_poisson(t, POISSON_FS))
+    folded = splits.kfold_assign(train(spark, d), KEYS, 5, 42)
+    return splits.kfold_scores(folded, lambda t: M.fit_poisson(t, POISSON_FS), 5)
 
 
 @register("holdout_random", with_base(f"""
@@ -437,18 +580,25 @@ FROM hashed JOIN (SELECT regr_intercept({Y}, last_price) AS a, regr_slope({Y}, l
                   FROM hashed WHERE share >= {int(0.2 * 2**32)}) m ON share < {int(0.2 * 2**32)}""",
     f"{TRAIN_SQL},\nhashed AS (SELECT *, {HASH} AS share FROM train)"))
 def q_holdout_random(spark, d):
-    fit_part, hold = splits.holdout_split(train(spark, d), KEYS, 0.2, 42)
-    return A.regression_metrics(M.fit_ols(fit_part, OLS_FS).transform(hold), C.TARGET, "prediction")
+    return L.holdout(train(spark, d), OLS_DESIGN, 0.0, splits.hash_share(KEYS, 42) < int(0.2 * 2**32), scale=False)
+
+
+@register("holdout_poisson")
+def q_holdout_poisson(spark, d):
+    """The full Poisson model on a random hold-out."""
+    with persisted(train(spark, d)) as t:
+        fit_part, hold = splits.holdout_split(t, KEYS, 0.2, 42)
+        score = A.regression_metrics(_poisson(fit_part).predict(hold), C.TARGET, "prediction")
+        return spark.createDataFrame(score.collect(), score.schema)      # one row
 
 
 @register("random_search")
 def q_random_search(spark, d):
-    """Ridge on degree-2 terms: ten drawn penalties, five folds, mean squared error."""
-    def fit(t, p):
-        return M.fit_ridge(t, POLY_FS, p["alpha"], degree=int(p["degree"]), impute_numeric="zero")
-    data = splits.kfold_assign(train(spark, d), KEYS, C.RIDGE_SEARCH_FOLDS, 42)
+    """Ridge on degree-2 terms: ten drawn penalties, five folds, mean squared error, one pass for all."""
     drawn = splits.sample_param_maps(C.RIDGE_SEARCH, C.SEARCH_SETTINGS, 42)
-    return splits.random_search(data, fit, drawn, C.RIDGE_SEARCH_FOLDS)[0]
+    with persisted(train(spark, d)) as t:
+        return L.search(t, gram.Design.of(t, POLY_FS, degree=2), [p["alpha"] for p in drawn],
+                        splits.hash_fold(KEYS, C.RIDGE_SEARCH_FOLDS, 42))[0]
 
 
 def _poisson_search(spark, d, space) -> DataFrame:
@@ -481,17 +631,17 @@ def _curve(spark, d, scorer) -> DataFrame:
     return _full_curve(spark, d, scorer).withColumn("prediction", mean3("prediction"))
 
 
-@register("demand_curve_sequence", with_base(
+@register("demand_curve_sequence_means", with_base(
     _CURVE_SQL.format(k=_k(), grid=_GRID, m="m2 USING (bowl_location, opponent)"), LATEST_MEANS))
-def q_demand_curve_sequence(spark, d):
+def q_demand_curve_sequence_means(spark, d):
     """Ratio curve scored through the per-bowl (segmented) models."""
     models_ = by_bowl_and_opponent(spark, d)
     return _curve(spark, d, lambda df: M.score_segmented(df, "bowl_location", models_))
 
 
-@register("demand_curve_model", with_base(
+@register("demand_curve_model_means", with_base(
     _CURVE_SQL.format(k=_k(), grid=_GRID, m="m1 USING (opponent)"), LATEST_MEANS))
-def q_demand_curve_model(spark, d):
+def q_demand_curve_model_means(spark, d):
     """Ratio curve scored through a fitted Poisson pipeline."""
     return _curve(spark, d, whatif.model_scorer(by_opponent(spark, d)))
 
@@ -500,14 +650,13 @@ def _full_curve(spark, d, scorer) -> DataFrame:
     return whatif.demand_curve_ratio(latest(spark, d), scorer, C.RATIO_GRID, C.PRICE_GRID_POINTS, KEYS)
 
 
-@register("demand_curve_sequence_full")
-def q_demand_curve_sequence_full(spark, d):
+@register("demand_curve_sequence")
+def q_demand_curve_sequence(spark, d):
     """Ratio curve scored through the per-bowl Poisson models on their full feature list."""
-    models_ = full_poisson_by_bowl(spark, d)
-    return _full_curve(spark, d, lambda df: M.score_segmented(df, "bowl_location", models_))
+    return _full_curve(spark, d, by_bowl(full_poisson_by_bowl(spark, d)))
 
 
-@register("demand_curve_model_full")
-def q_demand_curve_model_full(spark, d):
-    """Ratio curve scored through the Poisson pipeline on its full feature list."""
-    return _full_curve(spark, d, whatif.model_scorer(full_poisson(spark, d)))
+@register("demand_curve_model")
+def q_demand_curve_model(spark, d):
+    """Ratio curve scored through the Poisson model on its full feature list."""
+    return _full_curve(spark, d, full_poisson(spark, d).predict)

@@ -387,7 +387,7 @@ def q_expanding_folds(spark, d):
 
 
 # ----------------------------------------------------------------- 2.10 ----
-@register("demand_curve_price", with_base(f"""
+@register("demand_curve_price_absent_code", with_base(f"""
 SELECT {_k()}, CAST(grid_idx AS INTEGER) AS grid_idx, price AS last_price,
   {SCORE.replace('COALESCE(CAST(last_price AS DOUBLE)', 'COALESCE(CAST(price AS DOUBLE)')} AS prediction
 FROM (
@@ -399,13 +399,13 @@ FROM (
     ON l.price_code IS NOT DISTINCT FROM o.price_code
   CROSS JOIN (SELECT range AS grid_idx FROM range(30)) g
 )""", LATEST_CTE))
-def q_demand_curve_price(spark, d):
+def q_demand_curve_price_absent_code(spark, d):
     """The reference frame lacks one code, whose rows keep their own range."""
     reference = I.preprocessed(spark, d).where(F.col("price_code") != "N")
     return whatif.demand_curve_price(latest(spark, d), SCORER, reference, 30, KEYS)
 
 
-@register("demand_curve_price_whole", with_base(f"""
+@register("demand_curve_price", with_base(f"""
 SELECT {_k()}, CAST(grid_idx AS INTEGER) AS grid_idx, price AS last_price,
   {SCORE.replace('COALESCE(CAST(last_price AS DOUBLE)', 'COALESCE(CAST(price AS DOUBLE)')} AS prediction
 FROM (
@@ -417,7 +417,7 @@ FROM (
     ON l.price_code IS NOT DISTINCT FROM o.price_code
   CROSS JOIN (SELECT range AS grid_idx FROM range(30)) g
 )""", LATEST_CTE))
-def q_demand_curve_price_whole(spark, d):
+def q_demand_curve_price(spark, d):
     """Every code's range over the whole history."""
     return whatif.demand_curve_price(latest(spark, d), SCORER, I.preprocessed(spark, d), 30, KEYS)
 
