@@ -7,7 +7,8 @@ siblings, their sizes, and signs for words in its tag, class, id and role and
 in its ancestors'.  Gradient-boosted trees, grown here on histograms of the
 features with logistic loss, give the chance that a node belongs to the article.
 
-Training pages are a bounded sample of the given ones.  Their article and
+Training pages are a bounded sample of the given ones, of any length (``SAMPLE_``
+figures bound what is taken of each).  Their article and
 page furniture are set anew into layouts of many kinds (other wrappers, names,
 orders, sidebars, notices, forms, comments), so that labels are known by how
 a page was made and features do not hinge on one template.
@@ -36,7 +37,9 @@ from pyspark.sql import functions as F
 
 from seatcast.llm.common import least_hashes
 
-SAMPLE, SAMPLE_BYTES = 300, 60_000
+# Training: pages learned from; of each, article blocks in a row and other texts; characters of a text.
+SAMPLE, SAMPLE_BLOCKS, SAMPLE_TEXTS, SAMPLE_CHARS = 300, 100, 100, 2_000
+COMPOSED_BLOCKS, NAME_TEXTS, NAME_WORDS = 40, 2_000, 8    # blocks of a made-up page; texts and words of each for its names
 ROUNDS, DEPTH, RATE, BINS, LEAST, L2 = 60, 4, 0.25, 32, 10, 1.0
 
 # Fixed values of the HTML language.
@@ -44,8 +47,10 @@ BLOCKS = frozenset("""address article aside blockquote body caption center dd de
     figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 header hgroup hr html li legend main menu nav ol p pre
     section summary table tbody td tfoot th thead tr ul""".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript iframe noembed noframes xmp".split())
-SILENT = RAW | frozenset("head template svg math button select option object canvas audio video form datalist map label".split())
+RAW = frozenset("script style textarea title noscript iframe noembed noframes".split())
+QUIET = frozenset("template svg button select option object canvas audio video datalist".split())    # inline, text dropped
+SILENT = RAW | QUIET | {"head", "form"}
+NODES = BLOCKS | {"head", "xmp"}           # elements that are nodes
 ENDS_P = BLOCKS - {"body", "html", "caption", "tbody", "td", "tfoot", "th", "thead", "tr", "dd", "dt", "li", "legend", "summary"} | {"li", "dd", "dt"}
 SAME = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
         "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
@@ -88,7 +93,6 @@ def hints_of(tag: str, attrs: str) -> int:
     found = 0
     words = [tag]
     for m in ATTR.finditer(attrs):
-        value = (m[2] or m[3] or m[4] or "").lower()
         value = re.sub(r"([a-z])([A-Z])", r"\1 \2", m[2] or m[3] or m[4] or "").lower()
         words += value.split()
         words += WORDS.findall(value)
@@ -122,8 +126,6 @@ def parse(html: str) -> list[Node]:
             tag, _ = stack.pop()
             in_link -= tag == "a"
             quiet -= tag in SILENT
-            if tag not in BLOCKS and tag not in SILENT:
-                pass
 
     while pos < end:
         m = TOKEN.search(html, pos, end)
@@ -174,7 +176,7 @@ def parse(html: str) -> list[Node]:
             pos = shut.end() if shut else end
             continue
         block = stack[-1][1]
-        if tag in BLOCKS or tag in SILENT:
+        if tag in NODES:
             node = Node(tag, block, nodes[block].depth + 1, hints_of(tag, m[3]), silent=tag in SILENT)
             nodes[block].items.append(len(nodes))
             block = len(nodes)
@@ -182,8 +184,13 @@ def parse(html: str) -> list[Node]:
         stack.append((tag, block))
         in_link += tag == "a"
         quiet += tag in SILENT
-        if m[3].endswith("/") and tag in ("svg", "object", "template"):
+        if tag == "xmp":                   # its content is text as it stands
+            shut = re.compile(r"</xmp\s*>", re.I).search(html, pos, end)
+            put(escape(html[pos:shut.start() if shut else end]))
+            pos = shut.end() if shut else end
             close(len(stack) - 1)
+        elif m[3].endswith("/") and (tag in ("object", "template") or any(t in ("svg", "math") for t, _ in stack)):
+            close(len(stack) - 1)          # drawings and formulas take the slash at its word
     return nodes
 
 
@@ -485,24 +492,38 @@ def compose(rng, article: list[tuple[str, str]], texts: list[str], words: list[s
     return f"<html><head><title>{word()}</title></head><body>{''.join(lead)}{middle}{''.join(end)}</body></html>"
 
 
-def training_set(pages: list[str], seed: int = 5) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def training_parts(html: str, seed: int) -> tuple[list[tuple[str, str]], list[str]]:
+    """A bounded part of a page to train on: article blocks in a row from a
+    random place, other texts spread over the page, a random cut of a long text."""
+    rng = np.random.default_rng(seed)
+
+    def cut(t: str) -> str:
+        lo = int(rng.integers(0, len(t) - SAMPLE_CHARS)) if len(t) > SAMPLE_CHARS else 0
+        return t[lo:lo + SAMPLE_CHARS]
+
+    article, rest = _article_and_rest(html)
+    lo = int(rng.integers(0, len(article) - SAMPLE_BLOCKS)) if len(article) > SAMPLE_BLOCKS else 0
+    step = max(1, -(-len(rest) // SAMPLE_TEXTS))
+    return [(tag, cut(t)) for tag, t in article[lo:lo + SAMPLE_BLOCKS]], [cut(t) for t in rest[::step]]
+
+
+def training_set(parts: list[tuple[list[tuple[str, str]], list[str]]], seed: int = 5) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     rng = np.random.default_rng(seed)
-    parts = [_article_and_rest(h) for h in pages]
     articles = [a for a, _ in parts if a]
     texts = [t for _, r in parts for t in r if len(t) > 20] + [t for a in articles for _, t in a[:3] if len(t) < 300]
-    words = [w for t in texts[:2000] for w in t.split()[:8]]
+    words = [w for t in texts[:NAME_TEXTS] for w in t.split()[:NAME_WORDS]]
     if not articles or not texts or not words:
         return np.zeros((0, N_FEATURES), np.float32), np.zeros(0), np.zeros(0)
     xs, ys, ws = [], [], []
     for a in articles * 2:
-        if len(a) > 40:
-            lo = int(rng.integers(0, len(a) - 40))
-            a = a[lo:lo + 40]
+        if len(a) > COMPOSED_BLOCKS:
+            lo = int(rng.integers(0, len(a) - COMPOSED_BLOCKS))
+            a = a[lo:lo + COMPOSED_BLOCKS]
         html = compose(rng, a, texts, words)
         nodes = parse(html)
         marks = [m[3].lstrip().startswith("data-a") for m in TOKEN.finditer(html)
-                 if m[2] and not m[1] and (m[2].lower() in BLOCKS or m[2].lower() in SILENT)
-                 and m[2].lower() not in RAW and m[2].lower() not in ("html", "body", "hr") and m[2].lower() not in VOID]
+                 if m[2] and not m[1] and m[2].lower() in NODES
+                 and m[2].lower() not in ("html", "body", "hr") and m[2].lower() not in VOID]
         y = np.array([0.0, *marks])
         if len(y) != len(nodes):
             raise AssertionError("labels and nodes differ")
@@ -514,10 +535,19 @@ def training_set(pages: list[str], seed: int = 5) -> tuple[np.ndarray, np.ndarra
 
 
 def train(pages: DataFrame) -> Trees | None:
-    usable = pages.where(F.col("html").isNotNull() & (F.length("html") <= SAMPLE_BYTES)).select(
-        "html", F.xxhash64(F.lit("pages"), "page_id").alias("h"))
-    sample = sorted(least_hashes(usable, "h", SAMPLE).collect(), key=lambda r: (r["h"], r["html"]))
-    f, y, w = training_set([r["html"] for r in sample])
+    """Fit on pages of low hash (of id and page), whatever their length; the
+    parts to learn from are taken in the tasks.  Equal pages count once."""
+    @F.arrow_udf("struct<article: array<struct<tag: string, text: string>>, rest: array<string>>")
+    def parts(html: pa.Array, h: pa.Array) -> pa.Array:
+        made = [training_parts(page, seed % (1 << 32)) for page, seed in zip(html.to_pylist(), h.to_pylist())]
+        text = pa.struct([("tag", pa.string()), ("text", pa.string())])
+        return pa.array([{"article": [{"tag": t, "text": x} for t, x in a], "rest": r} for a, r in made],
+                        pa.struct([("article", pa.list_(text)), ("rest", pa.list_(pa.string()))]))
+
+    usable = pages.where(F.col("html").isNotNull()).select("html", F.xxhash64(F.lit("pages"), "page_id", "html").alias("h"))
+    sample = least_hashes(usable, "h", SAMPLE).groupBy("h").agg(F.min("html").alias("html"))
+    found = sorted(sample.select("h", parts("html", "h").alias("p")).collect(), key=lambda r: r["h"])
+    f, y, w = training_set([([(b["tag"], b["text"]) for b in r["p"]["article"]], r["p"]["rest"]) for r in found])
     return boost(f, y, w) if len(y) and 0 < y.sum() < len(y) else None
 
 

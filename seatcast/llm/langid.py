@@ -4,8 +4,9 @@ A text is lower-cased, everything but letters becomes a blank, and its byte 3-
 and 4-grams (blanks mark word borders) are hashed into an embedding table.  The
 mean of their vectors goes through one linear layer.  Both are trained together
 by stochastic gradient descent in numpy on the driver from a sample of about
-``SAMPLE`` labelled rows (twice that at most) of at most ``SAMPLE_BYTES`` bytes; a fifth of it
-is set aside to fit a temperature (so that a score is the chance of being right)
+``SAMPLE`` labelled rows, of any length and at least ``LEAST`` of each language;
+a text longer than ``SAMPLE_BYTES`` is learned from pieces spread over all of it.
+A fifth of the sample is set aside to fit a temperature (so that a score is the chance of being right)
 and the score below which a prediction is rejected: ``KEEP`` of the set-aside
 rows lie above it, and no more than ``CEILING`` is asked for.
 
@@ -27,13 +28,15 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seatcast.llm.common import held_out, least_hashes, texts_of
+from seatcast.llm.common import bounded, held_out, stratified, texts_of
 
-SAMPLE, SAMPLE_BYTES = 4_000, 20_000
+SAMPLE, SAMPLE_BYTES = 4_000, 20_000     # rows to learn from; bytes of each, spread over its text
+LEAST = 100                              # rows of every language at least, where there are as many
 BUCKET_BITS, DIM, EPOCHS, RATE = 16, 16, 8, 1.0
 KEEP, CEILING = 0.998, 0.5
 BLOCK = 1 << 19
 UNKNOWN = "und"
+MIXER = 0x9E3779B97F4A7C15
 _BLANK = bytes(b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256))
 
 
@@ -112,11 +115,13 @@ def fit(rows: list[tuple[str, str]], seed: int = 7) -> Model:
 
 
 def train(docs: DataFrame) -> Model:
-    """Fit on the sample: rows of low id hash that may be learned from."""
-    known = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id"))
-                       & (F.octet_length("text") <= SAMPLE_BYTES))
-    known = known.select(F.col("text").alias("t"), F.col("lang").alias("l"), F.xxhash64(F.lit("lang"), "doc_id").alias("h"))
-    rows = sorted(least_hashes(known, "h", SAMPLE).collect(), key=lambda r: (r["h"], r["t"], r["l"]))
+    """Fit on the sample: rows of low hash (of id and text) that may be learned
+    from, whatever their length; more of rare languages.  Equal rows count once."""
+    known = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
+    known = known.select(F.col("text").alias("t"), F.col("lang").alias("l"), F.xxhash64(F.lit("lang"), "doc_id", "text").alias("h"))
+    sample = stratified(known, "h", SAMPLE, "l", LEAST).select("h", "l", bounded(F.col("t"), SAMPLE_BYTES).alias("t"))
+    rows = sample.groupBy("h").agg(F.min("l").alias("l"), F.min("t").alias("t")).collect()
+    rows.sort(key=lambda r: r["h"] * MIXER % (1 << 64))      # rare languages have higher hashes: mix them in
     return fit([(r["t"], r["l"]) for r in rows])
 
 

@@ -4,9 +4,9 @@ The bytes of a text go through an embedding into overlapping chunks that cover
 it from end to end.  Learned filters slide over each chunk, and each filter's
 highest response is kept (max-pooling).  The mean and the maximum of the chunk
 vectors over the document feed one logistic output.  All weights are trained by
-Adam on the driver from about ``SAMPLE`` labelled rows (twice that at most) of
-at most ``SAMPLE_BYTES`` bytes, of which each epoch sees up to ``TRAIN_CHUNKS`` chunks a
-document.  The last fifth of the sample sets the output's scale and offset.
+Adam on the driver from about ``SAMPLE`` labelled ids, at least ``LEAST`` of each
+label; a text longer than ``SAMPLE_BYTES`` is learned from pieces spread over all
+of it, and each epoch sees up to ``TRAIN_CHUNKS`` chunks of a document.  The last fifth of the sample sets the output's scale and offset.
 
 Scoring runs on the executors over whole texts, ``BATCH`` chunks at a time.
 
@@ -25,15 +25,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seatcast.llm.common import held_out, least_hashes, stage, texts_of
+from seatcast.llm.common import bounded, held_out, stage, stratified, texts_of
 
-SAMPLE, SAMPLE_BYTES = 4_000, 20_000
+SAMPLE, SAMPLE_BYTES = 4_000, 20_000     # labelled ids to learn from; bytes of each, spread over its text
+LEAST = 400                              # ids of either label at least, where there are as many
 CHUNK, OVERLAP = 256, 16
 WIDTH, STRIDE, EMB, FILTERS = 12, 2, 8, 32
 POSITIONS = (CHUNK - WIDTH) // STRIDE + 1
 TRAIN_CHUNKS, EPOCHS, LEAST_STEPS, BATCH_DOCS, RATE = 6, 8, 500, 32, 0.004
 BATCH = 128                    # chunks a forward pass holds at a time
 ACCEPT = 0.3
+MIXER = 0x9E3779B97F4A7C15
 
 
 def chunks(text: bytes) -> np.ndarray:
@@ -183,14 +185,17 @@ def calibrate(m: Model, rows, labels) -> None:
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:
-    """Fit on labelled rows of low id hash that may be learned from."""
+    """Fit on labelled ids of low hash that may be learned from, whatever the
+    length of their texts; of an id that several rows have, one of them counts."""
     known = (labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
              .groupBy(F.col("doc_id").alias("id")).agg(F.max("quality").alias("y"))
              .withColumn("h", F.xxhash64(F.lit("quality"), "id")))
-    picked = stage(least_hashes(known, "h", SAMPLE), "picked")     # a few thousand ids: Spark broadcasts them
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("t")).where(F.octet_length("t") <= SAMPLE_BYTES)
-    rows = texts.join(picked, F.col("doc_id") == F.col("id")).select("t", "y", "h").limit(2 * SAMPLE).collect()
-    rows.sort(key=lambda r: (r["h"], r["t"]))
+    picked = stage(stratified(known, "h", SAMPLE, "y", LEAST), "picked")     # a few thousand ids: Spark broadcasts them
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("t"))
+    found = texts.join(picked, F.col("doc_id") == F.col("id")).select("id", "y", "h", F.xxhash64("t").alias("at"),
+                                                                      bounded(F.col("t"), SAMPLE_BYTES).alias("t"))
+    rows = found.groupBy("id", "y", "h").agg(F.min_by("t", "at").alias("t")).collect()
+    rows.sort(key=lambda r: (r["h"] * MIXER % (1 << 64), r["id"]))      # the rarer label has higher hashes: mix it in
     return fit([(r["t"].encode(), int(r["y"])) for r in rows])
 
 

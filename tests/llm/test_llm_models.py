@@ -181,3 +181,75 @@ def test_decoding_is_consistent():
     keep = html.decode(nodes, lines, own, z)
     assert all(not keep[i] or keep[n.parent] for i, n in enumerate(nodes) if i)
     assert list(keep) == [True, True, True, True, False]
+
+
+def long_rows(n=60, words=6000):
+    """Labelled documents that are all longer than what is learned from each."""
+    import random
+    rng, syllables = random.Random(9), {"en": "the and ing tion er on re at".split(), "de": "sch ung ein der keit zu ver lich".split()}
+    out = []
+    for i in range(n):
+        lang = "en" if i % 2 else "de"
+        text = " ".join("".join(rng.choice(syllables[lang]) for _ in range(rng.randint(1, 4))) for _ in range(words))
+        out.append((i, text.upper() + "!!" if i % 4 < 2 else text, lang))
+    return out
+
+
+def test_long_documents_alone_are_learned_from(spark):
+    rows = long_rows()
+    assert min(len(r[1].encode()) for r in rows) > langid.SAMPLE_BYTES
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    want = {r[0]: r[2] for r in rows}
+    got = langid.identify(docs).collect()
+    assert np.mean([r["lang_pred"] == want[r["doc_id"]] for r in got]) > 0.95 and np.mean([r["accepted"] for r in got]) > 0.9
+    labels = spark.createDataFrame([(r[0], 0 if "!!" in r[1] else 1) for r in rows], "doc_id long, quality int")
+    scored = quality.classify(docs, labels).collect()
+    assert np.mean([r["predicted"] == (r["doc_id"] % 4 >= 2) for r in scored]) > 0.95
+
+
+def test_a_rare_language_in_long_documents_is_learned(spark, monkeypatch):
+    monkeypatch.setattr(langid, "SAMPLE", 200)
+    monkeypatch.setattr(langid, "LEAST", 20)
+    rows = [(i, f"the and tion here {i} with other words re at", "en") for i in range(3000)]
+    rows += [(10_000 + r[0], r[1].lower(), "de") for r in long_rows(60, 4000) if r[2] == "de"]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = [r["lang_pred"] for r in langid.identify(docs.where("doc_id >= 10000 or doc_id < 50")).collect() if r["doc_id"] >= 10_000]
+    assert got and np.mean([g == "de" for g in got]) > 0.9
+    seen = langid.train(docs).langs
+    assert seen == ["de", "en"]
+
+
+def test_bounded_pieces_are_spread_over_the_text(spark):
+    from seatcast.llm.common import bounded
+    text = "".join(f"{i:06d} " for i in range(20_000))
+    got = spark.createDataFrame([(text,), ("short",), (None,)], "t string").select(bounded(F.col("t"), 4_000).alias("b")).collect()
+    assert [r["b"] for r in got[1:]] == ["short", None] and len(got[0]["b"]) <= 4_000
+    at = [text.index(p) for p in [got[0]["b"][i * 63:i * 63 + 62] for i in range(16)]]
+    assert at == sorted(at) and all(i / 16 <= a / len(text) <= (i + 1) / 16 for i, a in enumerate(at))
+
+
+def text_of(h):
+    nodes = html.parse(h)
+    return html.render(nodes, [html.own_lines(n) for n in nodes], np.array([not n.silent for n in nodes]))
+
+
+def test_formulas_drawings_and_preformatted_text_stay_in_their_block():
+    h = ("<article><p>Energy is <math><mi>E</mi></math> here.</p><p>a<svg/>b</p><math/><p>later text</p><xmp>code &amp; <b></xmp>"
+         "<p>one<svg><path/><text>no</text></svg> two <label>name</label></p><p>x<button>press</button>y</p></article>")
+    assert text_of(h) == "Energy is E here.\nab\nlater text\ncode &amp; <b>\none two name\nxy"
+
+
+def test_a_tag_with_an_unclosed_quote_is_text():
+    assert text_of('<p>before</p><p>1 <a href="x>y</a> 2</p><p>after</p>').startswith("before\n1")
+    assert text_of('<p>before</p><p>1 <a href="x>y</a> 2</p><p>after</p>').endswith("after")
+
+
+def test_long_pages_alone_are_learned_from(spark):
+    body = lambda i: "".join(f"<p>Sentence number {i} {k}, which says something of its own and then ends.</p>" for k in range(1500))
+    made = [(i, f"u{i}", f"<html><body><nav class=menu><ul><li><a href=/>Home</a></li><li><a href=/b>News</a></li></ul></nav>"
+             f"<article>{body(i)}</article><div class=comments><p>I disagree with this, reader {i}.</p></div><footer>Legal</footer></body></html>")
+            for i in range(30)]
+    assert min(len(h) for *_, h in made) > 60_000
+    got = html.main_text(spark.createDataFrame(made, "page_id long, url string, html string")).collect()
+    for r in got:
+        assert f"Sentence number {r['page_id']} 1499" in r["text"] and "I disagree" not in r["text"] and "Home" not in r["text"]
