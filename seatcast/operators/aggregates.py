@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seatcast.operators._util import persisted
+from seatcast.operators.gram import task_states, tree_merge
 
 
 def _cols(x: Sequence[str] | str) -> list[str]:
@@ -153,42 +154,56 @@ def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson correlation of every column pair (pairwise complete rows), as a
     long table (feature_1, feature_2, correlation) with both directions.
 
-    One pass: each Arrow batch gives, per pair, the count, sums, squares and
-    product of the rows that have both (matrix products of the masked values,
-    shifted by the column means so that nothing cancels); tasks add them up and
-    only these d*d sums are shuffled.  A constant column has no correlation
-    (NULL); the diagonal is 1."""
+    One pass, and no job before the result is asked for: each Arrow batch gives,
+    per pair, the count, mean and centred co-moments of the rows that have both
+    (matrix products of the masked values); batches and tasks are merged
+    pairwise, so nothing cancels.  A constant column has no correlation (NULL);
+    the diagonal is 1."""
+    import numpy as np
+    import pyarrow as pa
+
     cols = list(cols)
     d = len(cols)
-    means = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"c{i}") for i, c in enumerate(cols)]).first()
-    shift = [means[i] or 0.0 for i in range(d)]
-
-    def sums(batches):
-        import numpy as np
-        import pyarrow as pa
-        total = np.zeros((6, d, d))
-        for batch in batches:
-            x = np.column_stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(d)]).astype(float)
-            has = ~np.isnan(x)
-            x = np.where(has, x - shift, 0.0)
-            m = has.astype(float)
-            total += np.stack([m.T @ m, x.T @ m, m.T @ x, (x * x).T @ m, m.T @ (x * x), x.T @ x])
+
+    def begin(batch):
+        x = np.column_stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(d)]).astype(float)
+        has = ~np.isnan(x)
+        m = has.astype(float)
+        shift = np.where(has, x, 0.0).sum(axis=0) / np.maximum(m.sum(axis=0), 1.0)
+        x = np.where(has, x - shift, 0.0)
+        n, sums = m.T @ m, x.T @ m               # [i, j]: over the rows that have both
+        mean = sums / np.maximum(n, 1.0)
+        raw = (x * x).T @ m
+        xx = raw - sums * mean
+        xx[xx <= 1e-13 * raw] = 0.0              # what rounding leaves of a constant
+        return {0: np.stack([n, mean + shift[:, None], xx, x.T @ x - sums * mean.T]).tobytes()}
+
+    def merge(states):
+        n, mean, xx, xy = np.frombuffer(states[0]).reshape(4, d, d)
+        for s in states[1:]:
+            n2, mean2, xx2, xy2 = np.frombuffer(s).reshape(4, d, d)
+            both, diff = np.maximum(n + n2, 1.0), mean2 - mean
+            weight = n * n2 / both
+            xx, xy = xx + xx2 + diff * diff * weight, xy + xy2 + diff * diff.T * weight
+            mean, n = mean + diff * n2 / both, n + n2
+        return np.stack([n, mean, xx, xy]).tobytes()
+
+    def table(parts: pa.Table) -> pa.Table:
+        n, mean, xx, xy = np.frombuffer(merge(parts.column("state").to_pylist())).reshape(4, d, d)
+        # what rounding leaves of a constant column's variance counts as none
+        varies = (xx > 1e-24 * (xx + n * mean * mean)) & (n > 0)
+        spread = np.sqrt(np.where(varies & varies.T, xx * xx.T, 1.0))
+        r = np.clip(xy / spread, -1.0, 1.0)
+        known = varies & varies.T
+        np.fill_diagonal(r, 1.0)
+        np.fill_diagonal(known, True)
         i, j = np.divmod(np.arange(d * d), d)
-        yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(j), *[pa.array(t.ravel()) for t in total]],
-                                         names=["i", "j", "n", "x", "y", "xx", "yy", "xy"])
-
-    parts = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)]).mapInArrow(
-        sums, "i bigint, j bigint, n double, x double, y double, xx double, yy double, xy double")
-    g = parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "x", "y", "xx", "yy", "xy")])
-    n, x, y = F.col("n"), F.col("x"), F.col("y")
-    var_x, var_y = F.col("xx") - x * F.try_divide(x, n), F.col("yy") - y * F.try_divide(y, n)
-    # what rounding leaves of a constant column's variance counts as none
-    flat = (var_x <= 1e-12 * F.col("xx")) | (var_y <= 1e-12 * F.col("yy"))
-    r = F.when(~flat, F.try_divide(F.col("xy") - x * F.try_divide(y, n), F.sqrt(F.greatest(var_x, F.lit(0.0)) * F.greatest(var_y, F.lit(0.0)))))
-    names = F.array(*map(F.lit, cols))
-    return g.select(names[F.col("i").cast("int")].alias("feature_1"), names[F.col("j").cast("int")].alias("feature_2"),
-                    F.when(F.col("i") == F.col("j"), 1.0).when(r.isNotNull(), F.least(F.greatest(r, F.lit(-1.0)), F.lit(1.0)))
-                    .alias("correlation"))      # (least and greatest pass over NULLs)
+        return pa.table({"feature_1": pa.array([cols[k] for k in i]), "feature_2": pa.array([cols[k] for k in j]),
+                         "correlation": pa.array(r.ravel(), mask=~known.ravel())})
+
+    rows = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
+    parts = tree_merge(task_states(rows, begin, merge), merge)
+    return parts.groupBy("key").applyInArrow(table, "feature_1 string, feature_2 string, correlation double")
 
 
 def high_corr_pairs(corr_long: DataFrame, threshold: float = 0.8) -> DataFrame:

@@ -128,7 +128,9 @@ def q_standings_flatten(spark: SparkSession, d: str) -> DataFrame:
 
 @register("earliest_date", with_base("SELECT MIN(calculate_date) AS earliest_date FROM pre"))
 def q_earliest_date(spark: SparkSession, d: str) -> DataFrame:
-    return files.earliest_date(I.preprocessed(spark, d))
+    """The earliest date of the stored table, from its footers."""
+    path = files.sink_parquet(I.preprocessed(spark, d).select("event_id", "calculate_date"), files.scratch_path(spark, "preprocessed"))
+    return files.earliest_stored_date(spark, path)
 
 
 # ------------------------------------------------------------------ 2.2 ----

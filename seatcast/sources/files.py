@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import csv
 import uuid
+from fnmatch import fnmatch
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,17 +28,52 @@ def scan_combine(spark: SparkSession, directory: str, pattern: str = "*.parquet"
     return r.option("mergeSchema", "true").parquet(directory)
 
 
-def _headers(spark: SparkSession, pattern) -> dict[str, list[str]]:
-    """Header line -> the CSV files that begin with it (empty files left out);
-    one job, a row per file."""
-    lines = (spark.read.text(pattern).where(F.col("_metadata.file_block_start") == 0)
-             .select(F.col("_metadata.file_path").alias("path"), "value", F.monotonically_increasing_id().alias("at")))
+def list_files(spark: SparkSession, source: str, name: str = "*") -> list[str]:
+    """Files that a path, folder or glob stands for, in the file system Spark uses."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(source)
+    fs, out = path.getFileSystem(conf), []
+    for found in fs.globStatus(path) or []:
+        for f in fs.listStatus(found.getPath()) if found.isDirectory() else [found]:
+            base = f.getPath().getName()
+            if f.isFile() and not base.startswith(("_", ".")) and fnmatch(base, name):
+                out.append(f.getPath().toString())
+    return sorted(out)
+
+
+def first_line(spark: SparkSession, path: str) -> str | None:
+    """The first line of a text file (None if empty); only its first bytes are read."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    stream = p.getFileSystem(conf).open(p)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(p)
+        plain = stream if codec is None else codec.createInputStream(stream)
+        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(plain, "UTF-8")).readLine()
+    finally:
+        stream.close()
+
+
+def csv_headers(spark: SparkSession, source: str, name: str = "*", threads: int = 8) -> dict[str, list[str]]:
+    """Header line -> the CSV files that begin with it (empty files left out):
+    a listing and the first bytes of each file, no pass over the data."""
+    from multiprocessing.pool import ThreadPool
+    paths = list_files(spark, source, name)
+    with ThreadPool(threads) as pool:
+        lines = pool.map(lambda p: first_line(spark, p), paths)
     out: dict[str, list[str]] = {}
-    for r in lines.groupBy("path").agg(F.min_by("value", "at").alias("header")).orderBy("path").collect():
-        out.setdefault(r["header"], []).append(r["path"])
+    for path, line in zip(paths, lines):
+        if line is not None:
+            out.setdefault(line.removeprefix("\ufeff"), []).append(path)
     return out
 
 
+def header_schema(line: str, schema: T.StructType) -> T.StructType:
+    """The columns of a header line, with the types that ``schema`` gives them (text where it has none)."""
+    types = {f.name.lower(): f.dataType for f in schema.fields}
+    return T.StructType([T.StructField(c, types.get(c.lower(), T.StringType())) for c in next(csv.reader([line]))])
+
+
 def scan_csv_glob(spark: SparkSession, pattern: str, schema: T.StructType,
                   date_format: str = "yyyy-MM-dd") -> DataFrame:
     """CSV files matching a glob, united by column name.
@@ -49,9 +85,9 @@ def scan_csv_glob(spark: SparkSession, pattern: str, schema: T.StructType,
     (FAILFAST) instead of becoming NULL."""
     types = {f.name.lower(): f.dataType for f in schema.fields}
     out = None
-    for line, paths in _headers(spark, pattern).items():
-        header = next(csv.reader([line]))
-        own = T.StructType([T.StructField(c, types.get(c.lower(), T.StringType())) for c in header])
+    for line, paths in csv_headers(spark, pattern).items():
+        own = header_schema(line, schema)
+        header = own.names
         df = (spark.read.schema(own).option("header", "true").option("dateFormat", date_format)
               .option("enforceSchema", "false").option("mode", "FAILFAST").csv(paths))
         df = df.select(*[F.col(f"`{c}`") for c in header if c.lower() in types])
@@ -110,10 +146,28 @@ def sink_json(df: DataFrame, path: str, mode: str = "overwrite") -> str:
 
 
 def earliest_date(df: DataFrame, col: str = "calculate_date") -> DataFrame:
-    """min(date) as one row (Parquet footers can answer it with aggregate pushdown)."""
+    """min(date) as one row."""
     return df.agg(F.min(col).alias("earliest_date"))
 
 
+def read_parquet_v2(spark: SparkSession, path: str) -> DataFrame:
+    """Parquet through Spark's v2 source, which can push MIN, MAX and COUNT into
+    the footers (the default reader cannot)."""
+    v1 = "spark.sql.sources.useV1SourceList"
+    spark.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    before = spark.conf.get(v1)
+    spark.conf.set(v1, ",".join(s for s in before.split(",") if s != "parquet"))
+    try:
+        return spark.read.parquet(path)
+    finally:
+        spark.conf.set(v1, before)
+
+
+def earliest_stored_date(spark: SparkSession, path: str, col: str = "calculate_date") -> DataFrame:
+    """min(date) of a stored table, from its footers: no column is read."""
+    return earliest_date(read_parquet_v2(spark, path), col)
+
+
 def write_stage(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
     """Store a stage where the caller asks for it and read it back: later plans
     start from the files, with column and partition pruning."""

@@ -61,3 +61,28 @@ def test_standings_json_flatten_empty_and_ties(spark, tmp_path):
 def test_earliest_date(spark):
     df = spark.createDataFrame([(dt.date(2024, 3, 1),), (dt.date(2023, 1, 5),)], "calculate_date date")
     assert files.earliest_date(df).first()[0] == dt.date(2023, 1, 5)
+
+
+def test_headers_come_from_the_first_bytes(spark, tmp_path):
+    import gzip
+    (tmp_path / "a.csv").write_text("x,y\n1,2\n")
+    (tmp_path / "b b.csv").write_text("y,x\n1,2\n")
+    (tmp_path / "_hidden.csv").write_text("no\n")
+    (tmp_path / "none.csv").write_text("")
+    with gzip.open(tmp_path / "c.csv.gz", "wt") as f:
+        f.write("x,y\n3,4\n")
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    got = files.csv_headers(spark, str(tmp_path), "*.csv*")
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == before        # no job
+    assert {k: len(v) for k, v in got.items()} == {"x,y": 2, "y,x": 1}
+    from pyspark.sql import types as T
+    rows = files.scan_csv_glob(spark, str(tmp_path / "*.csv*"), T.StructType([T.StructField("x", T.IntegerType()), T.StructField("y", T.IntegerType())]))
+    assert sorted(map(tuple, rows.collect())) == [(1, 2), (2, 1), (3, 4)]
+
+
+def test_earliest_stored_date_reads_footers_only(spark, tmp_path):
+    spark.sql("SELECT id, date_add(DATE'2020-01-01', CAST(id AS INT)) AS calculate_date FROM range(5, 50)").write.parquet(str(tmp_path / "t"))
+    got = files.earliest_stored_date(spark, str(tmp_path / "t"))
+    assert str(got.first()["earliest_date"]) == "2020-01-06"
+    assert "PushedAggregation: [MIN(calculate_date)]" in got._jdf.queryExecution().executedPlan().toString()
+    assert "parquet" in spark.conf.get("spark.sql.sources.useV1SourceList")
