@@ -173,25 +173,23 @@ def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         x = np.where(has, x - shift, 0.0)
         n, sums = m.T @ m, x.T @ m               # [i, j]: over the rows that have both
         mean = sums / np.maximum(n, 1.0)
-        raw = (x * x).T @ m
-        xx = raw - sums * mean
-        xx[xx <= 1e-13 * raw] = 0.0              # what rounding leaves of a constant
-        return {0: np.stack([n, mean + shift[:, None], xx, x.T @ x - sums * mean.T]).tobytes()}
+        size = (x * x).T @ m                     # of the numbers that the sums were taken of
+        return {0: np.stack([n, mean + shift[:, None], size - sums * mean, x.T @ x - sums * mean.T, size]).tobytes()}
 
     def merge(states):
-        n, mean, xx, xy = np.frombuffer(states[0]).reshape(4, d, d)
+        n, mean, xx, xy, size = np.frombuffer(states[0]).reshape(5, d, d)
         for s in states[1:]:
-            n2, mean2, xx2, xy2 = np.frombuffer(s).reshape(4, d, d)
+            n2, mean2, xx2, xy2, size2 = np.frombuffer(s).reshape(5, d, d)
             both, diff = np.maximum(n + n2, 1.0), mean2 - mean
             weight = n * n2 / both
             xx, xy = xx + xx2 + diff * diff * weight, xy + xy2 + diff * diff.T * weight
-            mean, n = mean + diff * n2 / both, n + n2
-        return np.stack([n, mean, xx, xy]).tobytes()
+            mean, n, size = mean + diff * n2 / both, n + n2, size + size2
+        return np.stack([n, mean, xx, xy, size]).tobytes()
 
     def table(parts: pa.Table) -> pa.Table:
-        n, mean, xx, xy = np.frombuffer(merge(parts.column("state").to_pylist())).reshape(4, d, d)
+        n, mean, xx, xy, size = np.frombuffer(merge(parts.column("state").to_pylist())).reshape(5, d, d)
         # what rounding leaves of a constant column's variance counts as none
-        varies = (xx > 1e-24 * (xx + n * mean * mean)) & (n > 0)
+        varies = (xx > 1e-12 * size + 1e-24 * n * mean * mean) & (n > 0)
         spread = np.sqrt(np.where(varies & varies.T, xx * xx.T, 1.0))
         r = np.clip(xy / spread, -1.0, 1.0)
         known = varies & varies.T

@@ -73,3 +73,14 @@ def test_expanding_folds_edges(spark):
         (0, dates[3][0], dates[4][0], dates[7][0]), (1, dates[7][0], dates[8][0], dates[9][0])]
     assert all(r["train_from"] == dates[0][0] for r in f)
     assert splits.expanding_folds(df, 20, 4).count() == 0
+
+
+def test_correlations_where_a_column_is_constant_in_a_pairs_rows(spark):
+    """``flag`` is constant wherever ``rare`` is known, in every batch and task."""
+    rows = [(float(i % 2), float(i) if i % 2 == 0 else None, float(i * i)) for i in range(400)]
+    df = spark.createDataFrame(rows, "flag double, rare double, x double").repartition(7)
+    got = {(r[0], r[1]): r[2] for r in A.corr_matrix(df, ["flag", "rare", "x"]).collect()}
+    assert got["flag", "rare"] is None and got["rare", "flag"] is None and got["flag", "flag"] == 1
+    import numpy as np
+    x = np.arange(0, 400, 2.0)
+    assert abs(got["rare", "x"] - np.corrcoef(x, x * x)[0, 1]) < 1e-12

@@ -58,7 +58,7 @@ def test_trees_equal_those_grown_in_numpy(data):
     pdf = model.predict(data).toPandas()
     other = B.fit(data, design, "y", 4, **how, tasks=1).predict(data).toPandas()         # however rows are spread
     assert np.allclose(sorted(pdf["prediction"]), sorted(other["prediction"]), atol=1e-9)
-    x = np.column_stack([*(pdf[n].fillna(pdf[n].mean()) for n in NAMES), *((pdf["team"] == t) * 1.0 for t in "pqr")])
+    x = np.column_stack([*(pdf[n].fillna(v) for n, v in zip(NAMES, model.fills)), *((pdf["team"] == t) * 1.0 for t in "pqr")])
     want = grown(model.bins(x), pdf["y"].to_numpy(), pdf["y"].mean(), 4, 3, 0.3, 0.5, 7, 1.0, 2.0)
     assert np.allclose(pdf["prediction"], want, atol=1e-9)
 
