@@ -371,17 +371,18 @@ def full_poisson(spark, d) -> L.LinearFit:
         return _poisson(t)
 
 
-BOWL = F.col("bowl_location")
+def bowl():
+    return F.col("bowl_location")
 
 
 def full_poisson_by_bowl(spark, d, t=None) -> dict[int, L.LinearFit]:
     """A Poisson model for each bowl, fitted together."""
     with persisted(train(spark, d) if t is None else t) as t:
-        return L.fit_poisson(t, gram.Design.of(t, POISSON_FS), C.POISSON_ALPHA, segment=BOWL)
+        return L.fit_poisson(t, gram.Design.of(t, POISSON_FS), C.POISSON_ALPHA, segment=bowl())
 
 
 def by_bowl(fits):
-    return lambda df: L.score_segments(df, fits, BOWL)
+    return lambda df: L.score_segments(df, fits, bowl())
 
 
 MEANS_SQL = f"""{TRAIN_SQL},
@@ -409,7 +410,7 @@ def q_segmented_models(spark, d):
 def q_segmented_scores(spark, d):
     """The score equations of each bowl's model."""
     with persisted(train(spark, d)) as t:
-        rows = [(k, *r) for k, fit in full_poisson_by_bowl(spark, d, t).items() for r in _scores(t.where(BOWL == k), fit)
+        rows = [(k, *r) for k, fit in full_poisson_by_bowl(spark, d, t).items() for r in _scores(t.where(bowl() == k), fit)
                 if r[1] is not None or r[0] in (*C.POISSON_NUMERIC, *C.POISSON_PASSTHROUGH)]      # a bowl lacks some categories
     return spark.createDataFrame(rows, "bowl_location int, feature string, score double")
 
@@ -458,7 +459,7 @@ def q_predict_batch(spark, d):
     """Both predictions of the latest rows by the Poisson models on their full feature list, exported as CSV and read back."""
     with persisted(train(spark, d)) as t:
         whole, fits = _poisson(t), full_poisson_by_bowl(spark, d, t)
-    segmented = L.score_segments(latest(spark, d), fits, BOWL, out="predicted_segmented")
+    segmented = L.score_segments(latest(spark, d), fits, bowl(), out="predicted_segmented")
     return _exported(spark, whole.predict(segmented, "predicted_poisson"))
 
 
