@@ -212,10 +212,11 @@ def fit_poisson(df: DataFrame, design: Design, alpha: float = 0.0, label: str =
                     beta[k], old[k] = (b + old[k][1]) / 2, (old[k][0], old[k][1], old[k][2] + 1)
                     continue
                 inverse, rank = pseudo_inverse(h + np.diag(p))
-                step = inverse @ (g - p * b)
+                after = inverse @ (h @ b + g)       # solved whole, not as a step: of least norm whatever the start
+                step = after - b
                 if k in old and abs(old[k][0] - value) <= DEVIANCE_TOLERANCE * (abs(value) + 0.1) or not np.abs(step).max() > 1e-12:
                     done[k] = (b, n, dev, ll, inverse, rank)
-                old[k], beta[k] = (value, b, 0), b + step
+                old[k], beta[k] = (value, b, 0), after
             if len(done) == len(beta):
                 break
         else:
