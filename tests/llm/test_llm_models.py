@@ -103,12 +103,41 @@ def test_reading_stops_early_where_bounds_allow():
     x[:30] = 100 + rng.integers(0, 50, (30, 2))
     q = np.array([[5, 1], [1, 4]])
     found = {i: (c, s) for i, c, s in topk.no_random_access(np.arange(2000), x, np.array([-1, -2]), q, 5)}
-    for i, v in ((-1, q[0]), (-2, q[1])):
+    for i, v in ((0, q[0]), (1, q[1])):
         s = x @ v
         best = np.lexsort((np.arange(2000), -s))[:5]
         assert (found[i][0] == best).all() and (found[i][1] == s[best]).all()
 
 
+@pytest.mark.parametrize("top", [3, 40, 2**28])
+def test_best_of_many_blocks_carry_their_bound(monkeypatch, top):
+    monkeypatch.setattr(topk, "SLICE", 7)
+    rng = np.random.default_rng(top)
+    x = rng.integers(-top, top + 1, (600, 8))
+    x[::9] = x[0]                                             # ties
+    q = x[::20]
+    best = topk.Best(np.arange(600)[::20], q, 20)
+    for block in np.array_split(rng.permutation(600), 13):
+        best.meet(block, x[block])
+    for at, i in enumerate(range(0, 600, 20)):
+        s = x.astype(object) @ q[at].astype(object)
+        s[i] = -(1 << 70)
+        want = sorted((c for c in range(600) if c != i), key=lambda c: (-s[c], c))[:20]
+        assert best.vec[at].tolist() == want and best.score[at].tolist() == [s[c] for c in want]
+
+
+def test_known_bounds_stop_the_reading_and_spare_lower_bounds(monkeypatch):
+    rng = np.random.default_rng(2)
+    x, q = rng.integers(-50, 50, (500, 16)), rng.integers(-50, 50, (5, 16))
+    monkeypatch.setattr(np, "partition", None)                # lower bounds would need it
+    found = list(topk.no_random_access(np.arange(500), x, np.full(5, -1), q, 20, np.full(5, 1 << 62)))
+    assert found == []
+
+
+def test_units_stay_few():
+    assert [topk.bands(1, 13, 8), topk.bands(16, 2442, 1000), topk.bands(1526, 244_000, 1000), topk.bands(1, 1, 8)] == [8, 63, 1, 1]
+
+
 def test_large_components_stay_exact():
     x = np.array([[2**40 + 1, 1], [2**40, 3], [5, 5]])
     (_, c, s), = topk.no_random_access(np.array([1, 2, 3]), x, np.array([9]), np.array([[2**20 + 1, 1]]), 2)
