@@ -11,12 +11,12 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest
 
 from seatcast.llm import mixing, sharding, simhash, syncmers
 
 
 def brute_fingerprint(text):
-    from xxhash import xxh64_intdigest
     text = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
     words = re.findall(r"[^\x20\x09-\x0D]+", text)
     shingles = [" ".join(words[i:i + 3]) for i in range(max(1, len(words) - 2))] if words else []
@@ -130,6 +130,92 @@ def brute_next(rows):
     return [(r, order[(k + 1) % len(order)]) for k, r in enumerate(order)]
 
 
+def signed(h):
+    return h - (1 << 64) if h >> 63 else h
+
+
+def brute_anchors(text, k=syncmers.K, s=syncmers.S):
+    """Anchors with their places, run by run; of a short text one of the whole."""
+    if len(text) < k:
+        return [(None, xxh64_intdigest(text.encode(), 42) >> 32)] if text else []
+    out, w = [], k - s + 1
+    for i in range(len(text) - k + 1):
+        inner = [signed(xxh64_intdigest(text[i + j:i + j + s].encode(), 42)) for j in range(w)]
+        if min(inner) in (inner[0], inner[-1]):
+            h = 42
+            for j in [*range(0, w - 1, s), w - 1]:
+                h = xxh64_intdigest((inner[j] & (1 << 64) - 1).to_bytes(8, "little"), h)
+            out.append((i, h >> 32))
+    return out
+
+
+def brute_print(text):
+    return [a for _, a in brute_anchors(text)]
+
+
+def brute_likeness(a, b):
+    larger = max(len(set(a)), len(set(b)))
+    return len(set(a) & set(b)) / larger if larger else 1.0
+
+
+def hexed(found):
+    return "".join(f"{a:08X}" for a in found)
+
+
+def test_syncmer_fingerprints_equal_brute_force(docs, doc_rows):
+    unique = [r for r in doc_rows if r[0] is not None and r[0] != 9009 and len(r[1] or "") < 3000]
+    odd = ["", "a", "x" * 19, "y" * 20, "\U0001F600" * 30 + "abc", "日本語" * 20, "\n" * 25, "a\u0301" * 15, "z" * 40]
+    extra = [(20_000 + i, t) for i, t in enumerate(odd)]
+    rows = sorted([(r[0], r[1]) for r in unique] + extra)
+    frame = docs.sparkSession.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r for r in syncmers.fingerprints(frame).collect()}
+    assert len(got) == len(rows)
+    for (i, text), (_, after) in zip(rows, rows[1:] + rows[:1]):
+        text, after, g = text or "", after or "", got[i]
+        half = len(text) // 2
+        edited = text[:len(text) - half] + after[:half]
+        own, changed = brute_print(text), brute_print(edited)
+        assert (g["fingerprint"], g["edited_fingerprint"]) == (hexed(own), hexed(changed)), (i, text, after)
+        assert g["near_edited"] == pytest.approx(brute_likeness(own, changed))
+        assert g["near_next"] == pytest.approx(brute_likeness(own, brute_print(after)))
+    at = [(r["doc_id"], r["at"], r["anchor"]) for r in syncmers.positions(frame).collect()]
+    assert Counter(at) == Counter((i, p, a) for i, t in rows for p, a in brute_anchors(t or "") if p is not None)
+
+
+def test_syncmers_need_no_blanks(spark):
+    rng = np.random.default_rng(5)
+    text = "".join(rng.choice(list("abcdefghij"), 2000))
+    got = {r["doc_id"]: r for r in syncmers.fingerprints(spark.createDataFrame([(1, text), (2, "q" + text)], "doc_id long, text string")).collect()}
+    assert got[1]["near_next"] > 0.98 and got[2]["near_next"] > 0.98
+    places = [p for p, _ in brute_anchors(text)]
+    assert max(np.diff(places)) <= syncmers.K - syncmers.S
+
+
+def test_rows_of_hot_ids_are_cut_into_ranges(spark, monkeypatch):
+    monkeypatch.setattr(syncmers, "ROWS_IN_RANGE", 20)
+    rows = [(key, f"text {key} {i} of a hot id that goes on") for key in (None, 7, -(1 << 63)) for i in range(150)]
+    rows += [(i, f"the only text of {i} with some words") for i in range(300) if i != 7]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    ranged = syncmers.ranges(frame).toPandas()
+    assert ranged.groupby("range").size().max() <= 60
+    key = lambda i, t: (i is not None, i or 0, signed(xxh64_intdigest(t.encode(), 42)))
+    order = sorted(rows, key=lambda r: key(*r))
+    want = {t: n for (_, t), (_, n) in zip(order, order[1:] + order[:1])}
+    got = syncmers.with_next(frame)
+    assert got.where("extra = 0").count() == len(rows)
+    expected = Counter()
+    for _, text in order:
+        edited = text[:len(text) - len(text) // 2] + want[text][:len(text) // 2]
+        expected[hexed(brute_print(text)), hashlib.sha256(edited.encode()).hexdigest()] += 1
+    assert Counter((r["fingerprint"], r["edited_sha256"]) for r in syncmers.fingerprints(frame).collect()) == expected
+
+
+def test_marks_below(spark):
+    for marks in ([], [5], list(range(0, 200, 2)), [-(1 << 63), 0, 3]):
+        got = spark.range(-3, 210).select("id", syncmers.marks_below(marks, F.col("id")).alias("n")).collect()
+        assert all(r["n"] == sum(m < r["id"] for m in marks) for r in got)
+
+
 def test_syncmers(docs, doc_rows):
     unique = [r for r in doc_rows if r[0] is not None and r[0] != 9009]
     frame = docs.where("doc_id is not null and doc_id <> 9009")
@@ -168,7 +254,7 @@ def test_syncmers_are_context_free(spark):
     for r in syncmers.positions(frame).collect():
         at[r["doc_id"]][r["anchor"]] = r["at"]
     shared = set(at[1]) & set(at[2])
-    assert len(shared) >= 10 and {at[1][a] - at[2][a] for a in shared} == {3} and not at[3]   # befo re it
+    assert len(shared) >= 10 and {at[1][a] - at[2][a] for a in shared} == {10} and not at[3]   # its place moved by the words before
 
 
 def test_shards_are_even_and_gapless(docs, doc_rows, no_docs):
