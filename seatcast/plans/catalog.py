@@ -233,6 +233,23 @@ def q_latest_snapshot(spark, d):
     return I.latest(spark, d)
 
 
+@register("latest_snapshot_stored", with_base(
+    "SELECT * FROM pre_serve WHERE calculate_date = (SELECT MAX(calculate_date) FROM pre_serve)"))
+def q_latest_snapshot_stored(spark, d):
+    """The last day of the serving rows, from a store with one folder a day."""
+    rows = I.preprocessed(spark, d, training=False)
+    return files.recent_days(spark, files.append_days(rows, files.scratch_path(spark, "days")), rows.schema)
+
+
+@register("recent_snapshot_stored", with_base(
+    "SELECT event_id, price_code, calculate_date FROM pre_serve "
+    "WHERE calculate_date > (SELECT MAX(calculate_date) FROM pre_serve) - INTERVAL 7 DAY"))
+def q_recent_snapshot_stored(spark, d):
+    """Keys of the last seven days' rows, likewise."""
+    rows = I.preprocessed(spark, d, training=False).select("event_id", "price_code", "calculate_date")
+    return files.recent_days(spark, files.append_days(rows, files.scratch_path(spark, "days")), rows.schema, days=7)
+
+
 @register("distinct_values", with_base("SELECT DISTINCT opponent, price_code FROM feat"))
 def q_distinct_values(spark, d):
     return clean.distinct_values(I.featured(spark, d), ["opponent", "price_code"])

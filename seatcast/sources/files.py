@@ -175,6 +175,23 @@ def write_stage(df: DataFrame, path: str, partition_by: list[str] | None = None)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def append_days(df: DataFrame, path: str, date_col: str = "calculate_date") -> str:
+    """Put the days of ``df`` into a store with one folder a day.  A day that is
+    there already is replaced, so a repeated load leaves each row once; rows
+    without a date stand in a folder of their own."""
+    (df.hint("rebalance", date_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(date_col).parquet(path))
+    return path
+
+
+def recent_days(spark: SparkSession, path: str, schema: T.StructType, days: int = 1, date_col: str = "calculate_date") -> DataFrame:
+    """The stored rows of the last ``days`` days (the latest date and those less
+    than ``days`` before it).  The date is a partition, so only its folders are read."""
+    stored = spark.read.schema(schema).parquet(path)
+    latest = stored.select(F.max(date_col)).scalar()
+    return stored.where(F.col(date_col) > F.date_sub(latest, days))
+
+
 def export_predictions(df: DataFrame, path: str) -> str:
     """Predictions as CSV with a header (the batch export)."""
     return sink_csv(df, path)

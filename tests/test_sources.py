@@ -86,3 +86,17 @@ def test_earliest_stored_date_reads_footers_only(spark, tmp_path):
     assert str(got.first()["earliest_date"]) == "2020-01-06"
     assert "PushedAggregation: [MIN(calculate_date)]" in got._jdf.queryExecution().executedPlan().toString()
     assert "parquet" in spark.conf.get("spark.sql.sources.useV1SourceList")
+
+
+def test_day_store_replaces_days_and_reads_only_recent_ones(spark, tmp_path):
+    path, schema = str(tmp_path / "days"), "event string, calculate_date date, sold long"
+    day = lambda n: dt.date(2020, 1, 31) + dt.timedelta(days=n)
+    first = spark.createDataFrame([("a", day(n), n) for n in range(10)] + [("b", None, 99)], schema)
+    files.append_days(first, path)
+    files.append_days(spark.createDataFrame([("a", day(9), 70), ("c", day(9), 71), ("a", day(10), 80)], schema), path)
+    read = lambda n: sorted((r["event"], r["sold"]) for r in files.recent_days(spark, path, first.schema, n).collect())
+    assert read(1) == [("a", 80)]
+    assert read(3) == [("a", 8), ("a", 70), ("a", 80), ("c", 71)]
+    assert len(read(100)) == 12
+    plan = files.recent_days(spark, path, first.schema)._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(calculate_date" in plan
