@@ -3,38 +3,51 @@
 Sizes are summed per source; the targets share the whole size by weight, stop
 at ``most`` times a source's size and share what is over among the rest.  A
 source whose target is q whole copies and a rest takes every document q times,
-and those up to a hash threshold once more.  The threshold is found without
-sorting: sizes are summed by (source, hash bucket), a running sum names the one
-bucket in which the rest runs out, and only that bucket is split into finer
-buckets, until it holds a single hash.  The hash depends on the id alone, so a
-larger budget takes a superset, and reruns agree.
-
-Sums are pre-aggregated per task, a hot source is split over its buckets, and
-what later rounds read shrinks with every round.
+and those up to a threshold once more.  The threshold is found without sorting:
+sizes are summed by (source, hash bucket), a running sum names the one bucket in
+which the rest runs out, and only that bucket is split into finer buckets, until
+it holds a single row.  Rows are told apart by the hash of their id, those of
+one id by the hash of their text, and copies by their place in the stored table,
+so a repeated or null id is cut through like any other.  A larger budget takes a
+superset; reruns agree, save for which of several copies of one (id, text) are
+taken.
+
+Sums are pre-aggregated per task, a hot source or id is split over its buckets,
+and what later rounds read shrinks with every round.
 
 Cases: null text has size 0; a null source is a source of its own (last in
-order); repeated rows and rows with a null id share a hash and are taken
-together; an empty table, or one without words, takes nothing.
+order); a null id hashes as the empty text; an empty table, or one without
+words, takes nothing.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seatcast.llm.common import WORD, stage
+from seatcast.llm.common import WORD, fresh, stage
 
 LEVEL_BITS, LEVELS = 12, 5          # 60 bits of hash
+KEYS = ("hash", "text_hash", "place")
 WEIGHTS = (1, 2, 3)                 # repeating over the sources in code-point order
 MOST = 3                            # a target is at most so many times its source's size
 
 
-def sizes(docs: DataFrame) -> DataFrame:
-    """doc_id, source, size (words) and hash (60 bits of md5 of the id as text)."""
-    key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
-    return docs.select("doc_id", "source",
-                       F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint").alias("size"),
-                       F.conv(F.substring(key, 1, 15), 16, 10).cast("bigint").alias("hash"))
+def _md5(text) -> Column:
+    """60 bits of the md5 of a text."""
+    return F.conv(F.substring(F.md5(F.coalesce(text, F.lit("")).cast("binary")), 1, 15), 16, 10).cast("bigint")
+
+
+def measures(docs: DataFrame) -> dict[str, Column]:
+    """size (words), hash (of the id as text) and text_hash of every row."""
+    return {"size": F.coalesce(F.regexp_count(docs["text"], F.lit(WORD)), F.lit(0)).cast("bigint"),
+            "hash": _md5(docs["doc_id"].cast("string")), "text_hash": _md5(docs["text"])}
+
+
+def place(stored: DataFrame) -> Column:
+    """60 bits that name a row of a stored table: its file and its number there."""
+    at = stored.metadataColumn("_metadata")
+    return F.shiftrightunsigned(F.xxhash64(at["file_path"], at["row_index"]), 64 - LEVEL_BITS * LEVELS)
 
 
 def targets(rows: DataFrame, weights=WEIGHTS, most: int = MOST) -> DataFrame:
@@ -57,59 +70,81 @@ def targets(rows: DataFrame, weights=WEIGHTS, most: int = MOST) -> DataFrame:
 
 
 def thresholds(rows: DataFrame, goals: DataFrame) -> DataFrame:
-    """source, source_size, target, copies (whole ones) and cut: documents with
-    hash <= cut are taken once more (none for a null cut)."""
+    """source, source_size, target, copies (whole ones) and a cut for each of
+    ``KEYS``: rows whose keys, compared in order, are not above the cuts are taken
+    once more (hashes are never negative, so none at a first cut of -1)."""
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     goals = stage(goals.withColumn("copies", whole.cast("bigint"))
                   .withColumn("rest", F.col("target") - F.col("copies") * F.col("source_size")), "targets")
-    seek = goals.select("source", "rest", F.lit(0).cast("bigint").alias("prefix"), F.lit(0).cast("bigint").alias("below"),
-                        F.lit(None).cast("bigint").alias("last")).where("rest > 0")
+    zero, none, every = (F.lit(v).cast("bigint") for v in (0, -1, (1 << 63) - 1))
+    waiting = goals.where("rest > 0").select("source", "rest", zero.alias("below"), *[none.alias(f"cut_{k}") for k in KEYS])
     settled = None
-    for level in range(1, LEVELS + 1):
-        shift = LEVEL_BITS * (LEVELS - level)
-        bucket = F.shiftright("hash", shift) if shift else F.col("hash")
-        above = F.shiftright("hash", shift + LEVEL_BITS)
-        s = seek.withColumnRenamed("source", "of")
-        cells = (rows.join(s, rows["source"].eqNullSafe(F.col("of")) & (above == F.col("prefix")))
-                 .withColumn("bucket", bucket)
-                 .groupBy("source", "rest", "below", "last", "bucket")
-                 .agg(F.sum("size").alias("cell"), F.min("hash").alias("low"), F.max("hash").alias("high")))
-        order = Window.partitionBy("source").orderBy("bucket")
-        cells = (cells.withColumn("to", F.col("below") + F.sum("cell").over(order))
-                 .withColumn("last", F.coalesce(F.max("high").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.col("last"))))
-        edge = cells.where((F.col("to") >= F.col("rest")) & (F.col("to") - F.col("cell") < F.col("rest")))
-        edge = stage(edge.select("source", "rest", F.col("bucket").alias("prefix"),
-                                 (F.col("to") - F.col("cell")).alias("below"), "to", "last", "low", "high"), f"edge{level}")
-        one = edge.where("low = high")       # one hash left: take it if that comes nearer
-        nearer = F.when(F.col("to") - F.col("rest") <= F.col("rest") - F.col("below"), F.col("high")).otherwise(F.col("last"))
-        one = one.select(F.col("source").alias("of"), nearer.alias("cut"))
-        settled = one if settled is None else settled.unionByName(one)
-        seek = edge.where("low < high").drop("to", "low", "high")
-        if seek.isEmpty():
+    for i, key in enumerate(KEYS):
+        seek, waiting = waiting.withColumn("prefix", zero), None       # cuts of earlier keys are those of one class of rows
+        for level in range(1, LEVELS + 1):
+            edge = _edge(rows, seek, i, level)
+            alone = F.col("n") == 1 if i + 1 < len(KEYS) else F.col("low") == F.col("high")
+            nearer = F.when(F.col("to") - F.col("rest") <= F.col("rest") - F.col("below"), F.col("high")).otherwise(F.col(f"cut_{key}"))
+            done = edge.where(alone).withColumn(f"cut_{key}", nearer)
+            done = done.select(F.col("source").alias("of"), *[f"cut_{k}" for k in KEYS[:i + 1]], *[every.alias(f"cut_{k}") for k in KEYS[i + 1:]])
+            settled = done if settled is None else settled.unionByName(done)
+            alike = edge.where((F.col("low") == F.col("high")) & ~alone).withColumn(f"cut_{key}", F.col("high"))
+            alike = alike.select("source", "rest", "below", *[f"cut_{k}" for k in KEYS])
+            waiting = alike if waiting is None else waiting.unionByName(alike)
+            seek = edge.where("low < high").drop("to", "low", "high", "n")
+            if seek.isEmpty():
+                break
+        if waiting.isEmpty():
             break
     return (goals.join(settled, goals["source"].eqNullSafe(F.col("of")), "left")
-            .select("source", "source_size", "target", "copies", "cut"))
+            .select("source", "source_size", "target", "copies", *[F.coalesce(f"cut_{k}", none).alias(f"cut_{k}") for k in KEYS]))
+
+
+def _edge(rows: DataFrame, seek: DataFrame, i: int, level: int) -> DataFrame:
+    """The bucket in which each source's rest runs out, among those of key ``i``
+    under the prefix found so far: with the sums below and up to it, its rows, and
+    in cut_<key> the greatest key before it."""
+    key, shift = KEYS[i], LEVEL_BITS * (LEVELS - level)
+    s = seek.withColumnRenamed("source", "of")
+    same = rows["source"].eqNullSafe(F.col("of")) & (F.shiftright(rows[key], shift + LEVEL_BITS) == F.col("prefix"))
+    for k in KEYS[:i]:
+        same = same & (rows[k] == F.col(f"cut_{k}"))
+    held = ["source", "rest", "below", *[f"cut_{k}" for k in KEYS]]
+    cells = (rows.join(s, same).withColumn("bucket", F.shiftright(key, shift) if shift else F.col(key))
+             .groupBy(*held, "bucket")
+             .agg(F.sum("size").alias("cell"), F.count(F.lit(1)).alias("n"), F.min(key).alias("low"), F.max(key).alias("high")))
+    order = Window.partitionBy("source").orderBy("bucket")
+    before = F.max("high").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    cells = cells.withColumn("to", F.col("below") + F.sum("cell").over(order)).withColumn(f"cut_{key}", F.coalesce(before, f"cut_{key}"))
+    edge = cells.where((F.col("to") >= F.col("rest")) & (F.col("to") - F.col("cell") < F.col("rest")))
+    return stage(edge.select("source", "rest", (F.col("to") - F.col("cell")).alias("below"), *[f"cut_{k}" for k in KEYS],
+                             F.col("bucket").alias("prefix"), "to", "low", "high", "n"), f"edge_{key}{level}")
+
+
+def _once(keys, cuts) -> Column:
+    return F.when(F.struct(*keys) <= F.struct(*cuts), 1).otherwise(0)
 
 
 def copies(docs: DataFrame, weights=WEIGHTS, most: int = MOST) -> DataFrame:
     """doc_id, size, source_size, target and copies (how often the mix takes it)."""
-    rows = stage(sizes(docs), "sizes")
+    rows = stage(docs.select("doc_id", "source", *[e.alias(n) for n, e in measures(docs).items()]), "sizes")
+    rows = rows.select("*", place(rows).alias("place"))
     plan = stage(thresholds(rows, targets(rows, weights, most)), "plan").withColumnRenamed("source", "of")
-    once = F.when(F.col("hash") <= F.col("cut"), 1).otherwise(0)
+    once = _once([F.col(k) for k in KEYS], [F.col(f"cut_{k}") for k in KEYS])
     return (rows.join(plan, rows["source"].eqNullSafe(F.col("of")), "left")
             .select("doc_id", "size", "source_size", "target", (F.col("copies") + once).cast("bigint").alias("copies")))
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, most: int = MOST) -> DataFrame:
-    """The mix itself: the rows of ``docs``, each as often as it is taken."""
-    from seatcast.llm.common import fresh
-    rows = stage(sizes(docs), "sizes")
-    names = {c: fresh(docs, c) for c in ("copies", "cut", "of", "n", "hash")}
-    plan = stage(thresholds(rows, targets(rows, weights, most)), "plan").select(
-        F.col("source").alias(names["of"]), F.col("copies").alias(names["copies"]), F.col("cut").alias(names["cut"]))
-    key = F.md5(F.coalesce(docs["doc_id"].cast("string"), F.lit("")).cast("binary"))
-    tagged = docs.withColumn(names["hash"], F.conv(F.substring(key, 1, 15), 16, 10).cast("bigint"))
-    joined = tagged.join(plan, tagged["source"].eqNullSafe(F.col(names["of"])), "left")
-    times = F.col(names["copies"]) + F.when(F.col(names["hash"]) <= F.col(names["cut"]), 1).otherwise(0)
+    """The mix itself: the rows of ``docs``, each as often as it is taken.  The
+    rows are stored with their measures first, which gives every one its place."""
+    names = {c: fresh(docs, c) for c in ("size", *KEYS, "copies", "of", "n", *[f"cut_{k}" for k in KEYS])}
+    stored = stage(docs.withColumns({names[c]: e for c, e in measures(docs).items()}), "measured")
+    stored = stored.select("*", place(stored).alias(names["place"]))
+    rows = stored.select("source", *[F.col(names[c]).alias(c) for c in ("size", *KEYS)])
+    plan = stage(thresholds(rows, targets(rows, weights, most)), "plan")
+    plan = plan.select(F.col("source").alias(names["of"]), *[F.col(c).alias(names[c]) for c in ("copies", *[f"cut_{k}" for k in KEYS])])
+    joined = stored.join(plan, stored["source"].eqNullSafe(F.col(names["of"])), "left")
+    times = F.col(names["copies"]) + _once([F.col(names[k]) for k in KEYS], [F.col(names[f"cut_{k}"]) for k in KEYS])
     again = F.explode(F.array_repeat(F.lit(1), times.cast("int"))).alias(names["n"])
-    return joined.select(*[docs[c] for c in docs.columns], again).drop(names["n"])
+    return joined.select(*[stored[c] for c in docs.columns], again).drop(names["n"])

@@ -112,7 +112,8 @@ SELECT * FROM ranked WHERE rank <= 20
 OP7_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size,
-         CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS hash
+         CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS hash,
+         CAST('0x' || substr(md5(coalesce(text, '')), 1, 15) AS BIGINT) AS text_hash, row_number() OVER () AS place
   FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
 w AS (SELECT *, [1, 2, 3][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight, 3 * source_size AS cap FROM s),
@@ -127,17 +128,14 @@ t AS (
   FROM f),
 g AS (
   SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS copies FROM t),
-h AS (SELECT source, hash, sum(size) AS cell FROM d GROUP BY source, hash),
 c AS (
-  SELECT h.source, h.hash, cell, sum(cell) OVER (PARTITION BY h.source ORDER BY h.hash) AS upto,
-         target - copies * source_size AS rest
-  FROM h JOIN g ON h.source IS NOT DISTINCT FROM g.source),
-k AS (
-  SELECT source, hash, CASE WHEN upto < rest THEN 1 WHEN upto - cell < rest AND upto - rest <= rest - (upto - cell) THEN 1 ELSE 0 END AS once
-  FROM c)
-SELECT d.doc_id, CAST(d.size AS BIGINT) AS size, g.source_size, g.target, CAST(d.size * (g.copies + k.once) AS BIGINT) AS taken
-FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source
-JOIN k ON d.source IS NOT DISTINCT FROM k.source AND d.hash = k.hash
+  SELECT d.doc_id, d.size, g.source_size, g.target, g.copies, g.target - g.copies * g.source_size AS rest,
+         sum(d.size) OVER (PARTITION BY d.source ORDER BY hash, text_hash, place ROWS UNBOUNDED PRECEDING) AS upto
+  FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
+       CAST(size * (copies + CASE WHEN upto < rest THEN 1 WHEN upto - size < rest AND upto - rest <= rest - (upto - size) THEN 1 ELSE 0 END)
+            AS BIGINT) AS taken
+FROM c
 """
 
 OP11_SQL = """

@@ -344,3 +344,40 @@ def test_mix(docs, doc_rows, no_docs):
     mixed = mixing.mix(docs)
     assert mixed.columns == docs.columns and mixed.count() == got["copies"].sum()
     assert mixing.copies(no_docs).count() == 0 and mixing.mix(no_docs).count() == 0
+
+
+@pytest.mark.parametrize("hot", ["null ids", "one id", "copies of one row"])
+def test_mix_cuts_through_repeated_ids(spark, hot):
+    rows = [(i, f"w {i} " + "x " * (i % 5), "ab"[i % 2]) for i in range(200)]
+    rows += [(None if hot == "null ids" else 7, "same text" if hot == "copies of one row" else f"more of {i}", "b") for i in range(100)]
+    docs = spark.createDataFrame([(*r, i, "c") for i, r in enumerate(rows)], "doc_id long, text string, source string, size long, _metadata string")
+    got = mixing.copies(docs).toPandas()
+    taken = got.assign(taken=got["size"] * got["copies"]).groupby(["source_size", "target"])["taken"].sum().reset_index()
+    assert (abs(taken["taken"] - taken["target"]) <= got["size"].max() / 2 + 1e-6).all()
+    assert got["copies"].between(0, 3).all()
+    keyed = sorted((md5_60(str(i) if i is not None else ""), md5_60(t), s, len(t.split()), i) for i, t, s in rows)
+    want = Counter()
+    for source, target, size in got_sources(got, rows):
+        whole, upto = int(target // size), 0
+        rest = target - whole * size
+        for _, _, s, n, i in keyed:
+            if s == source:
+                upto += n
+                once = upto < rest or (upto - n < rest and upto - rest <= rest - (upto - n))
+                want[i if i is not None else -1, n, whole + once] += 1
+    assert Counter((-1 if d != d else int(d), n, c) for d, n, c in got[["doc_id", "size", "copies"]].itertuples(index=False)) == want
+    mixed = mixing.mix(docs)
+    assert mixed.columns == docs.columns
+    again = mixed.toPandas()
+    assert again["text"].str.split().str.len().sum() == taken["taken"].sum() and len(again) == got["copies"].sum()
+
+
+def md5_60(text):
+    return int(hashlib.md5(text.encode()).hexdigest()[:15], 16)
+
+
+def got_sources(got, rows):
+    """(source, target, size) of every source, found by its size."""
+    for source in sorted({r[2] for r in rows}):
+        size = sum(len(t.split()) for _, t, s in rows if s == source)
+        yield source, got.loc[got["source_size"] == size, "target"].iloc[0], size
