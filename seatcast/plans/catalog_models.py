@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from seatcast import constants as C
 from seatcast.operators import aggregates as A
 from seatcast.operators import boosting
+from seatcast.operators import forest
 from seatcast.operators import gram
 from seatcast.operators import linear as L
 from seatcast.operators import models as M
@@ -34,6 +35,7 @@ RF_FS = M.FeatureSet(C.RF_NUMERIC, C.RF_CATEGORICAL, C.RF_PASSTHROUGH)
 POLY_FS = M.FeatureSet(C.POLY_NUMERIC, C.POLY_CATEGORICAL, C.POLY_PASSTHROUGH)
 GLM_FS = M.FeatureSet(C.POISSON_NUMERIC, C.POISSON_CATEGORICAL, C.GLM_PASSTHROUGH)
 TRAIN_SQL = f"train AS (SELECT * FROM feat WHERE calculate_date < DATE '{I.SPLIT_CUTOFF}')"
+FOREST_NODES = "tree int, node int, depth int, feature string, threshold double, n double, mean double"
 TEST_SQL = f"test AS (SELECT * FROM feat WHERE calculate_date >= DATE '{I.SPLIT_CUTOFF}')"
 Y = "CAST(target_host_sold_today AS DOUBLE)"
 
@@ -324,9 +326,42 @@ def q_poisson_poly(spark, d):
     return _training_totals(spark, d, lambda t: M.fit_poisson(t, POLY_FS, C.POISSON_ALPHA, degree=2))
 
 
+def _forest(t: DataFrame) -> forest.Forest:
+    p = C.RF_PARAMS
+    return forest.fit(t, gram.Design.of(t, RF_FS, "mean"), C.TARGET, KEYS, p["numTrees"], p["maxDepth"], p["minInstancesPerNode"], p["seed"])
+
+
 @register("random_forest")
 def q_random_forest(spark, d):
-    return _scored_test(spark, d, M.fit_random_forest(train(spark, d), RF_FS))
+    with persisted(train(spark, d)) as t:
+        model = _forest(t)
+    return model.predict(train_test(spark, d)[1]).select(*KEYS, C.TARGET, "prediction")
+
+
+# A tree's leaves share out its bootstrap sample, which SQL draws anew from the keys.
+FOREST_TOTALS = f"""
+SELECT CAST(tree AS INTEGER) AS tree, CAST(SUM(w) AS DOUBLE) AS n, ROUND(SUM(w * y), 3) AS label_total
+FROM (SELECT tree, y, LEN(LIST_FILTER({forest.POISSON_STEPS}, lambda s: s <= u)) AS w
+      FROM (SELECT tree, {Y} AS y, CAST('0x' || SUBSTR(MD5(
+                     {" || '|' || ".join(f"COALESCE(CAST({k} AS VARCHAR), '')" for k in KEYS)} || '|{C.RF_PARAMS["seed"]}|' || (tree // {forest.PER_HASH})),
+                   tree % {forest.PER_HASH} * 4 + 1, 4) AS INTEGER) AS u
+            FROM train, range({C.RF_PARAMS["numTrees"]}) AS trees(tree) WHERE {C.TARGET} IS NOT NULL))
+GROUP BY tree"""
+
+
+@register("random_forest_totals", with_base(FOREST_TOTALS, TRAIN_SQL))
+def q_random_forest_totals(spark, d):
+    """Rows and label total over the leaves of every tree."""
+    with persisted(train(spark, d)) as t:
+        nodes = spark.createDataFrame(_forest(t).nodes(), FOREST_NODES)
+    return nodes.where("feature IS NULL").groupBy("tree").agg(F.sum("n").alias("n"), F.round(F.sum(F.col("n") * F.col("mean")), 3).alias("label_total"))
+
+
+@register("random_forest_nodes")
+def q_random_forest_nodes(spark, d):
+    """Every node of every tree: feature and threshold it splits by (NULL: a leaf), rows and mean label."""
+    with persisted(train(spark, d)) as t:
+        return spark.createDataFrame(_forest(t).nodes(), FOREST_NODES)
 
 
 @register("gbt")
