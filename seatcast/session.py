@@ -70,14 +70,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     executors could not see what the others write.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
-    if current:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(current)
-        return current
-    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    path = tempfile.mkdtemp(prefix="seatcast-ckpt-")
-    atexit.register(shutil.rmtree, path, ignore_errors=True)
-    sc.setCheckpointDir(path)
-    return path
+    if not sc.getCheckpointDir():
+        path = sc.getConf().get("spark.checkpoint.dir", None)
+        if not path:
+            if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+            path = tempfile.mkdtemp(prefix="seatcast-ckpt-")
+            atexit.register(shutil.rmtree, path, ignore_errors=True)
+        sc.setCheckpointDir(path)
+    return sc.getCheckpointDir()        # with its scheme, the same for Spark and other readers, at every call

@@ -100,3 +100,10 @@ def test_day_store_replaces_days_and_reads_only_recent_ones(spark, tmp_path):
     assert len(read(100)) == 12
     plan = files.recent_days(spark, path, first.schema)._jdf.queryExecution().toString()
     assert "PartitionFilters: [isnotnull(calculate_date" in plan
+
+
+def test_checkpoint_folder_is_qualified_and_the_same_at_every_call(spark):
+    from seatcast.session import ensure_checkpoint_dir
+    first = ensure_checkpoint_dir(spark)
+    assert "://" in first or first.startswith("file:/")
+    assert ensure_checkpoint_dir(spark) == first
