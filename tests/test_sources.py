@@ -107,3 +107,29 @@ def test_checkpoint_folder_is_qualified_and_the_same_at_every_call(spark):
     first = ensure_checkpoint_dir(spark)
     assert "://" in first or first.startswith("file:/")
     assert ensure_checkpoint_dir(spark) == first
+
+
+def test_event_text_is_filtered_by_group_and_not_by_line(spark, tmp_path):
+    import datetime as dt
+
+    from seatcast.plans import inputs as I
+    from seatcast.sources import testdata as td
+    lines = [(1, 1, float(q), 10.0 * q, 0.01, 0.02, "N", "O", dt.datetime(1999, 6, 10 + q % 2)) for q in range(1, 9)] + [
+        (1, 1, 3.0, 30.0, 0.01, 0.02, "N", "O", None)]
+    for name, rows, schema in [
+            ("lineitem", lines, "l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double, l_discount double, "
+                                "l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp"),
+            ("part", [(1, "Brand#12", 9.0)], "p_partkey long, p_brand string, p_retailprice double"),
+            ("supplier", [(1, 1)], "s_suppkey long, s_nationkey int"),
+            ("nation", [(1, 2)], "n_nationkey int, n_regionkey int"),
+            ("region", [(2, "ASIA")], "r_regionkey int, r_name string")]:
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    got = {r["calculate_date"]: r for r in td.snapshot(spark, str(tmp_path)).collect()}
+    assert {d: (r["identifier"], r["pminventory"]) for d, r in got.items() if d} == {
+        dt.date(1999, 6, 10): ("EVT_Wed_Jun_30_1999_2", 4), dt.date(1999, 6, 11): ("EVT_Wed_Jun_30_1999_2", 4)}
+    assert got[None]["event_id"] is None and got[None]["identifier"] is None and got[None]["pminventory"] == 1
+    rows = I.preprocessed(spark, str(tmp_path), training=False)
+    assert rows.count() == 2
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    above, below = plan.split("Aggregate [", 1)
+    assert "EVT_" in above and "EVT_" not in below          # neither in a filter nor in a join condition
