@@ -10,7 +10,9 @@ learning rate.
 
 A task needs the predictions of the trees so far.  Between jobs it keeps them in
 its worker with the number of trees they hold, and adds the trees it lacks, so a
-lost executor or a retried task only works out its own rows again.
+lost executor or a retried task only works out its own rows again.  A job carries
+the latest trees only; older ones are broadcast, ``SHARED_AT_ONCE`` at a time, and
+are fetched only by a worker that lacks them.
 """
 
 from __future__ import annotations
@@ -29,6 +31,7 @@ from seatcast.operators.gram import Design, prepared
 
 BINS = 64
 KEPT_PARTS = 8                    # partitions whose predictions a worker keeps
+SHARED_AT_ONCE = 32
 _KEPT: OrderedDict = OrderedDict()
 
 
@@ -133,10 +136,12 @@ def _blocks(batches, model: Boosted):
 
 def _sums(bins: np.ndarray, g: np.ndarray, at: np.ndarray, nodes: int, columns: np.ndarray, width: int) -> np.ndarray:
     """(2, nodes, columns, bins) sums of gradients and of rows."""
-    cell = ((at[:, None] * len(columns) + np.arange(len(columns))) * width + bins[:, columns]).ravel()
-    size = nodes * len(columns) * width
-    return np.stack([np.bincount(cell, np.repeat(g, len(columns)), size),
-                     np.bincount(cell, minlength=size)]).reshape(2, nodes, len(columns), width)
+    out = np.empty((2, nodes, len(columns), width))
+    for i, c in enumerate(columns):
+        cell = at * width + bins[:, c]
+        out[0, :, i] = np.bincount(cell, g, nodes * width).reshape(nodes, width)
+        out[1, :, i] = np.bincount(cell, minlength=nodes * width).reshape(nodes, width)
+    return out
 
 
 @dataclass(frozen=True)
@@ -187,22 +192,28 @@ def fit(df: DataFrame, design: Design, label: str, rounds: int, depth: int = 3,
     empty = Boosted(design, edges, 0.0, fills)
     grower = Grower(len(edges), depth, rate, share, seed, l2, least, bins)
     rows = rows.repartition(tasks) if tasks else rows
-    d, run, first = len(edges), uuid.uuid4().hex, model.base
+    d, run, first, sc = len(edges), uuid.uuid4().hex, model.base, df.sparkSession.sparkContext
     blocks = (rows.mapInArrow(lambda batches: _blocks(batches, empty), "bins binary, y binary").rdd
               .mapPartitionsWithIndex(lambda i, it: [(i, *_unpacked(list(it), d))]).persist(StorageLevel.MEMORY_AND_DISK))
+    shared = []                                   # broadcast lists of SHARED_AT_ONCE trees
     try:
         for t in range(rounds):
+            if t and t % SHARED_AT_ONCE == 0:
+                shared.append(sc.broadcast(model.trees[-SHARED_AT_ONCE:]))
             tree, columns = grower.begin(t)
+            latest = model.trees[len(shared) * SHARED_AT_ONCE:]
             for level in range(depth):
-                def add(part, tree=tree, level=level, done=model.trees, columns=columns):
+                def add(part, tree=tree, level=level, older=tuple(shared), latest=latest, columns=columns):
                     index, b, y = part
-                    g = _predictions(run, index, b, first, done) - y
+                    g = _predictions(run, index, b, first, older, latest) - y
                     return _sums(b, g, tree.place(b, level) - (2 ** level - 1), 2 ** level, columns, grower.width)
 
                 grower.level(tree, columns, level, blocks.map(add).treeReduce(np.add))
             model.trees.append(tree)
     finally:
         blocks.unpersist()
+        for old in shared:
+            old.unpersist()
     return model
 
 
@@ -212,12 +223,14 @@ def _unpacked(rows, d: int):
     return (np.concatenate(b), np.concatenate(y)) if b else (np.empty((0, d), np.uint8), np.empty(0))
 
 
-def _predictions(run: str, part: int, bins: np.ndarray, base: float, trees: list[Tree]) -> np.ndarray:
-    """A partition's predictions by ``trees``, from what this worker has kept of them."""
+def _predictions(run: str, part: int, bins: np.ndarray, base: float, older: tuple, latest: list[Tree]) -> np.ndarray:
+    """A partition's predictions by the broadcast trees and the latest ones, from what this worker has kept of them."""
     done, p = _KEPT.pop((run, part), (0, np.full(len(bins), base)))
-    for t in trees[done:]:
+    while done < len(older) * SHARED_AT_ONCE:
+        p, done = p + older[done // SHARED_AT_ONCE].value[done % SHARED_AT_ONCE].predict(bins), done + 1
+    for t in latest[done - len(older) * SHARED_AT_ONCE:]:
         p = p + t.predict(bins)
-    _KEPT[run, part] = len(trees), p
+    _KEPT[run, part] = len(older) * SHARED_AT_ONCE + len(latest), p
     while len(_KEPT) > KEPT_PARTS:
         _KEPT.popitem(last=False)
     return p

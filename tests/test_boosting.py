@@ -77,3 +77,17 @@ def test_one_constant_label_and_an_empty_column(spark):
     df = spark.createDataFrame([(1.0, None, 5.0), (2.0, None, 5.0)], "a double, b double, y double")
     m = B.fit(df, Design(("a", "b")), "y", 2, tasks=2)
     assert [r["prediction"] for r in m.predict(df).collect()] == [5.0, 5.0]
+
+
+def test_a_worker_catches_up_from_shared_and_latest_trees():
+    from types import SimpleNamespace
+    rng = np.random.default_rng(5)
+    bins = rng.integers(0, B.BINS, (50, 4)).astype(np.uint8)
+    trees = [B.Tree(rng.integers(0, 4, 3), rng.integers(0, B.BINS, 3), rng.normal(size=4)) for _ in range(2 * B.SHARED_AT_ONCE + 5)]
+    shared = [SimpleNamespace(value=trees[i:i + B.SHARED_AT_ONCE]) for i in (0, B.SHARED_AT_ONCE)]
+    want = lambda n: 1.5 + sum(t.predict(bins) for t in trees[:n])
+    n = B.SHARED_AT_ONCE - 2
+    assert np.allclose(B._predictions("a", 0, bins, 1.5, (), trees[:n]), want(n))
+    for run in ("a", "b"):              # one that has kept some of them, and one that has none
+        got = B._predictions(run, 0, bins, 1.5, tuple(shared), trees[2 * B.SHARED_AT_ONCE:])
+        assert np.allclose(got, want(len(trees)))
