@@ -107,7 +107,8 @@ def impute_stages(fs: FeatureSet, impute_numeric: str | None = "zero") -> list:
 
 
 def encode_stages(fs: FeatureSet, degree: int = 1, scale_poly: bool = False,
-                  out: str = "features", rows: int | None = None, dummies: dict | None = None) -> list:
+                  out: str = "features", rows: int | None = None, dummies: dict | None = None,
+                  copies: bool = False) -> list:
     """(poly) -> one-hot -> passthrough -> assemble.
 
     One-hot keeps every seen category; unknown and NULL ones map to all zeros:
@@ -116,9 +117,10 @@ def encode_stages(fs: FeatureSet, degree: int = 1, scale_poly: bool = False,
     0/1 columns for all but the first one, as an unpenalised intercept needs.
     Polynomial terms are scaled by the population std:
     Spark divides by the sample std, ``rows`` gives the factor between the two.
+    ``copies`` reads the numeric features' copies that :func:`impute_stages` made.
     """
     stages, vec_inputs = [], []
-    num = [worked(c) for c in fs.numeric]
+    num = [worked(c) for c in fs.numeric] if copies else list(fs.numeric)
     if num:
         if degree > 1:
             stages.append(VectorAssembler(inputCols=num, outputCol="_num_raw", handleInvalid="keep"))
@@ -207,7 +209,7 @@ def _fit_stages(train: DataFrame, fs: FeatureSet, estimator, scale: bool, degree
         pre = Pipeline(stages=imp).fit(train).transform(train)
         stages.append(population_scaler(pre, [worked(c) for c in fs.numeric]))
     stages += encode_stages(fs, degree, scale_poly=scale and degree > 1, rows=train.count() if degree > 1 else None,
-                            dummies=categories(train, fs.categorical) if drop_first else None)
+                            dummies=categories(train, fs.categorical) if drop_first else None, copies=True)
     return Pipeline(stages=stages + [estimator]).fit(train)
 
 

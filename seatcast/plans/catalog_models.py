@@ -146,7 +146,7 @@ def q_assemble(spark, d):
     from pyspark.ml.stat import Summarizer
     with persisted(I.featured(spark, d)) as fe:
         fs = POISSON_FS.checked(fe)
-        out = M.Pipeline(stages=M.impute_stages(fs) + M.encode_stages(fs)).fit(fe).transform(fe)
+        out = M.Pipeline(stages=M.impute_stages(fs) + M.encode_stages(fs, copies=True)).fit(fe).transform(fe)
         names = [M.plain_name(n) for n in M.feature_names(None, out)]
         total = out.agg(vector_to_array(Summarizer.sum(F.col("features"))).alias("t")).first()["t"]
     return spark.createDataFrame([(n, round(v, 3)) for n, v in zip(names, total)], "slot string, total double")
