@@ -290,8 +290,10 @@ def nb_log_loss_expr(label: str, pred: str, alpha: float = 1.0) -> Column:
     return t1 + a * F.log(a / (a + mu)) + t3
 
 
-def nb_log_loss(df: DataFrame, label: str, pred: str, alpha: float = 1.0) -> DataFrame:
-    return df.agg((-F.avg(nb_log_loss_expr(label, pred, alpha))).alias("nb_loss"))
+def nb_log_loss(df: DataFrame, label: str, pred: str, alpha: float = 1.0, count: str | None = None) -> DataFrame:
+    """Mean loss over the rows; ``count`` names a column for their number, taken in the same pass."""
+    n = [F.count(F.lit(1)).alias(count)] if count else []
+    return df.agg((-F.avg(nb_log_loss_expr(label, pred, alpha))).alias("nb_loss"), *n)
 
 
 def batch_rmse(df: DataFrame, label: str, pred: str, batch_col: str) -> DataFrame:

@@ -250,7 +250,7 @@ def q_nb_log_loss(spark, d):
     """Zero predictions stay in where the count is zero too; positive counts get
     a prediction above zero here, as their loss would be infinite."""
     s = scored(spark, d).withColumn("mu", F.col("prediction") + F.when(F.col(C.TARGET) > 0, 0.5).otherwise(0.0))
-    return A.nb_log_loss(s, C.TARGET, "mu", 1.5).withColumn("n", F.lit(s.count()))
+    return A.nb_log_loss(s, C.TARGET, "mu", 1.5, count="n")
 
 
 @register("batch_rmse", with_base("""

@@ -51,6 +51,31 @@ def test_nb_log_loss_against_lgamma(spark):
         assert math.isclose(got, -sum(ll) / len(ll), rel_tol=1e-12)
 
 
+def test_nb_log_loss_query_counts_its_rows_in_the_same_pass(spark, monkeypatch):
+    """The count takes no job of its own, and counts the rows without a label too."""
+    from seatcast import constants as C
+    from seatcast.plans import catalog_reports as R
+    data = [(0, 0.0), (3, 2.0), (7, 6.5), (None, 1.0), (3, 2.0)]
+    df = spark.createDataFrame(data, f"{C.TARGET} long, prediction double")
+    monkeypatch.setattr(R, "scored", lambda spark, d: df)
+    spark.sparkContext.setJobGroup("nb_log_loss_built", "")
+    try:
+        out = R.q_nb_log_loss(spark, "")
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("nb_log_loss_built")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    a, ll = 1.5, []
+    for y, p in data:
+        if y is not None:
+            mu = p + (0.5 if y > 0 else 0.0)
+            ll.append(math.lgamma(y + a) - math.lgamma(a) - math.lgamma(y + 1) + a * math.log(a / (a + mu))
+                      + (y * math.log(mu / (a + mu)) if y else 0.0))
+    got = out.first()
+    assert out.columns == ["nb_loss", "n"] and got["n"] == len(data)
+    assert math.isclose(got["nb_loss"], -sum(ll) / len(ll), rel_tol=1e-9)
+    assert R.q_nb_log_loss(spark, "").schema["n"].dataType.typeName() == "long"
+
+
 def test_metrics_batch_rmse_and_summary(spark):
     data = [(1, 1.0, 2.0), (1, 2.0, 2.0), (2, 5.0, 1.0)]
     df = spark.createDataFrame(data, "b int, y double, p double")
