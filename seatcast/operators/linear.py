@@ -7,13 +7,14 @@ once: each task adds up, for every segment, the score and the Fisher information
 at the current coefficients, and the small systems are solved on the driver.
 The unpenalised solution is taken by a pseudo-inverse from the eigenvalues of
 the information, so a design with dependent columns (a constant and all dummies)
-has its least-norm coefficients and standard errors.
+has its least-norm coefficients and standard errors.  A search fits all settings
+and folds in the same passes, mostly by gradients alone (:class:`PoissonFits`).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from math import erfc, sqrt
 
 import numpy as np
@@ -24,9 +25,13 @@ from seatcast import constants as C
 from seatcast.operators import splits
 from seatcast.operators._util import persisted
 from seatcast.operators.gram import Design, Moments, by_key, moments, prepared, total
+from seatcast.operators.models import FeatureSet
 
 RANK_TOLERANCE = 1e-11       # eigenvalues below this share of the largest count as none
 MAX_ITERATIONS, DEVIANCE_TOLERANCE = 100, 1e-11
+GAP_TOLERANCE = 1e-18        # of many fits: what a step can still gain, as a share of the value
+SLOW = 0.05                  # a gap that shrinks less than this calls for the information at the new place
+NO_FOLD = -(1 << 62)         # key of rows without a fold: they train only what is fitted on all rows
 
 
 @dataclass
@@ -180,6 +185,16 @@ def _add(states: list[bytes]) -> bytes:
     return np.sum([np.frombuffer(s) for s in states], axis=0).tobytes()
 
 
+def _scales(m: Moments, design: Design, ddof: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Std of the scaled columns, 1 for constant ones and the others; which ones are constant."""
+    s, top = np.ones(len(design.names)), design.scaled
+    var = np.diag(m.m2)[:top] / max(m.n - ddof, 1.0)
+    flat = ~(var > 1e-24 * m.mean[:top] ** 2)
+    s[:top] = np.where(flat, 1.0, np.sqrt(np.maximum(var, 0)))
+    s[s == 0] = 1.0
+    return s, np.concatenate([flat, np.zeros(len(s) - top, bool)])
+
+
 def fit_poisson(df: DataFrame, design: Design, alpha: float = 0.0, label: str = C.TARGET, segment: Column | None = None,
                 ddof: int = 0) -> dict[int, LinearFit]:
     """Poisson regression with log link for every segment (a whole number; 0
@@ -194,12 +209,9 @@ def fit_poisson(df: DataFrame, design: Design, alpha: float = 0.0, label: str =
         d = len(design.names)
         start, scale, centre, penalty = {}, {}, {}, {}
         for k, m in stats.items():
-            s, c = np.ones(d), np.zeros(d)
-            top = design.scaled
-            var = np.diag(m.m2)[:top] / max(m.n - ddof, 1.0)
-            s[:top], c[:top] = np.where(var > 1e-24 * m.mean[:top] ** 2, np.sqrt(np.maximum(var, 0)), 1.0), m.mean[:top]
-            s[s == 0] = 1.0
-            scale[k], centre[k] = s, c
+            c = np.zeros(d)
+            c[:design.scaled] = m.mean[:design.scaled]
+            scale[k], centre[k] = _scales(m, design, ddof)[0], c
             start[k] = np.concatenate([[np.log(max(m.mean[d], 1e-12))], np.zeros(d)])
             penalty[k] = np.concatenate([[0.0], np.full(d, alpha * m.n)])
         beta, done, old = dict(start), {}, {}
@@ -254,6 +266,143 @@ def _pass(rows: DataFrame, design: Design, beta: dict, centre: dict, scale: dict
     return by_key(rows, states, _add)
 
 
+@dataclass
+class _Fit:
+    """One of many fits: the fold it leaves out (None: it takes all rows), its
+    columns (the constant first), penalty by column, and where it stands."""
+    held: int | None
+    columns: np.ndarray
+    penalty: np.ndarray
+    info: np.ndarray
+    w: np.ndarray
+    last: tuple[float, float, np.ndarray] | None = None      # value and gap there, and the place
+    stale: bool = False
+    sse: float | None = None                                 # once done: over the fold left out
+
+
+@dataclass(frozen=True)
+class PoissonFits:
+    """Poisson models for :func:`~seatcast.operators.splits.random_search`: a
+    setting has a penalty ``alpha`` above 0 (as in :func:`fit_poisson`) and a
+    ``degree``, 1 or 2.
+
+    All settings and folds share their passes, and so do the fits of all
+    settings on all rows.  A fit starts from the mean label, where its
+    information follows from the moments of the folds, and keeps that for its
+    steps; a pass then takes gradients only.  Where this gains too little the
+    next pass takes the information at the current place (a Newton step).
+    Columns are centred and scaled alike for all fits; a fold's own scale is in
+    the weights of its penalty, and its own centre in the constant.  A model of
+    degree 1 is one of degree 2 without the products."""
+    features: FeatureSet
+
+    def search(self, df: DataFrame, settings: Sequence[dict], k: int, label: str = C.TARGET,
+               fold: str = "fold") -> tuple[list[list[float]], list[LinearFit]]:
+        """Mean squared errors of every setting on the folds that it was not fitted on, and its model of all rows."""
+        if any(s["degree"] not in (1, 2) or not s["alpha"] > 0 for s in settings):
+            raise ValueError("a setting needs degree 1 or 2 and a penalty above 0")
+        design = Design.of(df, self.features, degree=int(max(s["degree"] for s in settings)))
+        with persisted(prepared(df, design, label, F.coalesce(F.col(fold).cast("bigint"), F.lit(NO_FOLD)))) as rows:
+            stats = moments(rows, design)
+            for i in range(k):
+                if i not in stats:
+                    raise ValueError(f"fold {i} has no rows with a label")
+            whole = total([m for _, m in sorted(stats.items())])
+            centre, scale = whole.mean[:-1], _scales(whole, design)[0]
+            fits = [_begin(design, stats, i, s, centre, scale) for s in settings for i in (*range(k), None)]
+            _fit_many(rows, design, fits, centre, scale)
+        each = [fits[n:n + k + 1] for n in range(0, len(fits), k + 1)]
+        return ([[f.sse / stats[f.held].n for f in own[:k]] for own in each],
+                [_on_all_rows(design, own[k], s, centre, scale) for own, s in zip(each, settings)])
+
+
+def _begin(design: Design, stats: dict[int, Moments], held: int | None, setting: dict, centre: np.ndarray, scale: np.ndarray) -> _Fit:
+    parts = [m for k, m in sorted(stats.items()) if held is None or k not in (held, NO_FOLD)]
+    if not parts:
+        raise ValueError(f"no rows with a label outside fold {held}")
+    m, d = total(parts), len(design.names)
+    own, flat = _scales(m, design)
+    weight = np.concatenate([[0.0], setting["alpha"] * m.n * np.where(flat, 1.0, own / scale) ** 2])
+    x = np.concatenate([[1.0], (m.mean[:d] - centre) / scale])
+    info = m.n * np.outer(x, x)
+    info[1:, 1:] += m.m2[:d, :d] / np.outer(scale, scale)
+    columns = np.arange(d + 1)
+    if setting["degree"] == 1:      # without the products
+        columns = np.concatenate([columns[:len(design.numeric) + 1], columns[design.scaled + 1:]])
+    start, penalty, w = max(float(m.mean[d]), 1e-12), weight[columns], np.zeros(len(columns))
+    w[0] = np.log(start)
+    return _Fit(held, columns, penalty, start * info[np.ix_(columns, columns)] + np.diag(penalty), w)
+
+
+def _on_all_rows(design: Design, fit: _Fit, setting: dict, centre: np.ndarray, scale: np.ndarray) -> LinearFit:
+    own = replace(design, degree=int(setting["degree"]))
+    s, c = scale[fit.columns[1:] - 1], centre[fit.columns[1:] - 1]
+    coef = fit.w[1:] / s
+    return LinearFit(own, float(fit.w[0] - coef @ c), coef, fit.w[1:], s, np.zeros(len(own.numeric)), float(setting["alpha"]), True)
+
+
+def _fit_many(rows: DataFrame, design: Design, fits: Sequence[_Fit], centre: np.ndarray, scale: np.ndarray) -> None:
+    """Takes every fit to its optimum."""
+    for _ in range(MAX_ITERATIONS):
+        left = [f for f in fits if f.sse is None]
+        if not left:
+            return
+        for f, dev, sse, g, h in zip(left, *_gradients(rows, design, left, centre, scale)):
+            value = float(dev + f.penalty @ f.w ** 2)
+            if f.last and not value <= f.last[0] + 1e-9 * (abs(f.last[0]) + 1):     # too far: half the step
+                f.w, f.stale = (f.w + f.last[2]) / 2, True
+                continue
+            if h is not None:
+                f.info = h[np.ix_(f.columns, f.columns)] + np.diag(f.penalty)
+            g = g[f.columns] - f.penalty * f.w
+            step = np.linalg.solve(f.info, g)
+            gap = float(g @ step)
+            if gap <= GAP_TOLERANCE * (abs(value) + 0.1):
+                f.sse = float(sse)
+            else:
+                f.stale = f.last is not None and gap > SLOW * f.last[1]
+                f.last, f.w = (value, gap, f.w), f.w + step
+    raise RuntimeError(f"no convergence after {MAX_ITERATIONS} passes")
+
+
+def _gradients(rows: DataFrame, design: Design, fits: Sequence[_Fit], centre: np.ndarray, scale: np.ndarray):
+    """Of every fit: deviance over its training rows, squared errors over the fold
+    it leaves out, score, and the Fisher information if stale (None for others)."""
+    n, d, held, wanted = len(fits), len(design.names) + 1, [f.held for f in fits], [i for i, f in enumerate(fits) if f.stale]
+    w = np.zeros((n, d))
+    for row, f in zip(w, fits):
+        row[f.columns] = f.w
+
+    def states(batch):
+        keys, y = batch.column(0).to_numpy(), batch.column(1).to_numpy()[:, None]
+        if (y < 0).any():
+            raise ValueError("a Poisson model needs labels of 0 or more")
+        x = design.matrix(batch, 2)
+        x -= centre
+        x /= scale
+        eta = np.clip(x @ w[:, 1:].T + w[:, 0], -700, 700)
+        mu = np.exp(eta)
+        own = np.column_stack([np.ones(len(keys), bool) if h is None else (keys != h) & (keys != NO_FOLD) for h in held])
+        out = np.column_stack([np.zeros(len(keys), bool) if h is None else keys == h for h in held])
+        dev = 2.0 * np.where(own, y * (np.log(np.where(y > 0, y, 1.0)) - eta) - (y - mu), 0.0).sum(axis=0)
+        r = np.where(own, y - mu, 0.0)
+        with np.errstate(over="ignore"):
+            sse = np.where(out, (y - mu) ** 2, 0.0).sum(axis=0)
+        state = {-1: np.concatenate([dev, sse, np.column_stack([r.sum(axis=0), r.T @ x]).ravel()]).tobytes()}
+        for i in wanted:
+            v = np.where(own[:, i], mu[:, i], 0.0)
+            h = np.empty((d, d))
+            h[0, 0] = v.sum()
+            h[0, 1:] = h[1:, 0] = v @ x
+            h[1:, 1:] = x.T @ (x * v[:, None])
+            state[i] = h.tobytes()
+        return state
+
+    got = by_key(rows, states, _add)
+    v = np.frombuffer(got[-1])
+    return v[:n], v[n:2 * n], v[2 * n:].reshape(n, d), [np.frombuffer(got[i]).reshape(d, d) if i in got else None for i in range(n)]
+
+
 def log_factorials(y: np.ndarray) -> float:
     """Sum of log(y!) over whole numbers (log-gamma of y + 1 for others)."""
     from math import lgamma

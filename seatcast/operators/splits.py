@@ -134,7 +134,11 @@ def random_search(df: DataFrame, fit: Callable[[DataFrame, dict], object], candi
                   label: str = C.TARGET, pred: str = "prediction", fold: str = "fold", threads: int = 4):
     """Mean squared error of every candidate over ``k`` folds, and the best one
     refitted on all rows: (table of candidate, mean_mse, std_mse; best setting;
-    its model)."""
+    its model).
+
+    A ``fit`` with a method ``search`` (:class:`~seatcast.operators.linear.PoissonFits`)
+    makes the fits of all candidates, on the folds and on all rows, together; any
+    other one is called for each."""
     from multiprocessing.pool import ThreadPool
     from statistics import fmean, pstdev
 
@@ -145,10 +149,13 @@ def random_search(df: DataFrame, fit: Callable[[DataFrame, dict], object], candi
         return c, float(r[0])
 
     with persisted(df) as data, ThreadPool(threads) as pool:
-        done = pool.map(one, [(c, i) for c in range(len(candidates)) for i in range(k)], chunksize=1)
-        scores = [[s for c, s in done if c == n] for n in range(len(candidates))]
+        if together := getattr(fit, "search", None):
+            scores, models = together(data, candidates, k, label, fold)
+        else:
+            done = pool.map(one, [(c, i) for c in range(len(candidates)) for i in range(k)], chunksize=1)
+            scores = [[s for c, s in done if c == n] for n in range(len(candidates))]
         best = min(range(len(candidates)), key=lambda n: fmean(scores[n]))
-        model = fit(data, candidates[best])
+        model = models[best] if together else fit(data, candidates[best])
     rows = [(n, *[float(v) for v in candidates[n].values()], fmean(s), pstdev(s), n == best) for n, s in enumerate(scores)]
     names = ", ".join(f"{c} double" for c in candidates[0])
     table = df.sparkSession.createDataFrame(rows, f"candidate int, {names}, mean_mse double, std_mse double, best boolean")

@@ -653,10 +653,13 @@ def q_random_search(spark, d):
 
 
 def _poisson_search(spark, d, space) -> DataFrame:
-    def fit(t, p):
-        return M.fit_poisson(t, POISSON_FS, p["alpha"], degree=int(p["degree"]))
+    """All settings and folds are fitted in the same passes over the columns of
+    the model, stored once: each pass would plan the whole input again."""
     data = splits.kfold_assign(train(spark, d), KEYS, C.POISSON_SEARCH_FOLDS, 42)
-    return splits.random_search(data, fit, splits.sample_param_maps(space, C.SEARCH_SETTINGS, 42), C.POISSON_SEARCH_FOLDS)[0]
+    used = dict.fromkeys([*POISSON_FS.numeric, *POISSON_FS.categorical, *POISSON_FS.passthrough])
+    data = files.write_stage(data.select("fold", C.TARGET, *used), files.scratch_path(spark, "search"))
+    return splits.random_search(data, L.PoissonFits(POISSON_FS),
+                                splits.sample_param_maps(space, C.SEARCH_SETTINGS, 42), C.POISSON_SEARCH_FOLDS)[0]
 
 
 @register("random_search_poisson")

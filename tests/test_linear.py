@@ -75,6 +75,71 @@ def test_kfold_and_search_equal_one_fit_a_fold(data):
     assert best.alpha == setting["alpha"]
 
 
+def poisson_rows(spark, data):
+    """With folds, some rows in none, and a team and a constant that only one fold has."""
+    rows = data.withColumn("fold", F.when(F.col("id") % 17 != 0, (F.col("id") % 3).cast("int")))
+    return (rows.withColumn("team", F.when((F.col("fold") == 1) & (F.col("id") % 5 == 0), "only here").otherwise(F.col("team")))
+                .withColumn("c", F.when(F.col("fold") == 2, F.col("id") / 100.0).otherwise(4.0)))
+
+
+def test_poisson_search_equals_one_fit_a_setting_and_fold(spark, data):
+    rows = poisson_rows(spark, data)
+    fs = M.FeatureSet(["a", "b", "c"], ["team", "month"], ["flag"])
+    settings = [{"alpha": a, "degree": g} for a, g in ((0.3, 2), (800.0, 2), (0.002, 1), (800.0, 1), (1.0, 2))]
+    new, best, model = splits.random_search(rows, L.PoissonFits(fs), settings, 3)
+    old, setting, pipeline = splits.random_search(rows, lambda t, p: M.fit_poisson(t, fs, p["alpha"], degree=p["degree"]), settings, 3)
+    new, old = new.orderBy("candidate").collect(), old.orderBy("candidate").collect()
+    assert new[0].asDict().keys() == old[0].asDict().keys() and [r[:3] for r in new] == [r[:3] for r in old]
+    assert [r["best"] for r in new] == [r["best"] for r in old] and best == setting and sum(r["best"] for r in new) == 1
+    for c in ("mean_mse", "std_mse"):       # with a column that is constant in a fold Spark ML solves by L-BFGS, to some 1e-6
+        assert np.allclose([r[c] for r in new], [r[c] for r in old], rtol=1e-5)
+    want = {r["id"]: r["prediction"] for r in M.scored(pipeline, rows).collect()}
+    got = {r["id"]: r["prediction"] for r in model.predict(rows).collect()}         # the rows without a fold take part
+    assert got.keys() == want.keys() and all(abs(got[i] - want[i]) < 1e-5 * want[i] for i in want)
+
+
+def test_poisson_search_reaches_the_optimum_of_weak_penalties(spark, data):
+    """Far from the mean label the steps need the information anew."""
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(400, 2)) * [3.0, 50.0]
+    y = rng.poisson(np.exp(np.clip(0.9 * x[:, 0] + 0.02 * x[:, 1], -9, 7)))
+    rows = spark.createDataFrame([(float(a), float(b), int(v), i % 2) for i, ((a, b), v) in enumerate(zip(x, y))], f"a double, b double, {Y} long, fold int")
+    fit = splits.random_search(rows, L.PoissonFits(M.FeatureSet(["a", "b"])), [{"alpha": 1e-6, "degree": 2}], 2)[2]
+    z = np.column_stack([x, x[:, 0] ** 2, x[:, 0] * x[:, 1], x[:, 1] ** 2])
+    z = (z - z.mean(axis=0)) / z.std(axis=0)
+    mu = np.array([r["prediction"] for r in fit.predict(rows).collect()])
+    assert np.abs(z.T @ (y - mu) - 1e-6 * 400 * fit.scaled_coef).max() < 1e-6 * np.abs(z.T @ y).max() and abs((y - mu).sum()) < 1e-6 * y.sum()
+
+
+def test_poisson_search_tells_what_it_cannot_fit(spark, data):
+    rows, search = poisson_rows(spark, data), L.PoissonFits(FS)
+    for bad in ({"alpha": 1.0, "degree": 3}, {"alpha": 0.0, "degree": 1}):
+        with pytest.raises(ValueError, match="degree"):
+            splits.random_search(rows, search, [bad], 3)
+    with pytest.raises(ValueError, match="fold 3"):
+        splits.random_search(rows, search, [{"alpha": 1.0, "degree": 1}], 4)
+    with pytest.raises(ValueError, match="outside fold 0"):
+        splits.random_search(rows.withColumn("fold", F.lit(0)), search, [{"alpha": 1.0, "degree": 1}], 1)
+    with pytest.raises(Exception, match="labels of 0 or more"):
+        splits.random_search(rows.withColumn(Y, F.col(Y) - 1), search, [{"alpha": 1.0, "degree": 1}], 3)
+
+
+def test_poisson_search_query_shares_its_passes(spark, monkeypatch):
+    """Ten settings on three folds and the refit: some jobs, not some for each fit."""
+    from seatcast.plans import catalog_models as Q
+    rng = np.random.default_rng(3)
+    cols = [*C.POISSON_NUMERIC, *C.POISSON_PASSTHROUGH]
+    keys = [c for c in Q.KEYS if c not in C.POISSON_CATEGORICAL]
+    rows = [(*[f"{i}" for _ in keys], *map(float, rng.normal(size=len(cols))), i % 4, "RS"[i % 2], int(rng.poisson(2))) for i in range(300)]
+    df = spark.createDataFrame(rows, ", ".join([*(f"{c} string" for c in keys), *(f"{c} double" for c in cols), "month int", "opponent string", f"{Y} long"]))
+    monkeypatch.setattr(Q, "train", lambda spark, d: df)
+    jobs = spark.sparkContext._jsc.sc().dagScheduler().numTotalJobs
+    before = jobs()
+    got = Q.q_random_search_poisson(spark, None)
+    assert jobs() - before < 60
+    assert got.count() == C.SEARCH_SETTINGS and got.where("best").count() == 1 and got.where("mean_mse is null").isEmpty()
+
+
 def test_backtest_equals_one_fit_a_fold(spark):
     rng = np.random.default_rng(1)
     rows = [(f"2020-01-{d:02d}", float(rng.normal()), int(rng.poisson(3))) for d in range(1, 25) for _ in range(9)]
